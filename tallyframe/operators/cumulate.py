@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import append_item
+from ..sources.tables import materialise
 
 _PRESENT = "__present"
 
@@ -119,7 +120,9 @@ def pack_items(
     """All items of an entity as arrays of about ``max_items``: rows (key, part, items, ...).
 
     Nearly every entity fits into part 0. One that does not is spread by the hash of its items
-    over as many parts as its size asks for, so no task ever gathers an unbounded group. Part 0
+    over as many parts as its size asks for, so no task ever gathers an unbounded group. The
+    list of such entities is written first (one narrow counting pass), and its file size tells
+    Spark whether to broadcast it. Part 0
     always exists and carries the average of ``metric`` and the attributes of the *whole*
     entity; they are NULL on the other parts. Items need a field that tells them apart.
     """
@@ -127,7 +130,9 @@ def pack_items(
     facts = facts.dropna(subset=key).select(
         *key, *attrs, F.col(metric).alias("__metric"), item.alias("__item")
     )
-    large = (
+    per_entity = [F.collect_list("__item"), F.avg("__metric"), *[F.max(a) for a in attrs]]
+    names = ["items", "avg_metric", *attrs]
+    large = materialise(
         facts.groupBy(*key)
         .agg(
             F.count(F.lit(1)).alias("__n"),
@@ -136,8 +141,15 @@ def pack_items(
         )
         .where(F.col("__n") > max_items)
         .withColumn("__parts", F.ceil(F.col("__n") / F.lit(max_items)).cast("long"))
-        .drop("__n")
+        .drop("__n"),
+        "large-entities",
     )
+    if large.isEmpty():
+        packed = facts.groupBy(*key).agg(
+            F.sort_array(per_entity[0]).alias("items"),
+            *[c.alias(n) for c, n in zip(per_entity[1:], names[1:], strict=True)],
+        )
+        return packed.select(*key, F.lit(0).alias("part"), *names)
     spread = facts.join(large, key, "left").withColumn(
         "part",
         F.coalesce(F.pmod(F.xxhash64("__item"), F.col("__parts")), F.lit(0)).cast("int"),
@@ -149,10 +161,16 @@ def pack_items(
         F.lit(None).cast("double").alias("__metric"),
         *[F.lit(None).cast(facts.schema[a].dataType).alias(a) for a in attrs],
     )
-    packed = spread.unionByName(heads).groupBy(*key, "part").agg(
-        F.sort_array(F.collect_list("__item")).alias("items"),
-        F.coalesce(F.max("__avg"), F.avg("__metric")).alias("avg_metric"),
-        *[F.coalesce(F.max(f"__{a}"), F.max(a)).alias(a) for a in attrs],
+    # Without the repartition a sort-merge join would leave all parts of an entity together.
+    packed = (
+        spread.unionByName(heads)
+        .repartition(*key, "part")
+        .groupBy(*key, "part")
+        .agg(
+            F.sort_array(per_entity[0]).alias("items"),
+            F.coalesce(F.max("__avg"), per_entity[1]).alias("avg_metric"),
+            *[F.coalesce(F.max(f"__{a}"), F.max(a)).alias(a) for a in attrs],
+        )
     )
     head = F.col("part") == 0
     return packed.select(
@@ -231,17 +249,23 @@ def unnest_history(df: DataFrame, keys: Sequence[str], history: str) -> DataFram
     return df.select(*keys, F.inline(F.col(history)))
 
 
-def active_days(events: DataFrame, keys: Sequence[str], ts: str, day: dt.date) -> DataFrame:
-    """Entities with at least one event on ``day``: rows (keys, active_date).
+def days_between(events: DataFrame, ts: str, first: dt.date, last: dt.date) -> DataFrame:
+    """Events of the days ``first`` to ``last``.
 
-    The filter is a range over the raw column, which reaches the Parquet scan.
+    The bounds have the type of the raw column, so the range reaches the Parquet scan.
     """
-    begin, end = F.lit(day), F.lit(day + dt.timedelta(days=1))
-    raw = F.col(ts)
+    kind = events.schema[ts].dataType
+    begin = F.lit(first).cast(kind)
+    end = F.lit(last + dt.timedelta(days=1)).cast(kind)
+    return events.where((F.col(ts) >= begin) & (F.col(ts) < end))
+
+
+def active_days(events: DataFrame, keys: Sequence[str], ts: str, day: dt.date) -> DataFrame:
+    """Entities with at least one event on ``day``: rows (keys, active_date)."""
     return (
-        events.where((raw >= begin.cast("timestamp_ntz")) & (raw < end.cast("timestamp_ntz")))
+        days_between(events, ts, day, day)
         .dropna(subset=list(keys))
-        .select(*keys, F.to_date(raw).alias("active_date"))
+        .select(*keys, F.to_date(ts).alias("active_date"))
         .distinct()
     )
 
@@ -284,9 +308,7 @@ def build_dates(
     keys = list(keys)
     n_days = (through - start).days + 1
     words = range((n_days + 62) // 63)
-    raw = F.col(ts)
-    until = through + dt.timedelta(days=1)
-    offset = F.datediff(F.to_date(raw), F.lit(start))
+    offset = F.datediff(F.to_date(ts), F.lit(start))
     one = F.lit(1).cast("long")
 
     def word(i: int) -> Column:
@@ -294,10 +316,7 @@ def build_dates(
         return F.bit_or(F.when(F.floor(F.col("__offset") / 63) == i, bit)).alias(f"__w{i}")
 
     rows = (
-        events.where(
-            (raw >= F.lit(start).cast("timestamp_ntz"))
-            & (raw < F.lit(until).cast("timestamp_ntz"))
-        )
+        days_between(events, ts, start, through)
         .dropna(subset=keys)
         .select(*keys, offset.alias("__offset"))
         .groupBy(*keys)
