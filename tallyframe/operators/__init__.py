@@ -11,7 +11,9 @@ from .checks import assert_domain, assert_unique, duplicate_keys, values_outside
 from .cumulate import (
     active_days,
     build_dates,
+    build_grouped,
     build_history,
+    carry_forward,
     cumulate_dates,
     cumulate_grouped,
     cumulate_history,
@@ -44,8 +46,10 @@ __all__ = [
     "assert_unique",
     "bucket_join",
     "build_dates",
+    "build_grouped",
     "build_history",
     "build_monthly",
+    "carry_forward",
     "clean_typed",
     "compare_layouts",
     "cumulate_dates",

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import append_item
@@ -232,6 +232,65 @@ def cumulate_grouped(
     )
 
 
+def build_grouped(
+    facts: DataFrame,
+    key: Sequence[str],
+    attrs: Sequence[str],
+    item: Column,
+    *,
+    metric: str,
+    period: str,
+    through: int,
+    history: str,
+    classify: tuple[str, Callable[[Column], Column]],
+    active: str,
+    max_items: int = 100_000,
+) -> DataFrame:
+    """The state after ``through`` in one pass, equal to :func:`cumulate_grouped` step by step.
+
+    Items are in the order of their periods. The class comes from the last active period.
+    """
+    key = list(key)
+    name, rule = classify
+    rows = facts.where(F.col(period) <= through).dropna(subset=key)
+    dated = F.struct(F.col(period).alias("p"), item.alias("i"))
+    packed = pack_items(rows, key, dated, metric, attrs, max_items)
+    last = (
+        rows.groupBy(*key, period)
+        .agg(F.avg(metric).alias("__avg"))
+        .groupBy(*key)
+        .agg(F.max(F.struct(period, "__avg")).alias("__last"))
+    )
+    head = F.col("part") == 0
+    return packed.join(last, key).select(
+        *key,
+        "part",
+        *attrs,
+        F.transform("items", lambda r: r["i"]).alias(history),
+        F.when(head, rule(F.col("__last.__avg"))).alias(name),
+        F.when(head, F.col(f"__last.{period}") == through).alias(active),
+        F.lit(through).alias(period),
+    )
+
+
+def carry_forward(
+    states: DataFrame, key: Sequence[str], period: str, horizon: int, active: str = "is_active"
+) -> DataFrame:
+    """A row for every period from an entity's first to ``horizon``.
+
+    Idle periods repeat the last active row with ``active`` false, as the cumulative steps do.
+    """
+    order = Window.partitionBy(*key).orderBy(period)
+    until = F.coalesce(F.lead(period).over(order) - 1, F.lit(horizon))
+    others = [c for c in states.columns if c != period]
+    return (
+        states.where(F.col(period) <= horizon)
+        .select(*others, F.col(period).alias("__from"), until.alias("__until"))
+        .select(*others, "__from", F.explode(F.sequence("__from", "__until")).alias(period))
+        .select(*others, period, (F.col(period) == F.col("__from")).alias(active))
+    )
+
+
 def history_ratio(
     df: DataFrame, history: str, field: str, keys: Sequence[str], name: str = "ratio"
 ) -> DataFrame:

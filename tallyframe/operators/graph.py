@@ -48,19 +48,19 @@ def member_totals(
     facts: DataFrame,
     member: str,
     event: str,
-    name: str,
     amount: str,
     group: str,
+    attrs: Sequence[str] = (),
     raw_rows: bool = False,
 ) -> DataFrame:
-    """Per member: name, number of events, total amount and the sorted groups it belongs to.
+    """Per member: attributes, number of events, total amount and the groups it belongs to.
 
-    Facts are deduplicated by (event, member) unless ``raw_rows``. The list holds distinct
-    groups only; they are gathered as a set before the shuffle.
+    Facts are deduplicated by (event, member) unless ``raw_rows``. ``group`` should come from a
+    small domain: its distinct values become one sorted list, gathered as a set per map task.
     """
     rows = facts if raw_rows else dedup(facts, [event, member])
     return rows.groupBy(member).agg(
-        F.max(name).alias("name"),
+        *[F.max(a).alias(a) for a in attrs],
         F.count(F.lit(1)).alias("number_of_events"),
         F.sum(amount).alias("total_amount"),
         F.sort_array(F.collect_set(group)).alias("groups"),

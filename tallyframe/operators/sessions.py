@@ -46,20 +46,15 @@ def _batch_sessions(events: DataFrame, ts: str, keys: list[str], gap: str) -> Da
     before any shuffle. A key then has at most one row per slot, however many events it had;
     each row asks for a window from its first event to ``gap`` after its last.
     """
-    seconds = seconds_of(gap)
-    slot = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(seconds * 1_000_000))
-    slots = (
-        events.where(F.col(ts).isNotNull())
-        .groupBy(*keys, slot.alias("__slot"))
-        .agg(
-            F.min(ts).alias("__first"),
-            F.max(ts).alias("__last"),
-            F.count(F.lit(1)).alias("__n"),
-        )
+    slots = events.groupBy(*keys, F.window(ts, gap)).agg(
+        F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.count(F.lit(1)).alias("__n")
     )
-    span = F.timestamp_diff("MICROSECOND", F.col("__first"), F.col("__last"))
+    span = F.col("__last") - F.col("__first")
+    part = {unit: F.extract(F.lit(unit), span) for unit in ("DAY", "HOUR", "MINUTE", "SECOND")}
     length = F.make_interval(
-        secs=(span.cast("decimal(20,0)") / 1_000_000 + seconds).cast("decimal(18,6)")
+        hours=part["DAY"] * 24 + part["HOUR"],
+        mins=part["MINUTE"],
+        secs=(part["SECOND"] + seconds_of(gap)).cast("decimal(18,6)"),
     )
     return slots.groupBy(F.session_window("__first", length).alias("w"), *keys).agg(
         F.sum("__n").alias("event_count")
