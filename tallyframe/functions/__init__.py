@@ -6,6 +6,7 @@ from .columns import (
     contains_token,
     differs,
     divisor_or_one,
+    has_all,
     json_object,
     same,
     seconds_of,
@@ -20,6 +21,7 @@ __all__ = [
     "contains_token",
     "differs",
     "divisor_or_one",
+    "has_all",
     "json_object",
     "same",
     "seconds_of",

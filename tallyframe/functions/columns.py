@@ -13,6 +13,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def has_all(keys: Sequence[str]) -> Column:
+    """No key is NULL. Each test reaches the scan, which ``dropna`` would not."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def class_by_thresholds(
     metric: Column | str, steps: Sequence[tuple[float, str]], otherwise: str
 ) -> Column:

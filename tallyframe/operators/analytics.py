@@ -64,13 +64,18 @@ def rolling_max_count(
 
     Rows count once per (key, order, flag). With a DATE as ``order`` a key has at most two rows
     per day after that step, which combines before the shuffle, so no window grows with the
-    number of facts.
+    number of facts. The count of a window is the difference of two running totals: a sliding
+    frame would add up all ``n`` rows again for each row.
     """
-    window = Window.partitionBy(key).orderBy(order, flag).rowsBetween(-(n - 1), 0)
+    window = Window.partitionBy(key).orderBy(order, flag)
+    total = F.sum(F.coalesce(F.col(flag), F.lit(False)).cast("long")).over(
+        window.rowsBetween(Window.unboundedPreceding, 0)
+    )
     return (
         df.select(key, order, flag)
         .distinct()
-        .withColumn("__n", F.count(F.when(F.col(flag), 1)).over(window))
+        .withColumn("__total", total)
+        .withColumn("__n", F.col("__total") - F.lag("__total", n, 0).over(window))
         .groupBy(key)
         .agg(F.max("__n").alias(name))
     )

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import append_item
+from ..functions import append_item, divisor_or_one, has_all
 from ..sources.tables import materialise
 
 _PRESENT = "__present"
@@ -40,7 +40,7 @@ def cumulate_history(
     """
     key, attrs = list(key), list(attrs)
     label = [classify[1].alias("__class")] if classify else []
-    t = today.dropna(subset=key).select(
+    t = today.where(has_all(key)).select(
         *key,
         *[F.col(a).alias(f"__t_{a}") for a in attrs],
         item.alias("__item"),
@@ -50,7 +50,7 @@ def cumulate_history(
     )
     state = [history, period_prev] + ([classify[0]] if classify else [])
     state += [recency] if recency else []
-    y = prev.dropna(subset=key).select(*key, *attrs, *state)
+    y = prev.where(has_all(key)).select(*key, *attrs, *state)
 
     here = F.col(_PRESENT).isNotNull()
     out = [F.coalesce(F.col(f"__t_{a}"), F.col(a)).alias(a) for a in attrs]
@@ -83,7 +83,7 @@ def build_history(
     """
     key, attrs = list(key), list(attrs)
     label = [classify[1].alias("c")] if classify else []
-    rows = periods.where(F.col(period) <= through).dropna(subset=key)
+    rows = periods.where(F.col(period) <= through).where(has_all(key))
     packed = rows.groupBy(*key).agg(
         F.sort_array(
             F.collect_list(
@@ -127,7 +127,7 @@ def pack_items(
     entity; they are NULL on the other parts. Items need a field that tells them apart.
     """
     key, attrs = list(key), list(attrs)
-    facts = facts.dropna(subset=key).select(
+    facts = facts.where(has_all(key)).select(
         *key, *attrs, F.col(metric).alias("__metric"), item.alias("__item")
     )
     per_entity = [F.collect_list("__item"), F.avg("__metric"), *[F.max(a) for a in attrs]]
@@ -212,7 +212,7 @@ def cumulate_grouped(
         *[F.col(a).alias(f"__t_{a}") for a in attrs],
         F.lit(True).alias(_PRESENT),
     )
-    y = prev.dropna(subset=key).select(*key, "part", *attrs, history, name, period_name)
+    y = prev.where(has_all(key)).select(*key, "part", *attrs, history, name, period_name)
     here = F.col(_PRESENT).isNotNull()
     head = F.col("part") == 0
     grown = (
@@ -252,7 +252,7 @@ def build_grouped(
     """
     key = list(key)
     name, rule = classify
-    rows = facts.where(F.col(period) <= through).dropna(subset=key)
+    rows = facts.where(F.col(period) <= through).where(has_all(key))
     dated = F.struct(F.col(period).alias("p"), item.alias("i"))
     packed = pack_items(rows, key, dated, metric, attrs, max_items)
     last = (
@@ -297,8 +297,7 @@ def history_ratio(
     """Last history value over the first one (0 counts as 1), best first."""
     first = F.get(F.col(history), F.lit(0))[field]
     last = F.get(F.col(history), F.size(history) - 1)[field]
-    ratio = last / F.when(first == 0, F.lit(1)).otherwise(first)
-    return df.select(*keys, ratio.alias(name)).orderBy(
+    return df.select(*keys, (last / divisor_or_one(first)).alias(name)).orderBy(
         F.col(name).desc_nulls_first(), *[F.col(k).asc_nulls_last() for k in keys]
     )
 
@@ -323,9 +322,10 @@ def active_days(events: DataFrame, keys: Sequence[str], ts: str, day: dt.date) -
     """Entities with at least one event on ``day``: rows (keys, active_date)."""
     return (
         days_between(events, ts, day, day)
-        .dropna(subset=list(keys))
-        .select(*keys, F.to_date(ts).alias("active_date"))
+        .where(has_all(keys))
+        .select(*keys)
         .distinct()
+        .withColumn("active_date", F.lit(day))
     )
 
 
@@ -339,8 +339,8 @@ def cumulate_dates(
 ) -> DataFrame:
     """One step of the list of active days. Days have to be applied in order."""
     keys = list(keys)
-    t = today.dropna(subset=keys).select(*keys, F.col(active_date).alias("__day"))
-    y = prev.dropna(subset=keys).select(*keys, dates, snapshot)
+    t = today.where(has_all(keys)).select(*keys, F.col(active_date).alias("__day"))
+    y = prev.where(has_all(keys)).select(*keys, dates, snapshot)
     day = F.col("__day")
     return y.join(t, keys, "full_outer").select(
         *keys,
@@ -376,7 +376,7 @@ def build_dates(
 
     rows = (
         days_between(events, ts, start, through)
-        .dropna(subset=keys)
+        .where(has_all(keys))
         .select(*keys, offset.alias("__offset"))
         .groupBy(*keys)
         .agg(*[word(i) for i in words])

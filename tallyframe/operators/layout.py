@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import data_files
+from ..sources.tables import data_files, materialise
 
 # The spellings of booleans in the text files.
 TRUE_TEXT = ("true", "TRUE", "1")
@@ -65,8 +65,9 @@ def enrich_left(
     return facts.join(dim, key, "left").withColumns(filled)
 
 
-def bucket_join(details: DataFrame, matches: DataFrame, medals: DataFrame, match: str,
-                player: str) -> DataFrame:
+def bucket_join(
+    details: DataFrame, matches: DataFrame, medals: DataFrame, match: str, player: str
+) -> DataFrame:
     """Details of a match with the match and the medals of the same player in it.
 
     Over tables bucketed by ``match`` neither join shuffles. A medal row meets only its own
@@ -89,11 +90,13 @@ def compare_layouts(df: DataFrame, orders: dict[str, Sequence[str]], path: str)
     """Writes ``df`` once per sort order and reports (layout, bytes, files).
 
     Rows stay in their partitions and are sorted there, so the files differ only by row order.
+    They are written once unsorted first, so the work behind ``df`` is not done per layout.
     """
+    rows = materialise(df, "layout-rows")
     reports = []
     for layout, columns in orders.items():
         target = f"{path}/{layout}"
-        df.sortWithinPartitions(*columns).write.mode("overwrite").parquet(target)
+        rows.sortWithinPartitions(*columns).write.mode("overwrite").parquet(target)
         reports.append(
             data_files(df.sparkSession, target)
             .agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import has_all
+
 
 def _zeros(n: int) -> Column:
     return F.array_repeat(F.lit(0).cast("long"), n)
@@ -30,11 +32,11 @@ def reduce_monthly(
     """
     key = list(key)
     offset = day.day - 1
-    t = daily.dropna(subset=key).select(
+    t = daily.where(has_all(key)).select(
         *key, *[F.col(c).cast("long").alias(f"__{a}") for a, c in metrics.items()]
     )
     first = F.lit(day.replace(day=1))
-    y = prev_month.where(F.col(month) == first).dropna(subset=key).select(*key, *metrics)
+    y = prev_month.where(F.col(month) == first).where(has_all(key)).select(*key, *metrics)
 
     def placed(array: str) -> Column:
         value = F.array(F.coalesce(F.col(f"__{array}"), F.lit(0).cast("long")))
@@ -64,7 +66,7 @@ def build_monthly(
     """
     key = list(key)
     first = through.replace(day=1)
-    rows = daily.where(F.col(day).between(F.lit(first), F.lit(through))).dropna(subset=key)
+    rows = daily.where(F.col(day).between(F.lit(first), F.lit(through))).where(has_all(key))
     packed = rows.groupBy(*key).agg(
         F.map_from_entries(
             F.collect_list(F.struct(F.dayofmonth(day), F.struct(*metrics.values())))

@@ -47,7 +47,7 @@ def customer_years(spark: SparkSession, folder: str) -> DataFrame:
 def states_shown(states: DataFrame) -> DataFrame:
     return states.withColumns(
         {c: F.col(c).cast("long") for c in ("first_active", "last_active", "period")}
-    )
+    ).orderBy("o_custkey", "period")
 
 
 @query("growth_states", _GROWTH_SQL.format(last="max(y)"))
@@ -231,7 +231,7 @@ def streaks(spark: SparkSession, folder: str, count_break: bool) -> DataFrame:
         ["o_custkey"],
         ["o_orderdate", "o_orderkey"],
         F.coalesce(F.col("o_totalprice"), F.lit(0)) > 150000,
-        segment=F.trunc("o_orderdate", "month"),
+        segment=F.to_date("o_orderdate"),
         count_break=count_break,
     )
 

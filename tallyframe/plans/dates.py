@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,14 @@ from ..operators import (
     unpack_monthly,
 )
 from ..session import new_path
-from ..sources import append_snapshot, read_snapshot, upsert_partition
+from ..sources import (
+    append_snapshot,
+    bucket_count,
+    read_snapshot,
+    total_bytes,
+    upsert_partition,
+    write_state,
+)
 from .registry import joined, query, table, text
 
 FIRST = dt.date(2024, 1, 1)
@@ -171,6 +179,27 @@ def snapshot_table(spark: SparkSession, folder: str) -> DataFrame:
     return shown(read_snapshot(spark, path, "date", SNAPSHOT), keys)
 
 
+@query(
+    "snapshot_state",
+    _DATES_SQL.format(keys="user_id", source="events", notnull="AND user_id IS NOT NULL"),
+)
+def snapshot_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through a table bucketed by user, whose state is joined where it lies."""
+    events = table(spark, folder, "events")
+    keys = ["user_id"]
+    name, path = f"user_dates_{uuid.uuid4().hex[:12]}", new_path(spark, "user_dates_state")
+    n_buckets = bucket_count(total_bytes(spark, f"{folder}/events.parquet"))
+    prev = build_dates(events, keys, "ts", FIRST, BEFORE, "dates_active", "date")
+    write_state(prev, name, ("date", BEFORE), keys, n_buckets, path)
+    yesterday = spark.table(name).where(F.col("date") == F.lit(BEFORE))
+    today = active_days(events, keys, "ts", SNAPSHOT)
+    write_state(
+        cumulate_dates(yesterday, today, keys, "dates_active", "date"),
+        name, ("date", SNAPSHOT), keys, n_buckets, path,
+    )
+    return shown(spark.table(name).where(F.col("date") == F.lit(SNAPSHOT)), keys)
+
+
 def type_days(events: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Hits and distinct users per event type and day."""
     return (

@@ -21,7 +21,14 @@ from ..operators import (
     unpaired_weights,
 )
 from ..session import new_path
-from ..sources import read_csv, text_schema, write_bucketed
+from ..sources import (
+    bucket_count,
+    read_bucketed,
+    read_csv,
+    text_schema,
+    total_bytes,
+    write_bucketed,
+)
 from .registry import instant, query, table
 
 N_BUCKETS = 16
@@ -142,22 +149,19 @@ FROM details d JOIN matches t ON t.match_id = d.match_id
 JOIN medals m ON m.match_id = d.match_id AND m.player = d.player""",
 )
 def bucketed_games(spark: SparkSession, folder: str) -> DataFrame:
-    """Three tables in 16 buckets each, joined without a shuffle."""
+    """Three tables bucketed alike, in 16 buckets or as many as their size asks for."""
     run = uuid.uuid4().hex[:12]
     path = new_path(spark, "games")
-
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        return write_bucketed(
-            df, f"{name}_{run}", N_BUCKETS, ["match_id"], os.path.join(path, name)
-        )
-
-    joined = bucket_join(
-        stored("match_details", match_details(spark, folder)),
-        stored("matches", matches(spark, folder)),
-        stored("match_medals", match_medals(spark, folder)),
-        "match_id",
-        "player",
-    )
+    n_bytes = total_bytes(spark, f"{folder}/lineitem.parquet", f"{folder}/orders.parquet")
+    n_buckets = bucket_count(n_bytes, least=N_BUCKETS)
+    tables = {}
+    for name, build in (
+        ("match_details", match_details), ("matches", matches), ("match_medals", match_medals)
+    ):
+        target = os.path.join(path, name)
+        write_bucketed(build(spark, folder), f"{name}_{run}", n_buckets, ["match_id"], target)
+        tables[f"{name}_{run}"] = target
+    joined = bucket_join(*read_bucketed(spark, tables), "match_id", "player")
     return joined.select(
         "match_id", "player", "kills", F.col("mapid").cast("long").alias("mapid"),
         "playlist_id", "medal_name", "n_medals",
@@ -197,9 +201,10 @@ def most_kills_as_written(spark: SparkSession, folder: str) -> DataFrame:
 
 def played(spark: SparkSession, folder: str) -> DataFrame:
     """Matches in which anyone played."""
-    return matches(spark, folder).join(
-        match_details(spark, folder).select("match_id"), "match_id", "left_semi"
+    with_players = (
+        table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("match_id")).distinct()
     )
+    return matches(spark, folder).join(with_players, "match_id", "left_semi")
 
 
 _PLAYED_SQL = """SELECT {shown}, count(DISTINCT match_id) AS playing_count

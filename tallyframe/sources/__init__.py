@@ -2,14 +2,19 @@ from .jdbc import JdbcTarget, append_rows, jdbc_sink
 from .kafka import KafkaSource, decode_events, kafka_events
 from .tables import (
     append_snapshot,
+    bucket_count,
     data_files,
     empty_state,
+    largest_bucket,
     materialise,
+    read_bucketed,
     read_csv,
     read_snapshot,
     text_schema,
+    total_bytes,
     upsert_partition,
     write_bucketed,
+    write_state,
     write_table,
 )
 
@@ -18,16 +23,21 @@ __all__ = [
     "KafkaSource",
     "append_rows",
     "append_snapshot",
+    "bucket_count",
     "data_files",
     "decode_events",
     "empty_state",
     "jdbc_sink",
     "kafka_events",
+    "largest_bucket",
     "materialise",
+    "read_bucketed",
     "read_csv",
     "read_snapshot",
     "text_schema",
+    "total_bytes",
     "upsert_partition",
     "write_bucketed",
+    "write_state",
     "write_table",
 ]

@@ -5,13 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.sessions import sessionize
 from ..sources.jdbc import JdbcTarget, jdbc_sink
 from ..sources.kafka import EVENT_TIME, KafkaSource, kafka_events
 
 
+MERGE_FIRST = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
+def start_merged(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+    """Starts a query that merges the sessions of each task before the shuffle.
+
+    A busy key then sends few sessions per task instead of all its events. A query keeps the
+    settings it was started with, so the session gets its own back at once.
+    """
+    before = spark.conf.get(MERGE_FIRST, "false")
+    spark.conf.set(MERGE_FIRST, "true")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(MERGE_FIRST, before)
+
+
 def sessions_to_files(
     events: DataFrame,
     ts: str,
@@ -23,26 +40,26 @@ def sessions_to_files(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Writes each session once it can no longer grow. The file sink is exactly-once."""
-    return (
+    writer = (
         sessionize(events, ts, keys, gap, watermark)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    return start_merged(events.sparkSession, writer)
 
 
 def sessions_to_jdbc(
     spark: SparkSession, source: KafkaSource, target: JdbcTarget, checkpoint: str
 ) -> StreamingQuery:
     """Kafka to database, sessions per (ip, host). Errors end the query and reach the caller."""
-    return (
+    writer = (
         sessionize(kafka_events(spark, source), EVENT_TIME, ["ip", "host"])
         .writeStream.outputMode("append")
         .foreachBatch(jdbc_sink(target))
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime="60 seconds")
-        .start()
     )
+    return start_merged(spark, writer)
