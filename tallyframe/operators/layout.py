@@ -80,10 +80,11 @@ def unpaired_weights(details: DataFrame, medals: DataFrame, match: str) -> DataF
     """Details with ``weight``, the number of medal rows of their match.
 
     A join of details and medals on the match alone repeats each detail that often. Sums over
-    weights give the same answers without emitting the pairs.
+    weights give the same answers without emitting the pairs. The weights are written first:
+    adaptive execution splits a hot match only if both sides are shuffled for the join itself.
     """
     per_match = medals.groupBy(match).agg(F.count(F.lit(1)).alias("weight"))
-    return details.join(per_match, match)
+    return details.join(materialise(per_match, "weights"), match)
 
 
 def compare_layouts(df: DataFrame, orders: dict[str, Sequence[str]], path: str) -> DataFrame:

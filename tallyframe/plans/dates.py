@@ -24,8 +24,8 @@ from ..operators import (
 from ..session import new_path
 from ..sources import (
     append_snapshot,
-    bucket_count,
     read_snapshot,
+    state_buckets,
     total_bytes,
     upsert_partition,
     write_state,
@@ -188,7 +188,7 @@ def snapshot_state(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     keys = ["user_id"]
     name, path = f"user_dates_{uuid.uuid4().hex[:12]}", new_path(spark, "user_dates_state")
-    n_buckets = bucket_count(total_bytes(spark, f"{folder}/events.parquet"))
+    n_buckets = state_buckets(spark, total_bytes(spark, f"{folder}/events.parquet"))
     prev = build_dates(events, keys, "ts", FIRST, BEFORE, "dates_active", "date")
     write_state(prev, name, ("date", BEFORE), keys, n_buckets, path)
     yesterday = spark.table(name).where(F.col("date") == F.lit(BEFORE))

@@ -36,14 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder of this machine; a cluster
     without the setting is an error, since its executors would not share that folder.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallyframe-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyframe-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:

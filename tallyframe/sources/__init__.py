@@ -10,6 +10,7 @@ from .tables import (
     read_bucketed,
     read_csv,
     read_snapshot,
+    state_buckets,
     text_schema,
     total_bytes,
     upsert_partition,
@@ -34,6 +35,7 @@ __all__ = [
     "read_bucketed",
     "read_csv",
     "read_snapshot",
+    "state_buckets",
     "text_schema",
     "total_bytes",
     "upsert_partition",

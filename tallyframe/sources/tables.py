@@ -88,6 +88,15 @@ def bucket_count(n_bytes: int, bucket_bytes: int = 256 << 20, least: int = 16) -
     return n
 
 
+def state_buckets(spark: SparkSession, n_bytes: int) -> int:
+    """Buckets of a cumulative table: no fewer than the partitions of a shuffle.
+
+    With fewer, Spark would rather shuffle the state than join it with so few tasks.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return bucket_count(n_bytes, least=max(16, partitions))
+
+
 def total_bytes(spark: SparkSession, *paths: str) -> int:
     """Bytes of the Parquet files at the given paths, from their listing."""
     sizes = [data_files(spark, p).agg(F.coalesce(F.sum("length"), F.lit(0))) for p in paths]
@@ -132,7 +141,8 @@ def write_state(
     """Adds one snapshot to a cumulative table that is partitioned by it and bucketed by entity.
 
     A step joins yesterday's snapshot with today's facts. From such a table the state is read in
-    place, so only the facts of the day are shuffled, however large the state has grown.
+    place, so only the facts of the day are shuffled, however large the state has grown. Choose
+    ``n`` with :func:`state_buckets`.
     ``snapshot`` is the partition column and the value it has in ``df``; a value that is in the
     table already is an error, as it would be a second row per entity.
     """
