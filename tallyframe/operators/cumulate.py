@@ -116,11 +116,13 @@ def pack_items(
     metric: str,
     attrs: Sequence[str],
     max_items: int,
+    spread: Column | None = None,
 ) -> DataFrame:
     """All items of an entity as arrays of about ``max_items``: rows (key, part, items, ...).
 
-    Nearly every entity fits into part 0. One that does not is spread by the hash of its items
-    over as many parts as its size asks for, so no task ever gathers an unbounded group. The
+    Nearly every entity fits into part 0. One that does not is spread by ``spread``, an integer
+    over the columns of ``facts`` (by default the hash of the item), over as many parts as its
+    size asks for, so no task ever gathers an unbounded group. The
     list of such entities is written first (one narrow counting pass), and its file size tells
     Spark whether to broadcast it. Part 0
     always exists and carries the average of ``metric`` and the attributes of the *whole*
@@ -128,7 +130,11 @@ def pack_items(
     """
     key, attrs = list(key), list(attrs)
     facts = facts.where(has_all(key)).select(
-        *key, *attrs, F.col(metric).alias("__metric"), item.alias("__item")
+        *key,
+        *attrs,
+        F.col(metric).alias("__metric"),
+        item.alias("__item"),
+        (F.xxhash64(item) if spread is None else spread).alias("__spread"),
     )
     per_entity = [F.collect_list("__item"), F.avg("__metric"), *[F.max(a) for a in attrs]]
     names = ["items", "avg_metric", *attrs]
@@ -150,20 +156,20 @@ def pack_items(
             *[c.alias(n) for c, n in zip(per_entity[1:], names[1:], strict=True)],
         )
         return packed.select(*key, F.lit(0).alias("part"), *names)
-    spread = facts.join(large, key, "left").withColumn(
-        "part",
-        F.coalesce(F.pmod(F.xxhash64("__item"), F.col("__parts")), F.lit(0)).cast("int"),
+    parted = facts.join(large, key, "left").withColumn(
+        "part", F.coalesce(F.pmod("__spread", F.col("__parts")), F.lit(0)).cast("int")
     )
     heads = large.select(
         "*",
         F.lit(0).alias("part"),
+        F.lit(None).cast("long").alias("__spread"),
         F.lit(None).cast(facts.schema["__item"].dataType).alias("__item"),
         F.lit(None).cast("double").alias("__metric"),
         *[F.lit(None).cast(facts.schema[a].dataType).alias(a) for a in attrs],
     )
     # Without the repartition a sort-merge join would leave all parts of an entity together.
     packed = (
-        spread.unionByName(heads)
+        parted.unionByName(heads)
         .repartition(*key, "part")
         .groupBy(*key, "part")
         .agg(
@@ -196,6 +202,7 @@ def cumulate_grouped(
     classify: tuple[str, Callable[[Column], Column]],
     active: str,
     max_items: int = 100_000,
+    spread: Column | None = None,
 ) -> DataFrame:
     """One step of a history to which an entity adds *all* its facts of the period.
 
@@ -204,7 +211,7 @@ def cumulate_grouped(
     """
     key, attrs = list(key), list(attrs)
     name, rule = classify
-    t = pack_items(facts, key, item, metric, attrs, max_items).select(
+    t = pack_items(facts, key, item, metric, attrs, max_items, spread).select(
         *key,
         "part",
         F.col("items").alias("__items"),
@@ -245,6 +252,7 @@ def build_grouped(
     classify: tuple[str, Callable[[Column], Column]],
     active: str,
     max_items: int = 100_000,
+    spread: Column | None = None,
 ) -> DataFrame:
     """The state after ``through`` in one pass, equal to :func:`cumulate_grouped` step by step.
 
@@ -254,7 +262,7 @@ def build_grouped(
     name, rule = classify
     rows = facts.where(F.col(period) <= through).where(has_all(key))
     dated = F.struct(F.col(period).alias("p"), item.alias("i"))
-    packed = pack_items(rows, key, dated, metric, attrs, max_items)
+    packed = pack_items(rows, key, dated, metric, attrs, max_items, spread)
     last = (
         rows.groupBy(*key, period)
         .agg(F.avg(metric).alias("__avg"))

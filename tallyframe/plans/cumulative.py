@@ -164,16 +164,23 @@ def order_class() -> tuple:
     return "order_class", lambda avg: class_by_thresholds(avg, ORDER_STEPS, "bad")
 
 
-def grouped_state(spark: SparkSession, folder: str, max_items: int = 100_000) -> DataFrame:
+MAX_ORDERS = 100_000
+
+
+def grouped_state(
+    spark: SparkSession, folder: str, max_items: int = MAX_ORDERS
+) -> DataFrame:
+    """Order keys run on, so their remainder spreads a large customer's orders evenly."""
+    spread = F.col("o_orderkey")
     prev = build_grouped(
         orders_of(spark, folder, FIRST_YEAR, LAST_YEAR - 1), KEY, ATTRS, order_item(),
         metric="cents", period="year", through=LAST_YEAR - 1, history="orders",
-        classify=order_class(), active="is_active", max_items=max_items,
+        classify=order_class(), active="is_active", max_items=max_items, spread=spread,
     )
     return cumulate_grouped(
         prev, orders_of(spark, folder, LAST_YEAR, LAST_YEAR), KEY, ATTRS, order_item(),
         metric="cents", period=LAST_YEAR, period_name="year", history="orders",
-        classify=order_class(), active="is_active", max_items=max_items,
+        classify=order_class(), active="is_active", max_items=max_items, spread=spread,
     )
 
 
@@ -183,16 +190,22 @@ def grouped_state(spark: SparkSession, folder: str, max_items: int = 100_000) ->
 WITH o AS (SELECT o_custkey, o_orderkey, year(o_orderdate) AS y,
                   CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority AS p
            FROM orders WHERE o_custkey IS NOT NULL AND year(o_orderdate) BETWEEN 1995 AND 2001),
+sizes AS (SELECT o_custkey, y = 2001 AS now,
+                 CASE WHEN count(*) > 100000 THEN CAST(ceil(count(*) / 100000) AS BIGINT)
+                      ELSE 1 END AS parts
+          FROM o GROUP BY 1, 2),
+placed AS (SELECT o_custkey, o_orderkey % parts AS part,
+                  string_agg(o_orderkey || ':' || cents, ';' ORDER BY y, o_orderkey) AS orders
+           FROM o JOIN sizes USING (o_custkey) WHERE (y = 2001) = now GROUP BY 1, 2),
 yearly AS (SELECT o_custkey, y, sum(cents) / count(*) AS av FROM o GROUP BY 1, 2),
 last_year AS (SELECT o_custkey, arg_max(av, y) AS av, max(y) AS y FROM yearly GROUP BY 1),
-names AS (SELECT o_custkey, coalesce(max(CASE WHEN y < 2001 THEN p END), max(p)) AS priority,
-                 string_agg(o_orderkey || ':' || cents, ';' ORDER BY y, o_orderkey) AS orders
+names AS (SELECT o_custkey, coalesce(max(CASE WHEN y < 2001 THEN p END), max(p)) AS priority
           FROM o GROUP BY 1)
-SELECT o_custkey, CAST(0 AS BIGINT) AS part, priority, orders,
-       CASE WHEN av > 35000000 THEN 'star' WHEN av > 25000000 THEN 'good'
+SELECT o_custkey, part, CASE WHEN part = 0 THEN priority END AS priority, orders,
+       CASE WHEN part > 0 THEN NULL WHEN av > 35000000 THEN 'star' WHEN av > 25000000 THEN 'good'
             WHEN av > 15000000 THEN 'average' ELSE 'bad' END AS order_class,
-       y = 2001 AS is_active, CAST(2001 AS BIGINT) AS year
-FROM names JOIN last_year USING (o_custkey)
+       CASE WHEN part = 0 THEN y = 2001 END AS is_active, CAST(2001 AS BIGINT) AS year
+FROM placed JOIN names USING (o_custkey) JOIN last_year USING (o_custkey)
 """,
 )
 def cumulative_grouped(spark: SparkSession, folder: str) -> DataFrame:
