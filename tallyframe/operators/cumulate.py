@@ -326,12 +326,17 @@ def days_between(events: DataFrame, ts: str, first: dt.date, last: dt.date) -> D
     return events.where((F.col(ts) >= begin) & (F.col(ts) < end))
 
 
-def active_days(events: DataFrame, keys: Sequence[str], ts: str, day: dt.date) -> DataFrame:
-    """Entities with at least one event on ``day``: rows (keys, active_date)."""
+def active_days(
+    events: DataFrame, keys: Sequence[str], ts: str, day: dt.date, also: Sequence[str] = ()
+) -> DataFrame:
+    """Entities with at least one event on ``day``: rows (keys, also, active_date).
+
+    The columns of ``also`` are told apart too, but may be NULL.
+    """
     return (
         days_between(events, ts, day, day)
         .where(has_all(keys))
-        .select(*keys)
+        .select(*keys, *also)
         .distinct()
         .withColumn("active_date", F.lit(day))
     )
