@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seconds_of
@@ -43,21 +43,32 @@ def _batch_sessions(events: DataFrame, ts: str, keys: list[str], gap: str) -> Da
     """Sessions from counts per key and time slot.
 
     Two events in one slot of the gap's length always share a session, so slots can be counted
-    before any shuffle. A key then has at most one row per slot, however many events it had;
-    each row asks for a window from its first event to ``gap`` after its last.
+    before any shuffle. A key then has at most one row per slot, however many events it had, and
+    a slot opens a session if it starts more than ``gap`` after the end of the one before.
     """
-    slots = events.groupBy(*keys, F.window(ts, gap)).agg(
-        F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.count(F.lit(1)).alias("__n")
-    )
-    span = F.col("__last") - F.col("__first")
-    part = {unit: F.extract(F.lit(unit), span) for unit in ("DAY", "HOUR", "MINUTE", "SECOND")}
-    length = F.make_interval(
-        hours=part["DAY"] * 24 + part["HOUR"],
-        mins=part["MINUTE"],
-        secs=(part["SECOND"] + seconds_of(gap)).cast("decimal(18,6)"),
+    slots = (
+        events.select(*keys, F.col(ts).alias("__ts"), F.window(ts, gap)["start"].alias("__slot"))
+        .groupBy(*keys, "__slot")
+        .agg(
+            F.min("__ts").alias("__first"),
+            F.max("__ts").alias("__last"),
+            F.count(F.lit(1)).alias("__n"),
+        )
     )
-    return slots.groupBy(F.session_window("__first", length).alias("w"), *keys).agg(
-        F.sum("__n").alias("event_count")
+    order = Window.partitionBy(*keys).orderBy("__slot")
+    seconds = F.lit(seconds_of(gap))
+    reach = F.timestamp_add("SECOND", seconds, F.lag("__last").over(order))
+    opens = F.coalesce(F.col("__first") > reach, F.lit(True)).cast("long")
+    return (
+        slots.withColumn("__opens", opens)
+        .withColumn("__session", F.sum("__opens").over(order))
+        .groupBy(*keys, "__session")
+        .agg(
+            F.min("__first").alias("start"),
+            F.timestamp_add("SECOND", seconds, F.max("__last")).alias("end"),
+            F.sum("__n").alias("event_count"),
+        )
+        .select(F.struct("start", "end").alias("w"), *keys, "event_count")
     )
 
 
