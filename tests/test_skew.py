@@ -10,9 +10,11 @@ from tallyframe.operators import (
     edges,
     growth_states,
     longest_streak,
+    normalise_fact,
     pack_items,
     sessionize,
     top_k_per_group,
+    unpaired_weights,
 )
 
 N = 6000
@@ -109,8 +111,9 @@ def test_growth_has_one_shuffle_after_a_partial_set(facts):
     assert "Window" not in plan and "Join" not in plan
 
 
-def test_adaptive_execution_splits_a_hot_join_key(spark, facts):
-    """A join of facts with their dimension, followed by a grouping on other columns."""
+@pytest.fixture
+def small_partitions(spark):
+    """Settings under which a few kilobytes count as a skewed partition."""
     small = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -122,12 +125,37 @@ def test_adaptive_execution_splits_a_hot_join_key(spark, facts):
     before = {k: spark.conf.get(k, None) for k in small}
     for k, v in small.items():
         spark.conf.set(k, v)
-    try:
-        dim = spark.range(N).select(F.col("id").alias("k"), (F.col("id") % 5).alias("season"))
-        rows = facts.repartition(8).join(dim, "k").groupBy("season").agg(F.sum("v").alias("s"))
-        plan = executed(rows)
-        assert "skew=true" in plan
-        assert sum(r.s for r in rows.collect()) == sum(range(N))
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_adaptive_execution_splits_a_hot_join_key(spark, facts, small_partitions):
+    """A join of facts with their dimension, followed by a grouping on other columns."""
+    dim = spark.range(N).select(F.col("id").alias("k"), (F.col("id") % 5).alias("season"))
+    rows = facts.repartition(8).join(dim, "k").groupBy("season").agg(F.sum("v").alias("s"))
+    plan = executed(rows)
+    assert "skew=true" in plan
+    assert sum(r.s for r in rows.collect()) == sum(range(N))
+
+
+def test_normalised_facts_split_a_hot_game(spark, facts, small_partitions):
+    games = spark.range(N).select(F.col("id").alias("k"), (F.col("id") % 5).alias("season"))
+    out = normalise_fact(
+        facts.repartition(8), games, ["k"], ["k", "v"], {"season": F.col("season"), "v": F.col("v")}
+    )
+    assert "skew=true" in executed(out)
+    assert out.count() == N
+
+
+def test_weights_split_a_hot_match(spark, facts, small_partitions):
+    medals = facts.select("k").distinct().crossJoin(spark.range(2))
+    out = unpaired_weights(facts.repartition(8), medals, "k")
+    assert "skew=true" in executed(out)
+    assert out.agg(F.sum("weight")).first()[0] == 2 * N
+
+
+def test_packing_splits_the_join_with_large_entities(spark, facts, small_partitions):
+    packed = pack_items(facts.repartition(8), ["k"], F.struct("v"), "v", ["name"], max_items=100)
+    assert "skew=true" in executed(packed)
+    assert packed.select(F.inline("items")).distinct().count() == N
