@@ -122,69 +122,78 @@ def pack_items(
 
     Nearly every entity fits into part 0. One that does not is spread by ``spread``, an integer
     over the columns of ``facts`` (by default the hash of the item), over as many parts as its
-    size asks for, so no task ever gathers an unbounded group. The
-    list of such entities is written first (one narrow counting pass), and its file size tells
-    Spark whether to broadcast it. Part 0
-    always exists and carries the average of ``metric`` and the attributes of the *whole*
-    entity; they are NULL on the other parts. Items need a field that tells them apart.
+    size asks for; copies of one item go on to the next parts. So no task ever gathers an
+    unbounded group. The list of such entities is written first (one narrow counting pass), and
+    its file size tells Spark whether to broadcast it. Part 0 always exists and carries the
+    average of ``metric`` and the attributes of the *whole* entity; they are NULL on the others.
     """
     key, attrs = list(key), list(attrs)
     facts = facts.where(has_all(key)).select(
         *key,
         *attrs,
-        F.col(metric).alias("__metric"),
+        F.col(metric).cast("double").alias("__metric"),
         item.alias("__item"),
         (F.xxhash64(item) if spread is None else spread).alias("__spread"),
     )
-    per_entity = [F.collect_list("__item"), F.avg("__metric"), *[F.max(a) for a in attrs]]
-    names = ["items", "avg_metric", *attrs]
+    whole = {"avg_metric": F.avg("__metric"), **{a: F.max(a) for a in attrs}}
+    n, parts = F.col("__n"), F.col("__parts")
     large = materialise(
         facts.groupBy(*key)
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.avg("__metric").alias("__avg"),
-            *[F.max(a).alias(f"__{a}") for a in attrs],
-        )
-        .where(F.col("__n") > max_items)
-        .withColumn("__parts", F.ceil(F.col("__n") / F.lit(max_items)).cast("long"))
+        .agg(F.count(F.lit(1)).alias("__n"), *[c.alias(f"__all_{k}") for k, c in whole.items()])
+        .where(n > max_items)
+        .withColumn("__parts", F.ceil(n / F.lit(max_items)).cast("long"))
         .drop("__n"),
         "large-entities",
     )
     if large.isEmpty():
         packed = facts.groupBy(*key).agg(
-            F.sort_array(per_entity[0]).alias("items"),
-            *[c.alias(n) for c, n in zip(per_entity[1:], names[1:], strict=True)],
+            F.sort_array(F.collect_list("__item")).alias("items"),
+            *[c.alias(k) for k, c in whole.items()],
         )
-        return packed.select(*key, F.lit(0).alias("part"), *names)
-    parted = facts.join(large, key, "left").withColumn(
-        "part", F.coalesce(F.pmod("__spread", F.col("__parts")), F.lit(0)).cast("int")
+        return packed.select(*key, F.lit(0).alias("part"), "items", *whole)
+
+    # Copies of an item are counted before the shuffle and travel as chunks of an array.
+    counted = facts.groupBy(*key, "__item").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.max("__spread").alias("__spread"),
+        F.sum("__metric").alias("__sum"),
+        F.count("__metric").alias("__count"),
+        *[F.max(a).alias(a) for a in attrs],
     )
-    heads = large.select(
-        "*",
-        F.lit(0).alias("part"),
-        F.lit(None).cast("long").alias("__spread"),
-        F.lit(None).cast(facts.schema["__item"].dataType).alias("__item"),
-        F.lit(None).cast("double").alias("__metric"),
-        *[F.lit(None).cast(facts.schema[a].dataType).alias(a) for a in attrs],
+    chunk = F.col("__chunk")
+    chunks = (
+        counted.join(large, key, "left")
+        .withColumn("__chunk", F.explode(F.sequence(F.lit(0), ((n - 1) / max_items).cast("int"))))
+        .withColumn(
+            "part", F.coalesce(F.pmod(F.col("__spread") + chunk, parts), F.lit(0)).cast("int")
+        )
+        .withColumn(
+            "__items",
+            F.array_repeat(
+                "__item", F.least(F.lit(max_items), n - chunk * max_items).cast("int")
+            ),
+        )
+        .drop("__item", "__n", "__spread", "__chunk")
     )
+    heads = large.withColumn("part", F.lit(0))
+    average = F.try_divide(F.sum("__sum"), F.sum("__count"))
+    head = F.col("part") == 0
     # Without the repartition a sort-merge join would leave all parts of an entity together.
-    packed = (
-        parted.unionByName(heads)
+    return (
+        chunks.unionByName(heads, allowMissingColumns=True)
         .repartition(*key, "part")
         .groupBy(*key, "part")
         .agg(
-            F.sort_array(per_entity[0]).alias("items"),
-            F.coalesce(F.max("__avg"), per_entity[1]).alias("avg_metric"),
-            *[F.coalesce(F.max(f"__{a}"), F.max(a)).alias(a) for a in attrs],
+            F.sort_array(F.flatten(F.collect_list("__items"))).alias("items"),
+            F.coalesce(F.max("__all_avg_metric"), average).alias("avg_metric"),
+            *[F.coalesce(F.max(f"__all_{a}"), F.max(a)).alias(a) for a in attrs],
+        )
+        .select(
+            *key,
+            "part",
+            "items",
+            *[F.when(head, F.col(c)).alias(c) for c in whole],
         )
-    )
-    head = F.col("part") == 0
-    return packed.select(
-        *key,
-        "part",
-        "items",
-        F.when(head, F.col("avg_metric")).alias("avg_metric"),
-        *[F.when(head, F.col(a)).alias(a) for a in attrs],
     )
 
 

@@ -45,7 +45,11 @@ def growth_states(
     return (
         packed.select(key, F.get(seen, F.lit(0)).alias("first_active"), F.inline(spans))
         .select(
-            key, "first_active", "before", "active", F.explode(F.sequence("active", "upto")).alias("period")
+            key,
+            "first_active",
+            "before",
+            "active",
+            F.explode(F.sequence("active", "upto")).alias("period"),
         )
         .select(
             key,

@@ -69,7 +69,8 @@ def test_player_points_on_first_run(spark, seasons):
 
 
 def test_player_states(seasons):
-    got = [(r.player_name, r.player_state, r.season) for r in players.player_states(seasons).collect()]
+    states = players.player_states(seasons).collect()
+    got = [(r.player_name, r.player_state, r.season) for r in states]
     assert got == [
         ("Ann", "New", 2000), ("Ann", "Continued Playing", 2001),
         ("Bob", "New", 2000), ("Bob", "Retired", 2001), ("Bob", "Returned from Retirement", 2002),

@@ -51,6 +51,16 @@ def test_a_hot_entity_is_packed_in_parts_and_keeps_all_items(spark, facts):
     assert packed.where("part > 0 AND (avg_metric IS NOT NULL OR name IS NOT NULL)").count() == 0
 
 
+def test_copies_of_one_item_are_spread_too(spark, facts):
+    """A third of all rows are the same item of the same entity."""
+    packed = pack_items(facts, ["k"], F.struct("k"), "v", ["name"], max_items=100)
+    sizes = [n for _, n in packed.where("k = 0").select("part", F.size("items")).collect()]
+    assert len(sizes) == 20 and sum(sizes) == N // 3 and max(sizes) <= 200
+    assert packed.agg(F.sum(F.size("items"))).first()[0] == N
+    two = pack_items(facts.where("k < 3"), ["k"], F.struct("k"), "v", ["name"], max_items=100)
+    assert two.where("k = 1").select("part", F.size("items"), "avg_metric").collect() == [(0, 1, 1.0)]
+
+
 def test_the_parts_of_a_hot_entity_lie_in_different_tasks(spark, facts):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
