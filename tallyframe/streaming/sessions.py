@@ -12,21 +12,32 @@ from ..sources.jdbc import JdbcTarget, jdbc_sink
 from ..sources.kafka import EVENT_TIME, KafkaSource, kafka_events
 
 
-MERGE_FIRST = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+# Sessions merge in each task before the shuffle, so a busy key sends few sessions instead of all
+# its events. Open sessions are kept on disk, so their number is not bound by executor memory.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
 
 
-def start_merged(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
-    """Starts a query that merges the sessions of each task before the shuffle.
+def start_with_settings(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+    """Starts a query with ``STREAM_SETTINGS``.
 
-    A busy key then sends few sessions per task instead of all its events. A query keeps the
-    settings it was started with, so the session gets its own back at once.
+    A query keeps the settings it was started with, so the session gets its own back at once.
     """
-    before = spark.conf.get(MERGE_FIRST, "false")
-    spark.conf.set(MERGE_FIRST, "true")
+    before = {name: spark.conf.get(name, None) for name in STREAM_SETTINGS}
+    for name, value in STREAM_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         return writer.start()
     finally:
-        spark.conf.set(MERGE_FIRST, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def sessions_to_files(
@@ -48,7 +59,7 @@ def sessions_to_files(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    return start_merged(events.sparkSession, writer)
+    return start_with_settings(events.sparkSession, writer)
 
 
 def sessions_to_jdbc(
@@ -62,4 +73,4 @@ def sessions_to_jdbc(
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime="60 seconds")
     )
-    return start_merged(spark, writer)
+    return start_with_settings(spark, writer)

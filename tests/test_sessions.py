@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators import session_stats, session_stats_by_host, sessionize
 from tallyframe.sources import decode_events
 from tallyframe.streaming import sessions_to_files
+from tallyframe.streaming.sessions import STREAM_SETTINGS
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "ip string, host string, ts timestamp"
@@ -105,6 +106,15 @@ def test_stream_emits_closed_sessions_once(spark, tmp_path):
     assert dropped == 0
 
 
+def test_stream_settings_do_not_stay_in_the_session(spark, tmp_path):
+    before = {name: spark.conf.get(name, None) for name in STREAM_SETTINGS}
+    rows, _ = run(spark, tmp_path, [[("i", "h", T0)], [("i", "h", at(hours=1))]])
+    assert rows == [(T0, "i", 1)]
+    assert {name: spark.conf.get(name, None) for name in STREAM_SETTINGS} == before
+    state = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path / "check" / "state") for f in fs]
+    assert any(name.endswith(".zip") or name.endswith(".changelog") for name in state)
+
+
 def test_stream_drops_late_and_malformed_events(spark, tmp_path):
     batches = [
         [("i", "h", T0), ("i", "h", "yesterday"), ("i", "h", "2024-01-01 00:01:00")],
