@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_classifier
+from . import jaccard_join, line_dedup, quality_classifier
 from .registry import query, table
 
 
@@ -23,6 +23,11 @@ def labelled_quality(spark: SparkSession, folder: str, documents: DataFrame) ->
     return documents.select("doc_id", "text").join(labels, "doc_id")
 
 
+@query("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents"))
+
+
 @query("op7_quality_votes")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
