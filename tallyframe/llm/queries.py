@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, quality_classifier
+from . import decontaminate, jaccard_join, line_dedup, packing, quality_classifier
 from .registry import query, table
 
 
@@ -23,6 +23,22 @@ def labelled_quality(spark: SparkSession, folder: str, documents: DataFrame) ->
     return documents.select("doc_id", "text").join(labels, "doc_id")
 
 
+@query("op2_benchmark_passages")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_packing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_digests(table(spark, folder, "documents"))
+
+
+def packed_digests(documents: DataFrame) -> DataFrame:
+    return packing.pack(documents).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query("op4_ngram_jaccard_join")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents"))
