@@ -33,13 +33,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group; texts without a word are kept.
 
-    Rows that repeat this doc_id all stay: a doc_id names one document.
+    Rows that share this doc_id stay together, but of those that are equal one stays.
     """
-    groups = jaccard_join.jaccard_join(docs).select(F.col("doc_id").alias("__id"), "class_id")
-    groups = materialise(groups.distinct(), "groups")
-    kept = groups.where(F.col("__id").eqNullSafe(F.col("class_id"))).select("__id")
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]), "left_semi")
-    return stay
+    groups = jaccard_join.jaccard_join(docs)
+    kept = (
+        groups.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+        .groupBy(F.col("doc_id").alias("__id"))
+        .agg(F.count("*").alias("__n"))
+    )
+    stay = docs.join(materialise(kept, "kept"), docs["doc_id"].eqNullSafe(F.col("__id")))
+    once, again = stay.where("__n = 1"), stay.where("__n > 1")
+    return once.select(*docs.columns).unionByName(again.select(*docs.columns).dropDuplicates())
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

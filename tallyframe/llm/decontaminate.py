@@ -72,7 +72,7 @@ def sample_steps(n_words: int, sample: int, seed: int) -> np.ndarray:
 def sketches(tokens: np.ndarray, starts: np.ndarray, stops: np.ndarray, n_words: int, seed: int) -> np.ndarray:
     """One bit sample of the embeddings, as a 64-bit hash for each start."""
     chosen = sample_steps(n_words, SAMPLE, seed)
-    out = np.full(len(starts), np.uint64(seed + 1) * np.uint64(0x9E3779B97F4A7C15), np.uint64)
+    out = np.full(len(starts), at.random_words(1, 200 + seed)[0], np.uint64)
     for k, here in enumerate(walk(tokens, starts, stops, int(chosen[-1]) + 1, seed)):
         if k in chosen:
             out = at.mixed(out * np.uint64(0xD6E8FEB86659FD93) ^ here)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, packing, quality_classifier
+from . import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, url_filter
 from .registry import query, table
 
 
@@ -23,6 +23,71 @@ def labelled_quality(spark: SparkSession, folder: str, documents: DataFrame) ->
     return documents.select("doc_id", "text").join(labels, "doc_id")
 
 
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+_OP1_SQL = r"""
+WITH RECURSIVE rules(decision, rhost, rpath) AS (VALUES
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), tags AS (
+  SELECT url, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''>\s]+)', 1) AS href
+  FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')) AS tag
+        FROM pages)
+  UNION ALL
+  SELECT url, regexp_extract(tag, '(?is)\bcontent\s*=\s*["'']?[^>]*?\burl\s*=\s*["'']?([^"''>\s]+)', 1)
+  FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')) AS tag
+        FROM pages)
+), links AS (
+  SELECT DISTINCT url, CASE
+    WHEN contains(href, '://') THEN href
+    WHEN starts_with(href, '//') THEN regexp_extract(url, '^[^:]*') || ':' || href
+    WHEN starts_with(href, '/') THEN regexp_extract(url, '^[^:]*://[^/?#]*') || href
+    ELSE regexp_extract(url, '^[^:]*://[^/?#]*') || coalesce(nullif(regexp_extract(url, '://[^/?#]*([^?#]*/)', 1), ''), '/') || href
+    END AS target
+  FROM tags WHERE href <> '' AND href NOT LIKE '#%' AND href NOT LIKE '?%'
+), rest AS (
+  SELECT DISTINCT u, CASE WHEN contains(u, '://') THEN substr(u, instr(u, '://') + 3) ELSE '' END AS r
+  FROM (SELECT url AS u FROM pages UNION SELECT target FROM links UNION SELECT url FROM links)
+), urls AS (
+  SELECT u, coalesce(translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') AS path,
+    array_to_string(list_filter(string_split(regexp_extract(r, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: NOT regexp_matches(x, '^(utm_[^=&]*|gclid|fbclid)=')), '&') AS query
+  FROM rest
+), nodes AS (
+  SELECT *, CASE WHEN host <> '' THEN host || CASE path WHEN '' THEN '/' ELSE path END
+    || CASE coalesce(query, '') WHEN '' THEN '' ELSE '?' || query END END AS node FROM urls
+), fits AS (
+  SELECT u, arg_max(decision, length(rhost || rpath)) AS decision, arg_max(rhost || rpath, length(rhost || rpath)) AS rule
+  FROM nodes JOIN rules ON (host = rhost OR suffix(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY u
+), edges AS (
+  SELECT DISTINCT a.node AS a, b.node AS b FROM links l JOIN nodes a ON a.u = l.url JOIN nodes b ON b.u = l.target
+), both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+bad(node) AS (
+  SELECT node FROM nodes JOIN fits USING (u) WHERE decision = 'block' AND node IS NOT NULL
+  UNION
+  SELECT b FROM bad JOIN both_ways ON bad.node = both_ways.a
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+  coalesce(decision, CASE WHEN node IN (SELECT node FROM bad) THEN 'block' END, 'allow') AS verdict
+FROM pages LEFT JOIN nodes ON nodes.u = pages.url LEFT JOIN fits ON fits.u = pages.url
+"""
+
+
+@query("op1_url_filters", _OP1_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    judged = url_filter.filter_urls(pages, url_filter.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op2_benchmark_passages")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
