@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, url_filter
+from . import (
+    chat_format,
+    decontaminate,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    url_filter,
+)
 from .registry import query, table
 
 
@@ -104,6 +115,44 @@ def packed_digests(documents: DataFrame) -> DataFrame:
     )
 
 
+@query("op3_secret_scan")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    base = F.filter("found", lambda x: x["kind"] != "random")
+
+    def listed(spans) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"),
+    )
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents")).drop("class_distance", "word_distance")
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = language_id.fit(documents.select("doc_id", "text", "lang").where(remainder != 1))
+    found = language_id.predict(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", (remainder == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_chat_format")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, folder, "conversations"))
+
+
 @query("op4_ngram_jaccard_join")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents"))
