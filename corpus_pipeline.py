@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import decontaminate, jaccard_join, line_dedup, quality_classifier
-from tallyframe.llm.queries import labelled_quality, packed_digests
+from tallyframe.llm.queries import packed_digests, quality_labels
 from tallyframe.sources.tables import materialise
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled ones vote for."""
-    model = quality_classifier.fit(labelled_quality(spark, sf_dir, docs))
+    model = quality_classifier.fit(docs, quality_labels(spark, sf_dir))
     scored = quality_classifier.score(docs.withColumnRenamed("score", "__score"), model)
     return scored.where(F.col("score") >= quality_classifier.THRESHOLD).drop("score").select(
         *[F.col("__score").alias("score") if c == "score" else F.col(c) for c in docs.columns]

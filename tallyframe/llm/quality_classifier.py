@@ -126,24 +126,33 @@ def _sparse_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def fit(
-    labelled: DataFrame,
+    documents: DataFrame,
+    labels: DataFrame,
     n_labelled: int = N_LABELLED,
     dimensions: int = N_DIMENSIONS,
     neighbours: int = N_NEIGHBOURS,
 ) -> Model:
-    """Fits on rows (doc_id, text, label), label 0 to 1; null labels are left out.
+    """Fits on ``documents`` (doc_id, text) that have a label in ``labels`` (doc_id, label).
 
-    ``n_labelled`` bounds the sample: the rows first in the order of a hash of doc_id. Terms are
-    counted in tasks; the driver gets at most that many sparse rows, of at most N_TERMS terms each.
+    Labels are from 0 to 1; null ones are left out, and repeated ones of a doc_id are averaged.
+    ``n_labelled`` bounds the sample: the labelled ids first in the order of a hash. Their list is
+    broadcast, terms are counted in tasks, and the driver gets a sparse row of at most N_TERMS
+    terms for each.
     """
+    chosen = (
+        labels.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.avg("label").cast("double").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(n_labelled)
+    )
     sample = (
-        labelled.where(F.col("label").isNotNull())
-        .select(F.col("label").cast("double").alias("label"), F.coalesce("text", F.lit("")).alias("text"),
-                F.xxhash64("doc_id").alias("place"))
-        .orderBy("place", "label")
+        documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        .join(F.broadcast(chosen), "doc_id")
+        .orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
         .limit(n_labelled)
         .select("label", "text")
-    )
+    )
     rows = sample.mapInArrow(_sparse_counts, "label double, terms binary, counts binary").collect()
     counts = np.zeros((len(rows), N_TERMS), np.float32)
     for k, row in enumerate(rows):

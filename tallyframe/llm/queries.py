@@ -20,18 +20,10 @@ from . import (
 from .registry import query, table
 
 
-def labelled_quality(spark: SparkSession, folder: str, documents: DataFrame) -> DataFrame:
-    """Documents with their quality label, only those that may be learned from.
-
-    Repeated labels of one document are averaged.
-    """
-    labels = (
-        table(spark, folder, "labels")
-        .where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
-        .groupBy("doc_id")
-        .agg(F.avg("quality").alias("label"))
-    )
-    return documents.select("doc_id", "text").join(labels, "doc_id")
+def quality_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality labels that may be learned from."""
+    usable = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    return table(spark, folder, "labels").where(usable).select("doc_id", F.col("quality").alias("label"))
 
 
 URL_RULES = [
@@ -161,7 +153,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_quality_votes")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    model = quality_classifier.fit(labelled_quality(spark, folder, documents))
+    model = quality_classifier.fit(documents, quality_labels(spark, folder))
     scored = quality_classifier.score(documents, model)
     return scored.select(
         "doc_id",
