@@ -44,6 +44,9 @@ LENGTHS = (20, 24, 32, 48, 96)
 STEPS = 100
 FALSE_SHARE = 0.05
 LEAST_STEP = 1
+#: Strings that a class must have in the upper three quarters, and standard errors by which these
+#: may fall off towards the top.
+MIN_STRINGS, MAX_FALL = 12, 1.64
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -133,25 +136,28 @@ def _overlaps(x: Column, others: Column) -> Column:
 def cut_offs(found: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """(encoding, length_class, least) from (encoding, length_class, step) of all candidates.
 
-    Of random strings a share of (STEPS - s) / STEPS lies at step s or above. Their number is taken
-    from the upper half, quarter and tenth, less one standard deviation, whichever is least: the
-    values of ordinary strings fall off towards the top, and few strings prove nothing. The least
-    step keeps the estimated share of ordinary strings at or above it below ``false_share``.
+    Of random strings a share of (STEPS - s) / STEPS lies at step s or above, so their number is
+    taken from the upper three quarters. These must hold MIN_STRINGS, or they prove nothing, and
+    must not fall off towards the top, as the values of ordinary strings do (a one-sided test of the
+    last quarter against the second). The least step keeps the estimated share of ordinary strings at or above it below
+    ``false_share``, within one standard error.
     """
     key = ["encoding", "length_class"]
     counts = found.groupBy(*key, "step").agg(F.count("*").alias("n"))
     above = Window.partitionBy(*key).orderBy(F.col("step").desc())
     whole = Window.partitionBy(*key)
-
-    def random(first: int) -> Column:
-        n = F.sum(F.when(F.col("step") >= first, F.col("n")).otherwise(0)).over(whole)
-        return (n - F.sqrt(n)) * STEPS / (STEPS - first)
-
+    quarters = [
+        F.sum(F.when((F.col("step") * 4 >= k * STEPS) & (F.col("step") * 4 < (k + 1) * STEPS), F.col("n")).otherwise(0)).over(whole)
+        for k in (1, 2, 3)
+    ]
+    each = (quarters[0] + quarters[1] + quarters[2]) / 3
     return (
         counts.withColumn("above", F.sum("n").over(above))
-        .withColumn("random", F.least(*[random(STEPS * k // 100) for k in (50, 75, 90)]))
-        .withColumn("false", 1 - F.col("random") * (STEPS - F.col("step")) / STEPS / F.col("above"))
-        .where((F.col("false") <= false_share) & (F.col("step") >= LEAST_STEP) & (F.col("random") > 0))
+        .withColumn("each", each)
+        .withColumn("fall", (quarters[0] - quarters[2]) / F.sqrt(F.greatest(quarters[0] + quarters[2], F.lit(1))))
+        .withColumn("false", 1 - F.col("each") * 4 * (STEPS - F.col("step")) / STEPS / F.col("above"))
+        .where((F.col("each") * 3 >= MIN_STRINGS) & (F.col("fall") <= MAX_FALL) & (F.col("step") >= LEAST_STEP))
+        .where(F.col("false") <= false_share + 1 / F.sqrt("above"))
         .groupBy(*key)
         .agg(F.min("step").alias("least"))
     )
