@@ -94,10 +94,14 @@ def as_cents(amount: Column | str) -> Column:
     return F.round(_col(amount) * 100).cast("long")
 
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
 def seconds_of(duration: str) -> int:
-    """Seconds of a duration such as ``"5 minutes"``."""
+    """Seconds of a duration such as ``"5 minutes"``; one of milliseconds has to be whole seconds."""
     number, unit = duration.split()
+    if unit.rstrip("s") == "millisecond":
+        if int(number) % 1000:
+            raise ValueError(f"{duration} is not a whole number of seconds")
+        return int(number) // 1000
     return int(number) * _UNIT_SECONDS[unit.rstrip("s")]

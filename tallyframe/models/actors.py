@@ -22,7 +22,7 @@ LOWEST_CLASS = "bad"
 
 ACTORS_SCHEMA = (
     "actorid string, part int, actor string, "
-    "films array<struct<film:string,votes:int,rating:float,filmid:string>>, "
+    "films array<struct<film:string,votes:int,rating:float,filmid:string,copies:long>>, "
     "quality_class string, is_active boolean, current_year int"
 )
 
@@ -32,9 +32,12 @@ def quality(average: Column) -> Column:
 
 
 def actors_step(
-    actors: DataFrame, films: DataFrame, year: int, max_films: int = 100_000
+    actors: DataFrame, films: DataFrame, year: int, n_parts: int = 1
 ) -> DataFrame:
-    """The actors of ``year`` from those of the year before."""
+    """The actors of ``year`` from those of the year before.
+
+    An actor has ``n_parts`` rows, over which the films are spread.
+    """
     return cumulate_grouped(
         actors.where(F.col("current_year") == year - 1),
         films.where(F.col("year") == year),
@@ -47,7 +50,7 @@ def actors_step(
         history="films",
         classify=("quality_class", quality),
         active="is_active",
-        max_items=max_films,
+        n_parts=n_parts,
     )
 
 

@@ -21,7 +21,7 @@ from ..operators import (
     top_n,
     unpaired_weights,
 )
-from ..sources import read_bucketed, read_csv, write_bucketed
+from ..sources import read_csv, write_bucketed
 
 # Bucket count, time pattern, columns and types of the cleansed tables.
 N_BUCKETS = 16
@@ -82,17 +82,15 @@ def bucket_tables(
     prefix: str = "",
     n_buckets: int = N_BUCKETS,
 ) -> list[DataFrame]:
-    """The three tables written in buckets of match_id, to be joined without a shuffle."""
-    tables = {}
-    for name, df in (
-        ("match_details_bucketed", details),
-        ("matches_bucketed", matches),
-        ("medal_matches_players_bucketed", medals),
-    ):
-        target = os.path.join(path, name)
-        write_bucketed(df, prefix + name, n_buckets, ["match_id"], target)
-        tables[prefix + name] = target
-    return read_bucketed(details.sparkSession, tables)
+    """The tables in buckets: details and medals of match and player, matches of match."""
+    return [
+        write_bucketed(df, prefix + name, n_buckets, keys, os.path.join(path, name))
+        for name, df, keys in (
+            ("match_details_bucketed", details, ["match_id", "player_gamertag"]),
+            ("matches_bucketed", matches, ["match_id"]),
+            ("medal_matches_players_bucketed", medals, ["match_id", "player_gamertag"]),
+        )
+    ]
 
 
 def joined(details: DataFrame, matches: DataFrame, medals: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from .analytics import (
     unpivot_sides,
     win_flag,
 )
-from .bitmap import ACTIVITY_MASKS, activity_flags, datelist_int
+from .bitmap import ACTIVITY_MASKS, activity_flags, datelist_int, datelist_words
 from .checks import assert_domain, assert_unique, duplicate_keys, values_outside
 from .cumulate import (
     active_days,
@@ -27,6 +27,7 @@ from .graph import edges, member_totals, union_all, vertices
 from .growth import growth_states
 from .layout import (
     bucket_join,
+    check_layouts,
     clean_typed,
     compare_layouts,
     enrich_broadcast,
@@ -45,6 +46,7 @@ __all__ = [
     "assert_domain",
     "assert_unique",
     "bucket_join",
+    "check_layouts",
     "build_dates",
     "build_grouped",
     "build_history",
@@ -56,6 +58,7 @@ __all__ = [
     "cumulate_grouped",
     "cumulate_history",
     "datelist_int",
+    "datelist_words",
     "days_between",
     "dedup",
     "duplicate_keys",

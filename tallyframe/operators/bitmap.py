@@ -36,10 +36,12 @@ def datelist_int(
     """Adds a bitmap of the active days in ``[start, end]``.
 
     A narrow map over the array: no cross join with a day series and no shuffle. With
-    ``anchor_bit=32`` the snapshot day gets the value 2**32, which a 32-bit mask cuts off.
+    ``anchor_bit=32`` the snapshot day gets the value 2**32, which a 32-bit mask cuts off. A range
+    with days that have no bit is an error; :func:`datelist_words` takes ranges of any length.
     """
-    first = max(start, snapshot - dt.timedelta(days=anchor_bit))
-    inside = F.filter(dates, lambda d: d.between(F.lit(first), F.lit(end)))
+    if start < snapshot - dt.timedelta(days=anchor_bit) or end > snapshot + dt.timedelta(days=62 - anchor_bit):
+        raise ValueError(f"{start} to {end} does not fit into the bits around {snapshot}")
+    inside = F.filter(dates, lambda d: d.between(F.lit(start), F.lit(end)))
     bits = F.aggregate(
         inside,
         F.lit(0).cast("long"),
@@ -48,6 +50,29 @@ def datelist_int(
     return df.withColumn(name, bits)
 
 
+def datelist_words(
+    df: DataFrame, dates: str, snapshot: dt.date, start: dt.date, width: int = WIDTH, name: str = "datelist_words"
+) -> DataFrame:
+    """Adds the bitmap of the active days in ``[start, snapshot]`` as an array of integers.
+
+    Word 0 is that of :func:`datelist_int`, ending on the snapshot day; each further word holds the
+    ``width`` days before.
+    """
+    n = (snapshot - start).days // width + 1
+    inside = F.filter(dates, lambda d: d.between(F.lit(start), F.lit(snapshot)))
+
+    def word(k: int) -> Column:
+        last = snapshot - dt.timedelta(days=k * width)
+        first = last - dt.timedelta(days=width - 1)
+        return F.aggregate(
+            F.filter(inside, lambda d: d.between(F.lit(first), F.lit(last))),
+            F.lit(0).cast("long"),
+            lambda acc, d: acc.bitwiseOR(day_bit(d, last, width - 1)),
+        )
+
+    return df.withColumn(name, F.array(*[word(k) for k in range(n)]))
+
+
 def activity_flags(
     df: DataFrame, bitmap: str = "datelist_int", masks: dict[str, int] | None = None
 ) -> DataFrame:

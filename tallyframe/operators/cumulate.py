@@ -113,90 +113,41 @@ def pack_items(
     facts: DataFrame,
     key: Sequence[str],
     item: Column,
-    metric: str,
-    attrs: Sequence[str],
-    max_items: int,
+    n_parts: int = 1,
     spread: Column | None = None,
+    copies: str = "copies",
 ) -> DataFrame:
-    """All items of an entity as arrays of about ``max_items``: rows (key, part, items, ...).
-
-    Nearly every entity fits into part 0. One that does not is spread by ``spread``, an integer
-    over the columns of ``facts`` (by default the hash of the item), over as many parts as its
-    size asks for; copies of one item go on to the next parts. So no task ever gathers an
-    unbounded group. The list of such entities is written first (one narrow counting pass), and
-    its file size tells Spark whether to broadcast it. Part 0 always exists and carries the
-    average of ``metric`` and the attributes of the *whole* entity; they are NULL on the others.
+    """The distinct items of an entity in ``n_parts`` arrays: rows (key, part, items).
+
+    ``item`` is a struct; it gets a last field ``copies``, the number of its repetitions. Repetitions
+    are counted before the shuffle, so they neither travel nor fill an array. An item lies in the
+    part that ``spread``, an integer over the columns of ``facts``, names modulo ``n_parts`` (by
+    default the hash of the item). The caller chooses ``n_parts`` by the size of the largest
+    entity; it holds for all entities alike. Parts without items have no row.
     """
-    key, attrs = list(key), list(attrs)
-    facts = facts.where(has_all(key)).select(
-        *key,
-        *attrs,
-        F.col(metric).cast("double").alias("__metric"),
-        item.alias("__item"),
-        (F.xxhash64(item) if spread is None else spread).alias("__spread"),
-    )
-    whole = {"avg_metric": F.avg("__metric"), **{a: F.max(a) for a in attrs}}
-    n, parts = F.col("__n"), F.col("__parts")
-    large = materialise(
-        facts.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("__n"), *[c.alias(f"__all_{k}") for k, c in whole.items()])
-        .where(n > max_items)
-        .withColumn("__parts", F.ceil(n / F.lit(max_items)).cast("long"))
-        .drop("__n"),
-        "large-entities",
-    )
-    if large.isEmpty():
-        packed = facts.groupBy(*key).agg(
-            F.sort_array(F.collect_list("__item")).alias("items"),
-            *[c.alias(k) for k, c in whole.items()],
-        )
-        return packed.select(*key, F.lit(0).alias("part"), "items", *whole)
-
-    # Copies of an item are counted before the shuffle and travel as chunks of an array.
-    counted = facts.groupBy(*key, "__item").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.max("__spread").alias("__spread"),
-        F.sum("__metric").alias("__sum"),
-        F.count("__metric").alias("__count"),
-        *[F.max(a).alias(a) for a in attrs],
+    key = list(key)
+    place = F.pmod(F.xxhash64(item) if spread is None else spread, F.lit(n_parts)).cast("int")
+    counted = (
+        facts.where(has_all(key))
+        .select(*key, place.alias("part"), item.alias("__item"))
+        .groupBy(*key, "part", "__item")
+        .agg(F.count(F.lit(1)).alias("__n"))
     )
-    chunk = F.col("__chunk")
-    chunks = (
-        counted.join(large, key, "left")
-        .withColumn("__chunk", F.explode(F.sequence(F.lit(0), ((n - 1) / max_items).cast("int"))))
-        .withColumn(
-            "part", F.coalesce(F.pmod(F.col("__spread") + chunk, parts), F.lit(0)).cast("int")
-        )
-        .withColumn(
-            "__items",
-            F.array_repeat(
-                "__item", F.least(F.lit(max_items), n - chunk * max_items).cast("int")
-            ),
-        )
-        .drop("__item", "__n", "__spread", "__chunk")
-    )
-    heads = large.withColumn("part", F.lit(0))
-    average = F.try_divide(F.sum("__sum"), F.sum("__count"))
-    head = F.col("part") == 0
-    # Without the repartition a sort-merge join would leave all parts of an entity together.
-    return (
-        chunks.unionByName(heads, allowMissingColumns=True)
-        .repartition(*key, "part")
-        .groupBy(*key, "part")
-        .agg(
-            F.sort_array(F.flatten(F.collect_list("__items"))).alias("items"),
-            F.coalesce(F.max("__all_avg_metric"), average).alias("avg_metric"),
-            *[F.coalesce(F.max(f"__all_{a}"), F.max(a)).alias(a) for a in attrs],
-        )
-        .select(
-            *key,
-            "part",
-            "items",
-            *[F.when(head, F.col(c)).alias(c) for c in whole],
-        )
+    return counted.groupBy(*key, "part").agg(
+        F.sort_array(F.collect_list(F.col("__item").withField(copies, F.col("__n")))).alias("items")
     )
 
 
+def _in_parts(
+    entities: DataFrame, items: DataFrame, key: Sequence[str], n_parts: int
+) -> DataFrame:
+    """Every entity once for each part, with the part's items or none."""
+    every = entities.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+    joined = every.join(items, [*key, "part"], "left")
+    empty = F.array().cast(items.schema["items"].dataType)
+    return joined.withColumn("items", F.coalesce(F.col("items"), empty))
+
+
 def cumulate_grouped(
     prev: DataFrame,
     facts: DataFrame,
@@ -210,40 +161,41 @@ def cumulate_grouped(
     history: str,
     classify: tuple[str, Callable[[Column], Column]],
     active: str,
-    max_items: int = 100_000,
+    n_parts: int = 1,
     spread: Column | None = None,
 ) -> DataFrame:
     """One step of a history to which an entity adds *all* its facts of the period.
 
-    The class comes from the average of ``metric`` over those facts. State rows are keyed by
-    (key, part), see :func:`pack_items`; an array holds about ``max_items`` per period.
+    The class comes from the average of ``metric`` over those facts; attributes keep their first
+    value. The state has ``n_parts`` rows for each entity, see :func:`pack_items`: the history is
+    spread over them, and class, activity and attributes stand on each. ``n_parts`` and
+    ``spread`` must stay the same from step to step.
     """
     key, attrs = list(key), list(attrs)
     name, rule = classify
-    t = pack_items(facts, key, item, metric, attrs, max_items, spread).select(
-        *key,
-        "part",
-        F.col("items").alias("__items"),
-        F.col("avg_metric").alias("__avg"),
-        *[F.col(a).alias(f"__t_{a}") for a in attrs],
-        F.lit(True).alias(_PRESENT),
+    entities = facts.where(has_all(key)).groupBy(*key).agg(
+        F.avg(F.col(metric).cast("double")).alias("__avg"), *[F.max(a).alias(f"__t_{a}") for a in attrs]
+    )
+    items = pack_items(facts, key, item, n_parts, spread)
+    t = (
+        _in_parts(entities, items, key, n_parts)
+        .withColumnRenamed("items", "__items")
+        .withColumn(_PRESENT, F.lit(True))
     )
     y = prev.where(has_all(key)).select(*key, "part", *attrs, history, name, period_name)
     here = F.col(_PRESENT).isNotNull()
-    head = F.col("part") == 0
     grown = (
         F.when(~here, F.col(history))
         .when(F.col(history).isNull(), F.col("__items"))
         .otherwise(F.concat(F.col(history), F.col("__items")))
     )
-    label = F.when(here, rule(F.col("__avg"))).otherwise(F.col(name))
     return y.join(t, [*key, "part"], "full_outer").select(
         *key,
         "part",
         *[F.coalesce(F.col(a), F.col(f"__t_{a}")).alias(a) for a in attrs],
         grown.alias(history),
-        F.when(head, label).alias(name),
-        F.when(head, here).alias(active),
+        F.when(here, rule(F.col("__avg"))).otherwise(F.col(name)).alias(name),
+        here.alias(active),
         F.when(here, F.lit(period)).otherwise(F.col(period_name) + 1).alias(period_name),
     )
 
@@ -260,32 +212,38 @@ def build_grouped(
     history: str,
     classify: tuple[str, Callable[[Column], Column]],
     active: str,
-    max_items: int = 100_000,
+    n_parts: int = 1,
     spread: Column | None = None,
 ) -> DataFrame:
     """The state after ``through`` in one pass, equal to :func:`cumulate_grouped` step by step.
 
-    Items are in the order of their periods. The class comes from the last active period.
+    Items are in the order of their periods. The class comes from the last active period, the
+    attributes from the first period that has a value.
     """
-    key = list(key)
+    key, attrs = list(key), list(attrs)
     name, rule = classify
     rows = facts.where(F.col(period) <= through).where(has_all(key))
     dated = F.struct(F.col(period).alias("p"), item.alias("i"))
-    packed = pack_items(rows, key, dated, metric, attrs, max_items, spread)
-    last = (
+    place = F.xxhash64(item) if spread is None else spread
+    items = pack_items(rows, key, dated, n_parts, place).withColumn(
+        "items", F.transform("items", lambda r: r["i"].withField("copies", r["copies"]))
+    )
+    entities = (
         rows.groupBy(*key, period)
-        .agg(F.avg(metric).alias("__avg"))
+        .agg(F.avg(F.col(metric).cast("double")).alias("__avg"), *[F.max(a).alias(a) for a in attrs])
         .groupBy(*key)
-        .agg(F.max(F.struct(period, "__avg")).alias("__last"))
+        .agg(
+            F.max(F.struct(period, "__avg")).alias("__last"),
+            *[F.min_by(a, F.when(F.col(a).isNotNull(), F.col(period))).alias(a) for a in attrs],
+        )
     )
-    head = F.col("part") == 0
-    return packed.join(last, key).select(
+    return _in_parts(entities, items, key, n_parts).select(
         *key,
         "part",
         *attrs,
-        F.transform("items", lambda r: r["i"]).alias(history),
-        F.when(head, rule(F.col("__last.__avg"))).alias(name),
-        F.when(head, F.col(f"__last.{period}") == through).alias(active),
+        F.col("items").alias(history),
+        rule(F.col("__last.__avg")).alias(name),
+        (F.col(f"__last.{period}") == through).alias(active),
         F.lit(through).alias(period),
     )
 

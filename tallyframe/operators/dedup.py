@@ -45,12 +45,12 @@ def normalise_fact(
 ) -> DataFrame:
     """Typed ``dim_*`` / ``m_*`` columns of a fact with its dimension, one row per key.
 
-    ``on`` has to be part of ``key`` and unique in ``dim``. Then the join cannot change which
-    row of a key survives, and duplicates are removed before the join instead of after it.
+    ``on`` has to be part of ``key``. Then the join cannot change which row of a key survives, and
+    duplicates of both sides are removed before the join instead of after it.
     """
     missing = [c for c in on if c not in key]
     if missing:
         raise ValueError(f"join columns {missing} are not part of the fact key")
-    return dedup(fact, key).join(dim, list(on), "inner").select(
+    return dedup(fact, key).join(dedup(dim, list(on)), list(on), "inner").select(
         *[c.alias(name) for name, c in columns.items()]
     )

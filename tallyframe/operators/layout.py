@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import data_files, materialise
@@ -36,25 +36,16 @@ def clean_typed(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     return df.select(*[typed(name, kind).alias(name) for name, kind in spec.items()])
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Reads no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def enrich_broadcast(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str | Sequence[str],
-    how: str = "inner",
-    max_rows: int = 100_000,
+    facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Facts with the columns of a small dimension, without a shuffle of the facts.
+    """Facts with the columns of a dimension.
 
-    The dimension is counted first. Beyond ``max_rows`` it is joined without the hint, and
-    adaptive execution chooses the join and splits hot keys.
+    No hint and no count: Spark broadcasts the dimension if its size in bytes is below
+    ``spark.sql.autoBroadcastJoinThreshold``, so a small one costs no shuffle of the facts. Beyond it
+    the join shuffles, and adaptive execution splits hot keys.
     """
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    return facts.join(side, key, how)
+    return facts.join(dim, key, how)
 
 
 def enrich_left(
@@ -68,23 +59,34 @@ def enrich_left(
 def bucket_join(
     details: DataFrame, matches: DataFrame, medals: DataFrame, match: str, player: str
 ) -> DataFrame:
-    """Details of a match with the match and the medals of the same player in it.
+    """Details of a match with the medals of the same player in it, and with the match.
 
-    Over tables bucketed by ``match`` neither join shuffles. A medal row meets only its own
-    player: pairing all players with all medals of a match would repeat both.
+    Details and medals bucketed by (match, player) meet without a shuffle, and a match with very many
+    players lies in many buckets. The match comes last, over a join that adaptive execution may
+    split. A medal row meets only its own player: pairing all players with all medals of a match
+    would repeat both.
+
+    Tables that are all bucketed by ``match`` alone join without any shuffle if the caller sets
+    ``spark.sql.requireAllClusterKeysForCoPartition`` to false; a hot match is one task then.
     """
-    return details.join(matches, match).join(medals, [match, player])
+    return details.hint("merge").join(medals, [match, player]).join(matches, match)
 
 
-def unpaired_weights(details: DataFrame, medals: DataFrame, match: str) -> DataFrame:
+def unpaired_weights(
+    details: DataFrame, medals: DataFrame, match: str, spread: Column | None = None, n_salts: int = 1
+) -> DataFrame:
     """Details with ``weight``, the number of medal rows of their match.
 
     A join of details and medals on the match alone repeats each detail that often. Sums over
-    weights give the same answers without emitting the pairs. The weights are written first:
-    adaptive execution splits a hot match only if both sides are shuffled for the join itself.
+    weights give the same answers without emitting the pairs. With ``n_salts`` the details of a
+    match are spread by ``spread`` (an integer over their columns) and each weight is repeated
+    that often, so a hot match is joined in several tasks.
     """
     per_match = medals.groupBy(match).agg(F.count(F.lit(1)).alias("weight"))
-    return details.join(materialise(per_match, "weights"), match)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("__salt")
+    place = F.pmod(F.lit(0) if spread is None else spread, F.lit(n_salts)).cast("int")
+    salted = details.withColumn("__salt", place)
+    return salted.join(per_match.select("*", salts), [match, "__salt"]).drop("__salt")
 
 
 def compare_layouts(df: DataFrame, orders: dict[str, Sequence[str]], path: str) -> DataFrame:
@@ -107,3 +109,31 @@ def compare_layouts(df: DataFrame, orders: dict[str, Sequence[str]], path: str)
     for report in reports[1:]:
         out = out.unionByName(report)
     return out
+
+
+def check_layouts(df: DataFrame, orders: dict[str, Sequence[str]], path: str, key: str) -> DataFrame:
+    """Writes ``df`` once per sort order and reads it back: (layout, n_rows, key_sum, n_unsorted).
+
+    ``n_unsorted`` counts the rows that come before their predecessor in the file, in the layout's
+    order. A file is looked at by itself, so the work is split by files.
+    """
+    rows = materialise(df, "layout-rows")
+    out = None
+    for layout, columns in orders.items():
+        target = f"{path}/{layout}"
+        rows.sortWithinPartitions(*columns).write.mode("overwrite").parquet(target)
+        stored = df.sparkSession.read.parquet(target).select(
+            key, F.struct(*columns).alias("__now"), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
+        )
+        before = F.lag("__now").over(Window.partitionBy("__file").orderBy("__row"))
+        report = (
+            stored.withColumn("__before", before)
+            .agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.sum(key).alias("key_sum"),
+                F.count_if(F.col("__now") < F.col("__before")).alias("n_unsorted"),
+            )
+            .select(F.lit(layout).alias("layout"), "n_rows", "key_sum", "n_unsorted")
+        )
+        out = report if out is None else out.unionByName(report)
+    return out

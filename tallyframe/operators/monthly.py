@@ -97,16 +97,13 @@ def unpack_monthly(
     group: Sequence[str],
     month: str,
     array: str,
-    positions: int | None = None,
     first_offset: int = 0,
 ) -> DataFrame:
     """Daily totals of a group, from the sum of its arrays at each position.
 
-    ``positions`` keeps only the first few; ``first_offset=1`` dates position 1 one day late.
+    ``first_offset=1`` dates position 1 one day late.
     """
     rows = df.select(*group, month, F.posexplode(array).alias("__pos", "__value"))
-    if positions is not None:
-        rows = rows.where(F.col("__pos") < positions)
     return (
         rows.groupBy(*group, month, "__pos")
         .agg(F.sum("__value").alias("value"))

@@ -25,8 +25,10 @@ def scd2_build(
 ) -> DataFrame:
     """Intervals in which the tracked columns stay the same, from one state per period.
 
-    All windows and groups share the partitioning by ``key``: one shuffle. ``as_written`` reads
-    periods after the snapshot too and takes a change from or to NULL for no change.
+    An interval carries the latest value of ``attrs``, as repeated merges leave it. All windows and
+    groups share the partitioning by ``key``: one shuffle. ``as_written`` reads periods after the
+    snapshot too, takes a change from or to NULL for no change, and splits an interval where one
+    of ``attrs`` differs.
     """
     key, attrs, tracked = list(key), list(attrs), list(tracked)
     rows = states if as_written else states.where(F.col(period) <= snapshot)
@@ -36,9 +38,9 @@ def scd2_build(
     return (
         rows.withColumns({b: F.lag(c).over(order) for b, c in zip(before, tracked, strict=True)})
         .withColumn("__streak", F.sum(changed).over(order))
-        .groupBy(*key, "__streak", *tracked)
+        .groupBy(*key, "__streak", *tracked, *(attrs if as_written else []))
         .agg(
-            *[F.max(a).alias(a) for a in attrs],
+            *([] if as_written else [F.max_by(a, period).alias(a) for a in attrs]),
             F.min(period).alias("__first"),
             F.max(period).alias("__last"),
         )

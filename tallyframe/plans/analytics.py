@@ -18,25 +18,21 @@ from ..operators import (
 from .registry import query, table
 
 _GROWTH_SQL = """
-WITH active AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders
-                WHERE o_custkey IS NOT NULL),
-bounds AS (SELECT o_custkey, min(y) AS first_y, {last} AS last_y FROM active GROUP BY 1),
-grid AS (SELECT o_custkey, first_y, unnest(range(first_y, last_y + 1)) AS y FROM bounds),
-flags AS (SELECT g.o_custkey, g.first_y, g.y, a.y IS NOT NULL AS is_active
-          FROM grid g LEFT JOIN active a ON a.o_custkey = g.o_custkey AND a.y = g.y),
-wins AS (SELECT *,
-           max(CASE WHEN is_active THEN y END) OVER (PARTITION BY o_custkey ORDER BY y
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_active,
-           lag(is_active) OVER (PARTITION BY o_custkey ORDER BY y) AS was_active
-         FROM flags)
-SELECT o_custkey, is_active,
-       CASE WHEN is_active AND last_active IS NULL THEN 'New'
-            WHEN is_active AND y - last_active = 1 THEN 'Continued Playing'
-            WHEN is_active THEN 'Returned from Retirement'
-            WHEN was_active THEN 'Retired' ELSE 'Stayed Retired' END AS state,
-       CAST(first_y AS BIGINT) AS first_active, CAST(last_active AS BIGINT) AS last_active,
-       CAST(y AS BIGINT) AS period
-FROM wins
+WITH stints AS (
+  SELECT o_custkey, y, min(y) OVER (PARTITION BY o_custkey) AS entered,
+         lag(y) OVER (PARTITION BY o_custkey ORDER BY y) AS earlier,
+         coalesce(lead(y) OVER (PARTITION BY o_custkey ORDER BY y), {after}) - y AS n_years
+  FROM (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders) WHERE o_custkey IS NOT NULL),
+told AS (SELECT *, unnest(range(n_years)) AS gap FROM stints)
+SELECT o_custkey, gap = 0 AS is_active,
+       CASE gap WHEN 1 THEN 'Retired'
+                WHEN 0 THEN CASE y - earlier WHEN 1 THEN 'Continued Playing'
+                            ELSE CASE WHEN earlier IS NULL THEN 'New' ELSE 'Returned from Retirement' END END
+                ELSE 'Stayed Retired' END AS state,
+       CAST(entered AS BIGINT) AS first_active,
+       CAST(CASE gap WHEN 0 THEN earlier ELSE y END AS BIGINT) AS last_active,
+       CAST(y + gap AS BIGINT) AS period
+FROM told
 """
 
 
@@ -50,16 +46,17 @@ def states_shown(states: DataFrame) -> DataFrame:
     ).orderBy("o_custkey", "period")
 
 
-@query("growth_states", _GROWTH_SQL.format(last="max(y)"))
+@query("growth_states", _GROWTH_SQL.format(after="y + 1"))
 def customer_growth_states(spark: SparkSession, folder: str) -> DataFrame:
     return states_shown(growth_states(customer_years(spark, folder), "o_custkey", "year"))
 
 
-@query("growth_states_horizon", _GROWTH_SQL.format(last="2001"))
+@query("growth_states_horizon", _GROWTH_SQL.format(after="(SELECT max(year(o_orderdate)) + 1 FROM orders)"))
 def customer_growth_states_horizon(spark: SparkSession, folder: str) -> DataFrame:
-    """Up to 2001 for everyone, which shows final retirements."""
+    """Up to the last year of the table for everyone, which shows final retirements."""
     rows = customer_years(spark, folder)
-    return states_shown(growth_states(rows, "o_custkey", "year", horizon=2001))
+    last = rows.agg(F.max("year")).first()[0]
+    return states_shown(growth_states(rows, "o_custkey", "year", horizon=last))
 
 
 def order_results(spark: SparkSession, folder: str) -> DataFrame:
@@ -177,11 +174,9 @@ def best_season(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _SIDES_SQL = """
-WITH sides AS (
-  SELECT l_suppkey AS team_id, CAST(l_returnflag = 'A' AS INT) AS win FROM lineitem
-  UNION ALL
-  SELECT l_partkey, CAST(l_returnflag <> 'A' AS INT) FROM lineitem)
-SELECT team_id, CAST(sum(win) AS BIGINT) AS total_wins FROM sides GROUP BY 1
+WITH won AS (SELECT CASE l_returnflag WHEN 'A' THEN l_suppkey ELSE l_partkey END AS team_id
+             FROM lineitem WHERE l_returnflag IS NOT NULL)
+SELECT team_id, count(*) AS total_wins FROM won GROUP BY ALL
 """
 
 
@@ -214,14 +209,19 @@ def rolling_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _STREAK_SQL = """
-WITH flags AS (SELECT o_custkey, o_orderdate, o_orderkey,
-                      CASE WHEN coalesce(o_totalprice, 0) > 150000 THEN 0 ELSE 1 END AS brk
-               FROM orders),
-runs AS (SELECT o_custkey, brk, sum(brk) OVER (PARTITION BY o_custkey
-           ORDER BY o_orderdate, o_orderkey
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM flags),
-lengths AS (SELECT o_custkey, g, {length} AS n FROM runs GROUP BY 1, 2)
-SELECT o_custkey, CAST(max(n) AS BIGINT) AS streak FROM lengths GROUP BY 1
+WITH placed AS (
+  SELECT o_custkey, coalesce(o_totalprice > 150000, FALSE) AS high, o_orderdate, o_orderkey,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS place
+  FROM orders),
+shifted AS (
+  SELECT *, place - row_number() OVER (PARTITION BY o_custkey, high ORDER BY place) AS shift FROM placed),
+stretches AS (
+  SELECT o_custkey, count(*) AS n, min(place) > 1 AS broken_before FROM shifted WHERE high GROUP BY o_custkey, shift),
+best AS (SELECT o_custkey, max(n) AS n, max(n + CAST(broken_before AS INT)) AS n_with_break
+         FROM stretches GROUP BY o_custkey)
+SELECT o_custkey, CAST({length} AS BIGINT) AS streak
+FROM (SELECT o_custkey, bool_or(NOT high) AS any_break FROM placed GROUP BY o_custkey)
+LEFT JOIN best USING (o_custkey)
 """
 
 
@@ -236,13 +236,13 @@ def streaks(spark: SparkSession, folder: str, count_break: bool) -> DataFrame:
     )
 
 
-@query("longest_streak", _STREAK_SQL.format(length="sum(1 - brk)"))
+@query("longest_streak", _STREAK_SQL.format(length="coalesce(n, 0)"))
 def customer_longest_streak(spark: SparkSession, folder: str) -> DataFrame:
     """Most orders in a row above a price, per customer."""
     return streaks(spark, folder, count_break=False)
 
 
-@query("longest_streak_as_written", _STREAK_SQL.format(length="count(*)"))
+@query("longest_streak_as_written", _STREAK_SQL.format(length="greatest(coalesce(n_with_break, 0), CAST(any_break AS INT))"))
 def customer_longest_streak_as_written(spark: SparkSession, folder: str) -> DataFrame:
     """Later streaks also count the order that broke the one before."""
     return streaks(spark, folder, count_break=True)

@@ -164,53 +164,59 @@ def order_class() -> tuple:
     return "order_class", lambda avg: class_by_thresholds(avg, ORDER_STEPS, "bad")
 
 
-MAX_ORDERS = 100_000
+N_PARTS = 4
 
 
-def grouped_state(
-    spark: SparkSession, folder: str, max_items: int = MAX_ORDERS
-) -> DataFrame:
+def grouped_state(spark: SparkSession, folder: str, n_parts: int = N_PARTS) -> DataFrame:
     """Order keys run on, so their remainder spreads a large customer's orders evenly."""
     spread = F.col("o_orderkey")
     prev = build_grouped(
         orders_of(spark, folder, FIRST_YEAR, LAST_YEAR - 1), KEY, ATTRS, order_item(),
         metric="cents", period="year", through=LAST_YEAR - 1, history="orders",
-        classify=order_class(), active="is_active", max_items=max_items, spread=spread,
+        classify=order_class(), active="is_active", n_parts=n_parts, spread=spread,
     )
     return cumulate_grouped(
         prev, orders_of(spark, folder, LAST_YEAR, LAST_YEAR), KEY, ATTRS, order_item(),
         metric="cents", period=LAST_YEAR, period_name="year", history="orders",
-        classify=order_class(), active="is_active", max_items=max_items, spread=spread,
+        classify=order_class(), active="is_active", n_parts=n_parts, spread=spread,
     )
 
 
 @query(
     "cumulative_grouped",
     """
-WITH o AS (SELECT o_custkey, o_orderkey, year(o_orderdate) AS y,
-                  CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority AS p
-           FROM orders WHERE o_custkey IS NOT NULL AND year(o_orderdate) BETWEEN 1995 AND 2001),
-sizes AS (SELECT o_custkey, y = 2001 AS now,
-                 CASE WHEN count(*) > 100000 THEN CAST(ceil(count(*) / 100000) AS BIGINT)
-                      ELSE 1 END AS parts
-          FROM o GROUP BY 1, 2),
-placed AS (SELECT o_custkey, o_orderkey % parts AS part,
-                  string_agg(o_orderkey || ':' || cents, ';' ORDER BY y, o_orderkey) AS orders
-           FROM o JOIN sizes USING (o_custkey) WHERE (y = 2001) = now GROUP BY 1, 2),
-yearly AS (SELECT o_custkey, y, sum(cents) / count(*) AS av FROM o GROUP BY 1, 2),
-last_year AS (SELECT o_custkey, arg_max(av, y) AS av, max(y) AS y FROM yearly GROUP BY 1),
-names AS (SELECT o_custkey, coalesce(max(CASE WHEN y < 2001 THEN p END), max(p)) AS priority
-          FROM o GROUP BY 1)
-SELECT o_custkey, part, CASE WHEN part = 0 THEN priority END AS priority, orders,
-       CASE WHEN part > 0 THEN NULL WHEN av > 35000000 THEN 'star' WHEN av > 25000000 THEN 'good'
+WITH RECURSIVE o AS (
+  SELECT o_custkey, o_orderkey, year(o_orderdate) AS y, o_orderpriority AS p,
+         CAST(round(o_totalprice * 100) AS BIGINT) AS cents
+  FROM orders WHERE o_custkey IS NOT NULL AND year(o_orderdate) BETWEEN 1995 AND 2001),
+yearly AS (SELECT o_custkey, y, avg(cents) AS av, max(p) AS p FROM o GROUP BY ALL),
+placed AS (
+  SELECT o_custkey, y, part,
+         coalesce(string_agg(o_orderkey || ':' || cents || ':1', ';' ORDER BY o_orderkey)
+                  FILTER (o_orderkey % 4 = part), '') AS orders
+  FROM o, range(4) AS parts(part) GROUP BY ALL),
+fold AS (
+  SELECT 1994 AS y, CAST(NULL AS BIGINT) AS o_custkey, CAST(NULL AS BIGINT) AS part,
+         CAST(NULL AS VARCHAR) AS priority, '' AS orders, CAST(NULL AS DOUBLE) AS av, FALSE AS is_active
+  UNION ALL
+  SELECT g.y, coalesce(f.o_custkey, t.o_custkey), coalesce(f.part, t.part), coalesce(f.priority, t.p),
+         concat_ws(';', nullif(f.orders, ''), nullif(t.orders, '')), coalesce(t.av, f.av), t.o_custkey IS NOT NULL
+  FROM (SELECT DISTINCT y + 1 AS y FROM fold WHERE y < 2001) g
+  CROSS JOIN ((SELECT * FROM fold WHERE o_custkey IS NOT NULL) f
+    FULL JOIN (SELECT * FROM placed JOIN yearly USING (o_custkey, y)
+               WHERE y = (SELECT max(y) + 1 FROM fold)) t
+    ON f.o_custkey = t.o_custkey AND f.part = t.part)
+  WHERE coalesce(f.o_custkey, t.o_custkey) IS NOT NULL)
+SELECT o_custkey, part, priority, orders,
+       CASE WHEN av > 35000000 THEN 'star' WHEN av > 25000000 THEN 'good'
             WHEN av > 15000000 THEN 'average' ELSE 'bad' END AS order_class,
-       CASE WHEN part = 0 THEN y = 2001 END AS is_active, CAST(2001 AS BIGINT) AS year
-FROM placed JOIN names USING (o_custkey) JOIN last_year USING (o_custkey)
+       is_active, CAST(2001 AS BIGINT) AS year
+FROM fold WHERE y = 2001
 """,
 )
 def cumulative_grouped(spark: SparkSession, folder: str) -> DataFrame:
     def order(s: Column) -> Column:
-        return F.concat_ws(":", text(s["o_orderkey"]), text(s["cents"]))
+        return F.concat_ws(":", text(s["o_orderkey"]), text(s["cents"]), text(s["copies"]))
 
     return grouped_state(spark, folder).select(
         "o_custkey",

@@ -16,6 +16,7 @@ from ..operators import (
     build_monthly,
     cumulate_dates,
     datelist_int,
+    datelist_words,
     days_between,
     enrich_left,
     reduce_monthly,
@@ -25,8 +26,6 @@ from ..session import new_path
 from ..sources import (
     append_snapshot,
     read_snapshot,
-    state_buckets,
-    total_bytes,
     upsert_partition,
     write_state,
 )
@@ -35,6 +34,8 @@ from .registry import joined, query, table, text
 FIRST = dt.date(2024, 1, 1)
 BEFORE = dt.date(2024, 1, 29)
 SNAPSHOT = dt.date(2024, 1, 30)
+#: Buckets of the state table; for a large one, as many as it has partitions of a shuffle.
+STATE_BUCKETS = 16
 
 
 def dates_state(events: DataFrame, keys: list[str]) -> DataFrame:
@@ -85,7 +86,7 @@ def event_type_dates(spark: SparkSession, folder: str) -> DataFrame:
     _DATES_SQL.format(
         keys="user_id, segment",
         source="""(SELECT user_id, ts, coalesce(c_mktsegment, 'Unknown') AS segment FROM events
-          LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey)""",
+          LEFT JOIN customer ON user_id = c_custkey)""",
         notnull="AND user_id IS NOT NULL",
     ),
 )
@@ -97,7 +98,6 @@ def user_segment_dates(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     segments = (
         table(spark, folder, "customer")
-        .where("c_acctbal > 0")
         .select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
     )
     keys = ["user_id", "segment"]
@@ -147,6 +147,26 @@ def user_datelist_int_as_written(spark: SparkSession, folder: str) -> DataFrame:
     return bitmap_state(spark, folder, 32).select("user_id", "datelist_int")
 
 
+@query(
+    "datelist_words",
+    """
+WITH days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events WHERE user_id IS NOT NULL),
+ends AS (SELECT min(d) AS first, max(d) AS last FROM days),
+placed AS (SELECT user_id, last - d AS ago FROM days, ends),
+words AS (SELECT user_id, k, sum(CASE WHEN ago // 8 = k THEN CAST(1 AS BIGINT) << CAST(7 - ago % 8 AS BIGINT) ELSE 0 END) AS word
+          FROM placed, (SELECT unnest(range((last - first) // 8 + 1)) AS k FROM ends) GROUP BY ALL)
+SELECT user_id, string_agg(CAST(word AS VARCHAR), ';' ORDER BY k) AS datelist_words FROM words GROUP BY user_id
+""",
+)
+def user_datelist_words(spark: SparkSession, folder: str) -> DataFrame:
+    """All days of the table in words of eight days: more words than one for a month already."""
+    events = table(spark, folder, "events")
+    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    state = build_dates(events, ["user_id"], "ts", first, last, "dates_active", "date")
+    words = datelist_words(state, "dates_active", last, first, width=8)
+    return words.select("user_id", joined("datelist_words").alias("datelist_words"))
+
+
 def flags(state: DataFrame) -> DataFrame:
     return activity_flags(state).drop("dates_active", "date", "datelist_int")
 
@@ -188,7 +208,7 @@ def snapshot_state(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     keys = ["user_id"]
     name, path = f"user_dates_{uuid.uuid4().hex[:12]}", new_path(spark, "user_dates_state")
-    n_buckets = state_buckets(spark, total_bytes(spark, f"{folder}/events.parquet"))
+    n_buckets = STATE_BUCKETS
     prev = build_dates(events, keys, "ts", FIRST, BEFORE, "dates_active", "date")
     write_state(prev, name, ("date", BEFORE), keys, n_buckets, path)
     yesterday = spark.table(name).where(F.col("date") == F.lit(BEFORE))
@@ -341,13 +361,12 @@ def monthly_unpacked(spark: SparkSession, folder: str) -> DataFrame:
     "monthly_unpacked_as_written",
     _USER_MONTH_SQL
     + """SELECT 'site_hits' AS metric_name, CAST(d + 1 AS VARCHAR) AS day,
-         CAST(sum(hits) AS BIGINT) AS value FROM filled
-         WHERE d < DATE '2024-01-04' GROUP BY d""",
+         CAST(sum(hits) AS BIGINT) AS value FROM filled GROUP BY d""",
 )
 def monthly_unpacked_as_written(spark: SparkSession, folder: str) -> DataFrame:
-    """The first three positions only, each dated one day late."""
+    """Each position dated one day late."""
     days = unpack_monthly(
         user_month(spark, folder), ["metric_name"], "month_start", "metric_array",
-        positions=3, first_offset=1,
+        first_offset=1,
     )
     return days.withColumn("day", text("day"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     bucket_join,
+    check_layouts,
     clean_typed,
     compare_layouts,
     enrich_broadcast,
@@ -21,17 +22,12 @@ from ..operators import (
     unpaired_weights,
 )
 from ..session import new_path
-from ..sources import (
-    bucket_count,
-    read_bucketed,
-    read_csv,
-    text_schema,
-    total_bytes,
-    write_bucketed,
-)
+from ..sources import materialise, read_csv, text_schema, write_bucketed
 from .registry import instant, query, table
 
 N_BUCKETS = 16
+#: Tasks over which the details of one match are spread when they meet its weight.
+N_SALTS = 4
 MEDAL = "ASIA"
 
 
@@ -118,7 +114,7 @@ def match_medals(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy(
             F.col("l_orderkey").alias("match_id"),
             F.col("l_suppkey").alias("player"),
-            (F.col("l_linenumber") - 1).alias("medal_id"),
+            F.pmod(F.col("l_linenumber") - 1, F.lit(5)).alias("medal_id"),
         )
         .agg(F.count(F.lit(1)).alias("n_medals"))
     )
@@ -133,7 +129,7 @@ details AS (SELECT l_orderkey AS match_id, l_suppkey AS player,
                    CAST(sum(l_quantity) AS BIGINT) AS kills FROM lineitem GROUP BY 1, 2),
 medals AS (SELECT l_orderkey AS match_id, l_suppkey AS player, r_name AS medal_name,
                   count(*) AS n_medals
-           FROM lineitem JOIN region ON l_linenumber - 1 = r_regionkey GROUP BY 1, 2, 3),
+           FROM lineitem JOIN region ON (l_linenumber - 1) % 5 = r_regionkey GROUP BY 1, 2, 3),
 paired AS (SELECT d.match_id, d.player, kills, mapid, playlist_id, medal_name
            FROM details d JOIN matches USING (match_id)
            JOIN medals m ON m.match_id = d.match_id)
@@ -149,27 +145,26 @@ FROM details d JOIN matches t ON t.match_id = d.match_id
 JOIN medals m ON m.match_id = d.match_id AND m.player = d.player""",
 )
 def bucketed_games(spark: SparkSession, folder: str) -> DataFrame:
-    """Three tables bucketed alike, in 16 buckets or as many as their size asks for."""
+    """Details and medals bucketed by match and player, matches by match; joined, then dropped."""
     run = uuid.uuid4().hex[:12]
     path = new_path(spark, "games")
-    n_bytes = total_bytes(spark, f"{folder}/lineitem.parquet", f"{folder}/orders.parquet")
-    n_buckets = bucket_count(n_bytes, least=N_BUCKETS)
-    tables = {}
-    for name, build in (
-        ("match_details", match_details), ("matches", matches), ("match_medals", match_medals)
+    tables = []
+    for name, build, keys in (
+        ("match_details", match_details, ["match_id", "player"]),
+        ("matches", matches, ["match_id"]),
+        ("match_medals", match_medals, ["match_id", "player"]),
     ):
-        target = os.path.join(path, name)
-        write_bucketed(build(spark, folder), f"{name}_{run}", n_buckets, ["match_id"], target)
-        tables[f"{name}_{run}"] = target
-    joined = bucket_join(*read_bucketed(spark, tables), "match_id", "player")
-    return joined.select(
+        stored = f"{name}_{run}"
+        tables.append(write_bucketed(build(spark, folder), stored, N_BUCKETS, keys, os.path.join(path, name)))
+    result = materialise(bucket_join(*tables, "match_id", "player"), "bucket-join")
+    for name in ("match_details", "matches", "match_medals"):
+        spark.sql(f"DROP TABLE {name}_{run}")
+    return result.select(
         "match_id", "player", "kills", F.col("mapid").cast("long").alias("mapid"),
         "playlist_id", "medal_name", "n_medals",
     )
 
 
-
-
 @query(
     "most_kills",
     _GAME_SQL
@@ -192,7 +187,7 @@ GROUP BY 1 ORDER BY avg_kills DESC, player LIMIT 1""",
 def most_kills_as_written(spark: SparkSession, folder: str) -> DataFrame:
     """Every detail repeats per medal row of its match: weights instead of the pairs."""
     rows = unpaired_weights(
-        match_details(spark, folder), match_medals(spark, folder), "match_id"
+        match_details(spark, folder), match_medals(spark, folder), "match_id", F.col("player"), N_SALTS
     ).withColumn("weighted", F.col("kills") * F.col("weight"))
     return top_n(
         rows, ["player"], {"avg_kills": F.sum("weighted") / F.sum("weight")}, "avg_kills"
@@ -307,12 +302,29 @@ def map_with_most_medals_as_written(spark: SparkSession, folder: str) -> DataFra
     return best.withColumn("mapid", F.col("mapid").cast("long"))
 
 
-@query("layout_compare")
+LAYOUTS = {
+    "playlist_sorted_first": ["playlist_id", "mapid"],
+    "mapid_sorted_first": ["mapid", "playlist_id"],
+}
+
+
+def games(spark: SparkSession, folder: str) -> DataFrame:
+    return matches(spark, folder).join(match_details(spark, folder), "match_id")
+
+
+@query(
+    "layout_compare",
+    _GAME_SQL
+    + """SELECT layout, count(*) AS n_rows, CAST(sum(match_id) AS BIGINT) AS key_sum, CAST(0 AS BIGINT) AS n_unsorted
+FROM details JOIN matches USING (match_id), (VALUES ('playlist_sorted_first'), ('mapid_sorted_first')) t(layout)
+GROUP BY layout""",
+)
 def layout_compare(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes of the same rows, sorted by playlist or by map first."""
-    rows = matches(spark, folder).join(match_details(spark, folder), "match_id")
-    orders = {
-        "playlist_sorted_first": ["playlist_id", "mapid"],
-        "mapid_sorted_first": ["mapid", "playlist_id"],
-    }
-    return compare_layouts(rows, orders, new_path(spark, "layouts"))
+    """The same rows sorted by playlist or by map first, as they are read back."""
+    return check_layouts(games(spark, folder), LAYOUTS, new_path(spark, "layouts"), "match_id")
+
+
+@query("layout_bytes")
+def layout_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of these layouts."""
+    return compare_layouts(games(spark, folder), LAYOUTS, new_path(spark, "layouts"))

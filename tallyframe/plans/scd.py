@@ -44,26 +44,38 @@ states AS (
   FROM (SELECT *, lead(y) OVER (PARTITION BY o_custkey ORDER BY y) AS nxt FROM classed) c
   JOIN years g ON g.year >= c.y AND g.year < coalesce(c.nxt, 2002)),
 """
-_BUILD_SQL = """
-{name}_flags AS (
-  SELECT *, CASE WHEN spend_class <> lag(spend_class) OVER w
-                   OR is_active <> lag(is_active) OVER w THEN 1 ELSE 0 END AS changed
-  FROM states WHERE year <= {limit} WINDOW w AS (PARTITION BY o_custkey ORDER BY year)),
-{name}_streaks AS (
-  SELECT *, sum(changed) OVER (PARTITION BY o_custkey ORDER BY year) AS streak
-  FROM {name}_flags),
-{name} AS (
-  SELECT o_custkey, max(priority) AS priority, spend_class, is_active,
-         min(year) || '-01-01' AS start_date, max(year) || '-01-01' AS end_date,
-         '{stamp}-01-01' AS snapshot_date
-  FROM {name}_streaks GROUP BY o_custkey, streak, spend_class, is_active)
+_POINTS_SQL = """
+points AS (
+  SELECT *, lag((spend_class, is_active)) OVER (PARTITION BY o_custkey ORDER BY year)
+            IS DISTINCT FROM (spend_class, is_active) AS opens
+  FROM states WHERE year <= {limit}),
+"""
+#: An interval runs from where it opens to the year before the next one; its priority is the latest.
+_BUILD_SQL = _POINTS_SQL + """
+ends AS (
+  SELECT o_custkey, year AS a, coalesce(lead(year) OVER (PARTITION BY o_custkey ORDER BY year) - 1, {limit}) AS b
+  FROM points WHERE opens),
+scd AS (
+  SELECT o_custkey, priority, spend_class, is_active, a || '-01-01' AS start_date,
+         b || '-01-01' AS end_date, '{stamp}-01-01' AS snapshot_date
+  FROM ends JOIN points USING (o_custkey) WHERE year = b)
+"""
+#: As written, an interval also splits where the priority differs.
+_SPLIT_SQL = _POINTS_SQL + """
+since AS (
+  SELECT *, max(CASE WHEN opens THEN year END) OVER (PARTITION BY o_custkey ORDER BY year) AS opened
+  FROM points),
+scd AS (
+  SELECT o_custkey, priority, spend_class, is_active, min(year) || '-01-01' AS start_date,
+         max(year) || '-01-01' AS end_date, '{stamp}-01-01' AS snapshot_date
+  FROM since GROUP BY o_custkey, opened, priority, spend_class, is_active)
 """
 _COLUMNS = "o_custkey, priority, spend_class, is_active, start_date, end_date, snapshot_date"
 
 
 @query(
     "scd2_build",
-    _STATES_SQL + _BUILD_SQL.format(name="scd", limit=2001, stamp=2001)
+    _STATES_SQL + _BUILD_SQL.format(limit=2001, stamp=2001)
     + f"SELECT {_COLUMNS} FROM scd",
 )
 def customer_scd2_build(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,11 +84,11 @@ def customer_scd2_build(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "scd2_build_as_written",
-    _STATES_SQL + _BUILD_SQL.format(name="scd", limit=2001, stamp=1999)
+    _STATES_SQL + _SPLIT_SQL.format(limit=2001, stamp=1999)
     + f"SELECT {_COLUMNS} FROM scd",
 )
 def customer_scd2_build_as_written(spark: SparkSession, folder: str) -> DataFrame:
-    """Stamped 1999, but built from all years."""
+    """Stamped 1999, but built from all years, and split where the priority differs."""
     states = yearly_states(spark, folder)
     return shown(scd2_build(states, KEY, ATTRS, TRACKED, "year", 1999, as_written=True))
 
@@ -92,30 +104,37 @@ def merged(spark: SparkSession, folder: str, as_written: bool) -> DataFrame:
 
 
 _MERGE_SQL = """
-, cur AS (SELECT * FROM states WHERE year = 2001),
-last_open AS (SELECT * FROM scd WHERE end_date = '2000-01-01'),
-pairs AS (SELECT c.*, l.o_custkey AS l_key, l.priority AS l_priority,
-                 l.spend_class AS l_class, l.is_active AS l_active, l.start_date AS l_start
-          FROM cur c LEFT JOIN last_open l ON c.o_custkey = l.o_custkey),
+, both_sides AS (
+  SELECT o_custkey, n.o_custkey IS NOT NULL AS has_new, o.o_custkey IS NOT NULL AS has_old,
+         n.spend_class IS DISTINCT FROM o.spend_class AS class_moved, n.is_active IS DISTINCT FROM o.is_active AS active_moved,
+         {{'priority': n.priority, 'spend_class': n.spend_class, 'is_active': n.is_active,
+           'start_date': '2001-01-01', 'end_date': '2001-01-01'}} AS opened,
+         {{'priority': n.priority, 'spend_class': n.spend_class, 'is_active': n.is_active,
+           'start_date': o.start_date, 'end_date': '2001-01-01'}} AS extended,
+         {{'priority': {old_priority}, 'spend_class': o.spend_class, 'is_active': o.is_active,
+           'start_date': o.start_date, 'end_date': o.end_date}} AS ended
+  FROM (SELECT * FROM states WHERE year = 2001) n
+  FULL JOIN (SELECT * FROM scd WHERE end_date = '2000-01-01') o USING (o_custkey)),
+made AS (SELECT o_custkey, unnest({records}) AS r FROM both_sides)
+SELECT o_custkey, r.priority, r.spend_class, r.is_active, r.start_date, r.end_date, '2001-01-01' AS snapshot_date FROM made
+UNION ALL
+SELECT o_custkey, priority, spend_class, is_active, start_date, end_date, '2001-01-01' FROM scd WHERE end_date < '2000-01-01'
 """
 
 
+def _merge_sql(old_priority: str, records: str) -> str:
+    return _STATES_SQL + _BUILD_SQL.format(limit=2000, stamp=2000) + _MERGE_SQL.format(
+        old_priority=old_priority, records=records
+    )
+
+
 @query(
     "scd2_merge",
-    _STATES_SQL + _BUILD_SQL.format(name="scd", limit=2000, stamp=2000) + _MERGE_SQL + """
-out AS (
-  SELECT o_custkey, priority, spend_class, is_active, start_date, end_date
-  FROM scd WHERE end_date < '2000-01-01'
-  UNION ALL
-  SELECT o_custkey, priority, spend_class, is_active, l_start, '2001-01-01'
-  FROM pairs WHERE spend_class = l_class AND is_active = l_active
-  UNION ALL
-  SELECT o_custkey, l_priority, l_class, l_active, l_start, '2000-01-01'
-  FROM pairs WHERE spend_class <> l_class OR is_active <> l_active
-  UNION ALL
-  SELECT o_custkey, priority, spend_class, is_active, '2001-01-01', '2001-01-01'
-  FROM pairs WHERE l_key IS NULL OR spend_class <> l_class OR is_active <> l_active)
-SELECT *, '2001-01-01' AS snapshot_date FROM out""",
+    _merge_sql(
+        "o.priority",
+        """CASE WHEN NOT has_old THEN [opened] WHEN NOT has_new THEN [ended]
+           WHEN class_moved OR active_moved THEN [ended, opened] ELSE [extended] END""",
+    ),
 )
 def customer_scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
     return shown(merged(spark, folder, as_written=False))
@@ -123,20 +142,12 @@ def customer_scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "scd2_merge_as_written",
-    _STATES_SQL + _BUILD_SQL.format(name="scd", limit=2000, stamp=2000) + _MERGE_SQL + """
-out AS (
-  SELECT o_custkey, priority, spend_class, is_active, start_date, end_date
-  FROM scd WHERE end_date < '2000-01-01'
-  UNION ALL
-  SELECT o_custkey, priority, spend_class, is_active, l_start, '2001-01-01'
-  FROM pairs WHERE spend_class <> l_class AND is_active <> l_active
-  UNION ALL
-  SELECT o_custkey, priority, l_class, l_active, l_start, '2000-01-01'
-  FROM pairs WHERE spend_class <> l_class OR is_active <> l_active
-  UNION ALL
-  SELECT o_custkey, priority, spend_class, is_active, '2001-01-01', '2001-01-01'
-  FROM pairs WHERE l_key IS NULL OR spend_class <> l_class OR is_active <> l_active)
-SELECT *, '2001-01-01' AS snapshot_date FROM out""",
+    _merge_sql(
+        "n.priority",
+        """CASE WHEN NOT has_old THEN [opened] WHEN NOT has_new THEN []
+           WHEN class_moved AND active_moved THEN [extended, ended, opened]
+           WHEN class_moved OR active_moved THEN [ended, opened] ELSE [] END""",
+    ),
 )
 def customer_scd2_merge_as_written(spark: SparkSession, folder: str) -> DataFrame:
     """Unchanged intervals vanish; doubly changed ones appear both ways."""

@@ -1,16 +1,13 @@
 from .jdbc import JdbcTarget, append_rows, jdbc_sink
-from .kafka import KafkaSource, decode_events, kafka_events
+from .kafka import KafkaSource, decode_events, kafka_events, rejected_events
 from .tables import (
     append_snapshot,
     bucket_count,
     data_files,
     empty_state,
-    largest_bucket,
     materialise,
-    read_bucketed,
     read_csv,
     read_snapshot,
-    state_buckets,
     text_schema,
     total_bytes,
     upsert_partition,
@@ -30,12 +27,10 @@ __all__ = [
     "empty_state",
     "jdbc_sink",
     "kafka_events",
-    "largest_bucket",
     "materialise",
-    "read_bucketed",
     "read_csv",
     "read_snapshot",
-    "state_buckets",
+    "rejected_events",
     "text_schema",
     "total_bytes",
     "upsert_partition",

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Sink table and rows per insert.
 SESSION_TABLE = "processed_events_aggregated"
@@ -20,6 +21,7 @@ class JdbcTarget:
     table: str = SESSION_TABLE
     driver: str = "org.postgresql.Driver"
     batch_rows: int = FLUSH_ROWS
+    batch_column: str | None = None  # gets the id of the micro-batch
 
     def options(self) -> dict[str, str]:
         return {
@@ -40,10 +42,13 @@ def append_rows(df: DataFrame, target: JdbcTarget) -> None:
 def jdbc_sink(target: JdbcTarget) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``. A batch that runs again inserts again: at-least-once.
 
-    A session is named by its keys and start, so readers can ``dedup`` on these.
+    With ``batch_column`` each row carries its micro-batch, so the rows of a repeated one can be told
+    apart and deleted. A session is named by its keys and start, so readers can ``dedup`` on these.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if target.batch_column:
+            batch = batch.withColumn(target.batch_column, F.lit(batch_id).cast("long"))
         append_rows(batch, target)
 
     return write

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from .tables import text_schema
 
 # Fields of a message and the pattern of its event time.
 EVENT_FIELDS = ("ip", "event_time", "referrer", "host", "url", "geodata")
-EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSX"  # with its offset, so the session's zone is no matter
 EVENT_TIME = "window_timestamp"
 
 
@@ -23,16 +23,17 @@ class KafkaSource:
     group: str
     key: str = ""
     secret: str = ""
+    #: Further options of the reader, such as maxOffsetsPerTrigger (the size of a micro-batch) and
+    #: minPartitions.
+    more: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
-    def from_env(cls, env: Mapping[str, str]) -> KafkaSource:
-        return cls(
-            servers=env["KAFKA_URL"],
-            topic=env["KAFKA_TOPIC"],
-            group=env["KAFKA_GROUP"],
-            key=env.get("KAFKA_WEB_TRAFFIC_KEY", ""),
-            secret=env.get("KAFKA_WEB_TRAFFIC_SECRET", ""),
-        )
+    def from_settings(
+        cls, settings: Mapping[str, str], names: Mapping[str, str], more: Mapping[str, str] | None = None
+    ) -> KafkaSource:
+        """From settings such as the environment; ``names`` maps our fields to their names there."""
+        found = {ours: settings[theirs] for ours, theirs in names.items() if theirs in settings}
+        return cls(**found, more=more or {})
 
     def options(self) -> dict[str, str]:
         module = "org.apache.kafka.common.security.plain.PlainLoginModule"
@@ -46,6 +47,7 @@ class KafkaSource:
             "kafka.sasl.jaas.config": (
                 f'{module} required username="{self.key}" password="{self.secret}";'
             ),
+            **self.more,
         }
 
 
@@ -59,6 +61,14 @@ def decode_events(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def rejected_events(messages: DataFrame, value: str = "value") -> DataFrame:
+    """The messages that :func:`decode_events` finds no event time in, for a side output or a count."""
+    time = F.try_to_timestamp(
+        F.from_json(F.col(value).cast("string"), text_schema(*EVENT_FIELDS))["event_time"], F.lit(EVENT_TIME_PATTERN)
+    )
+    return messages.where(time.isNull())
+
+
 def kafka_events(spark: SparkSession, source: KafkaSource) -> DataFrame:
     """The event stream. Needs the Spark Kafka connector on the class path."""
     return decode_events(spark.readStream.format("kafka").options(**source.options()).load())

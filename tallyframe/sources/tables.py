@@ -80,21 +80,9 @@ def write_bucketed(
     return df.sparkSession.table(table)
 
 
-def bucket_count(n_bytes: int, bucket_bytes: int = 256 << 20, least: int = 16) -> int:
-    """``least`` doubled until a bucket of ``n_bytes`` evenly spread has ``bucket_bytes``."""
-    n = least
-    while n * bucket_bytes < n_bytes and n < 65536:
-        n *= 2
-    return n
-
-
-def state_buckets(spark: SparkSession, n_bytes: int) -> int:
-    """Buckets of a cumulative table: no fewer than the partitions of a shuffle.
-
-    With fewer, Spark would rather shuffle the state than join it with so few tasks.
-    """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return bucket_count(n_bytes, least=max(16, partitions))
+def bucket_count(n_bytes: int, bucket_bytes: int = 256 << 20) -> int:
+    """Buckets of about ``bucket_bytes`` each; a suggestion for the ``n`` of a bucketed table."""
+    return max(1, -(-n_bytes // bucket_bytes))
 
 
 def total_bytes(spark: SparkSession, *paths: str) -> int:
@@ -103,33 +91,6 @@ def total_bytes(spark: SparkSession, *paths: str) -> int:
     return sum(s.first()[0] for s in sizes)
 
 
-def largest_bucket(spark: SparkSession, path: str) -> int:
-    """Bytes of the fullest bucket; Spark puts the bucket number into the file name."""
-    bucket = F.regexp_extract("path", r"_(\d+)\.c\d+[^/]*$", 1)
-    row = (
-        data_files(spark, path)
-        .groupBy(bucket)
-        .agg(F.sum("length").alias("n"))
-        .agg(F.max("n"))
-        .first()
-    )
-    return row[0] or 0
-
-
-def read_bucketed(
-    spark: SparkSession, tables: dict[str, str], limit: int = 2 << 30
-) -> list[DataFrame]:
-    """Bucketed tables (name -> path) to be joined without a shuffle.
-
-    A bucket is read by one task and cannot be split. If a hot key has filled one beyond
-    ``limit`` bytes, all the tables are read as plain files: the join then shuffles, and adaptive
-    execution splits that key.
-    """
-    if any(largest_bucket(spark, path) > limit for path in tables.values()):
-        return [spark.read.parquet(path) for path in tables.values()]
-    return [spark.table(name) for name in tables]
-
-
 def write_state(
     df: DataFrame,
     table: str,
@@ -138,24 +99,29 @@ def write_state(
     n: int,
     path: str | None = None,
 ) -> None:
-    """Adds one snapshot to a cumulative table that is partitioned by it and bucketed by entity.
+    """Puts one snapshot into a cumulative table that is partitioned by it and bucketed by entity.
 
     A step joins yesterday's snapshot with today's facts. From such a table the state is read in
-    place, so only the facts of the day are shuffled, however large the state has grown. Choose
-    ``n`` with :func:`state_buckets`.
-    ``snapshot`` is the partition column and the value it has in ``df``; a value that is in the
-    table already is an error, as it would be a second row per entity.
+    place, so only the facts of the day are shuffled, however large the state has grown; choose
+    ``n`` no smaller than the partitions of a shuffle, or Spark rather shuffles the state.
+    ``snapshot`` is the partition column and the value it has in ``df``. Rows are gathered by
+    entity first, so that a task writes few buckets. A snapshot that is there already is
+    replaced, so a step can run again.
     """
     spark, keys = df.sparkSession, list(keys)
     column, value = snapshot
+    rows = df.where(F.col(column) == F.lit(value)).hint("rebalance", *keys)
     if not spark.catalog.tableExists(table):
-        writer = df.write.format("parquet").partitionBy(column).bucketBy(n, *keys).sortBy(*keys)
+        writer = rows.write.format("parquet").partitionBy(column).bucketBy(n, *keys).sortBy(*keys)
         (writer.option("path", path) if path else writer).saveAsTable(table)
         return
-    stored = spark.table(table)
-    if not stored.where(F.col(column) == F.lit(value)).isEmpty():
-        raise ValueError(f"{table} already has the snapshot {value}")
-    df.select(*stored.columns).write.insertInto(table)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

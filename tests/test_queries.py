@@ -6,11 +6,12 @@ import pytest
 from compare import connect, duckdb_result, spark_result
 
 import __spark_entry__ as entry_points
+from tallyframe import plans
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are missing")
 
-NO_SQL = {"layout_compare"}
+NO_SQL = {"layout_bytes"}
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(plans.ORACLES))
 def test_query_equals_sql(spark, con, name):
     columns, rows = spark_result(entry_points.queries()[name](spark, FOLDER))
     assert (columns, rows) == duckdb_result(con, entry_points.oracle_sql()[name])
@@ -26,8 +27,8 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_queries_without_sql(spark):
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == NO_SQL
-    report = entry_points.queries()["layout_compare"](spark, FOLDER).collect()
+    assert set(plans.QUERIES) - set(plans.ORACLES) == NO_SQL
+    report = plans.QUERIES["layout_bytes"](spark, FOLDER).collect()
     assert {r.layout for r in report} == {"playlist_sorted_first", "mapid_sorted_first"}
     assert all(r.bytes > 0 and r.files > 0 for r in report)
 

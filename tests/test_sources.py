@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe import session as sessions
-from tallyframe.operators import active_days, cumulate_dates
+from tallyframe.operators import active_days, bucket_join, cumulate_dates
 from tallyframe.sources import (
     JdbcTarget,
     KafkaSource,
@@ -14,12 +14,10 @@ from tallyframe.sources import (
     bucket_count,
     decode_events,
     jdbc_sink,
-    largest_bucket,
     materialise,
-    read_bucketed,
     read_csv,
     read_snapshot,
-    state_buckets,
+    rejected_events,
     text_schema,
     total_bytes,
     upsert_partition,
@@ -82,7 +80,7 @@ def test_write_table_appends_and_overwrites(spark, tmp_path):
 
 def test_bucketed_state_shuffles_only_the_day(spark, tmp_path):
     day1, day2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    n = state_buckets(spark, 0)
+    n = 16
     start = spark.range(1000).select(
         F.col("id").alias("u"), F.array(F.lit(day1)).alias("dates"), F.lit(day1).alias("day")
     )
@@ -97,8 +95,8 @@ def test_bucketed_state_shuffles_only_the_day(spark, tmp_path):
     now = spark.table("state_t").where(F.col("day") == F.lit(day2))
     assert now.count() == 1000
     assert now.where("u = 5").first().dates == [day1, day2]
-    with pytest.raises(ValueError, match="already"):
-        write_state(step, "state_t", ("day", day2), ["u"], n)
+    write_state(step, "state_t", ("day", day2), ["u"], n)
+    assert spark.table("state_t").count() == 2000
     spark.sql("DROP TABLE state_t")
 
 
@@ -106,35 +104,51 @@ def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
 
 
-def test_bucketed_join_has_no_exchange_until_a_bucket_is_too_large(spark, tmp_path):
+@pytest.fixture
+def games(spark, tmp_path):
+    """Details, matches and medals; one match has two thirds of the players."""
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    match = F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id"))
+    details = spark.range(3000).select(match.alias("m"), F.col("id").alias("p"), F.lit(1).alias("kills"))
+    medals = details.select("m", "p", F.lit("x").alias("medal"))
+    matches = details.select("m").distinct()
+
+    def stored(keys):
+        return [
+            write_bucketed(df, f"games_{k}", 16, [c for c in keys if c in df.columns], str(tmp_path / f"{k}"))
+            for k, df in enumerate((details, matches, medals))
+        ]
+
+    yield stored
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for k in range(3):
+        spark.sql(f"DROP TABLE IF EXISTS games_{k}")
+
+
+def test_details_and_medals_meet_without_an_exchange(spark, games):
+    details, matches, medals = games(["m", "p"])
+    joined = bucket_join(details, matches, medals, "m", "p")
+    inner = details.hint("merge").join(medals, ["m", "p"])
+    assert exchanges(inner) == 0 and exchanges(joined) == 1
+    assert joined.count() == 3000
+    tasks = inner.where("m = 0").select(F.spark_partition_id()).distinct().count()
+    assert tasks > 4
+
+
+def test_three_tables_bucketed_by_match_need_no_exchange(spark, games):
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(name, "false")
     try:
-        paths = {}
-        for name in ("left_b", "right_b", "third_b"):
-            paths[name] = str(tmp_path / name)
-            df = spark.range(5000).select(F.col("id").alias("k"), F.lit(name).alias(name))
-            write_bucketed(df, name, 16, ["k"], paths[name])
-        a, b, c = read_bucketed(spark, paths)
-        joined = a.join(b, "k").join(c, "k")
-        assert exchanges(joined) == 0
-        assert joined.count() == 5000
-        a, b, c = read_bucketed(spark, paths, limit=100)
-        spread = a.join(b, "k").join(c, "k")
-        assert exchanges(spread) > 0
-        assert spread.count() == 5000
-        assert 100 < largest_bucket(spark, paths["left_b"]) < total_bytes(spark, paths["left_b"])
+        joined = bucket_join(*games(["m"]), "m", "p")
+        assert exchanges(joined) == 0 and joined.count() == 3000
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        for name in ("left_b", "right_b", "third_b"):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.conf.unset(name)
 
 
-def test_bucket_count_grows_with_the_data():
-    assert bucket_count(0) == 16
-    assert bucket_count(16 * (256 << 20)) == 16
-    assert bucket_count(16 * (256 << 20) + 1) == 32
-    assert bucket_count(100 << 40) == 65536
+def test_bucket_count_has_no_cap():
+    assert bucket_count(0) == 1 and bucket_count((256 << 20) + 1) == 2
+    assert bucket_count(100 << 40) == 409600
 
 
 def test_materialise_cuts_the_plan(spark):
@@ -156,9 +170,10 @@ def test_a_cluster_without_shared_dir_is_an_error():
 
 
 def test_kafka_options():
-    env = {"KAFKA_URL": "broker:9092", "KAFKA_TOPIC": "web", "KAFKA_GROUP": "g",
-           "KAFKA_WEB_TRAFFIC_KEY": "k", "KAFKA_WEB_TRAFFIC_SECRET": "s"}
-    options = KafkaSource.from_env(env).options()
+    env = {"BROKERS": "broker:9092", "TOPIC": "web", "READERS": "g", "KEY": "k", "SECRET": "s"}
+    names = {"servers": "BROKERS", "topic": "TOPIC", "group": "READERS", "key": "KEY", "secret": "SECRET"}
+    options = KafkaSource.from_settings(env, names, {"maxOffsetsPerTrigger": "1000"}).options()
+    assert options["maxOffsetsPerTrigger"] == "1000"
     assert options["kafka.bootstrap.servers"] == "broker:9092"
     assert options["startingOffsets"] == "earliest"
     assert options["kafka.sasl.mechanism"] == "PLAIN"
@@ -172,6 +187,14 @@ def test_decode_events(spark):
     assert out[0].window_timestamp == dt.datetime(2024, 5, 1, 10, 0, 0, 250_000)
     assert out[0].url is None
     assert [r.window_timestamp for r in out[1:]] == [None, None]
+    assert [r.value for r in rejected_events(df).collect()] == ["no json", None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        seconds = decode_events(df).select(F.unix_timestamp("window_timestamp").alias("s")).first().s
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert seconds == 1714557600
 
 
 def test_jdbc_sink_appends_each_batch():
@@ -193,7 +216,17 @@ def test_jdbc_sink_appends_each_batch():
         def save(self):
             calls.append("saved")
 
-    batch = type("Batch", (), {"write": Writer()})()
+    class Batch:
+        write = Writer()
+
+        def withColumn(self, name, value):  # noqa: N802
+            calls.append(name)
+            return self
+
+    jdbc_sink(JdbcTarget("jdbc:postgresql://db/x", "u", "p", batch_column="batch"))(Batch(), 3)
+    assert calls[0] == "batch"
+    calls.clear()
+    batch = Batch()
     jdbc_sink(JdbcTarget("jdbc:postgresql://db/x", "u", "p"))(batch, 3)
     assert calls[0] == "jdbc" and calls[2:] == ["append", "saved"]
     assert calls[1]["dbtable"] == "processed_events_aggregated"
