@@ -35,15 +35,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that share this doc_id stay together, but of those that are equal one stays.
     """
-    groups = jaccard_join.jaccard_join(docs)
-    kept = (
-        groups.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.count("*").alias("__n"))
-    )
-    stay = docs.join(materialise(kept, "kept"), docs["doc_id"].eqNullSafe(F.col("__id")))
-    once, again = stay.where("__n = 1"), stay.where("__n > 1")
-    return once.select(*docs.columns).unionByName(again.select(*docs.columns).dropDuplicates())
+    first = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    ids = jaccard_join.jaccard_join(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.count_if(first).alias("__n"))
+    # far fewer documents go than stay, so the texts meet the shorter list
+    other = materialise(ids.where("__n <> 1"), "other-ids")
+    same = docs["doc_id"].eqNullSafe(other["__id"])
+    once = docs.join(other, same, "left_anti")
+    again = docs.join(other.where("__n > 1"), same, "left_semi")
+    return once.unionByName(again.dropDuplicates())
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
