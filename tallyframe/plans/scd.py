@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import scd2_build, scd2_merge
 from ..operators.cumulate import carry_forward
+from ..sources import materialise
 from .cumulative import FIRST_YEAR, LAST_YEAR, seasons, spend_class
 from .registry import query, text
 
@@ -94,7 +95,7 @@ def customer_scd2_build_as_written(spark: SparkSession, folder: str) -> DataFram
 
 
 def merged(spark: SparkSession, folder: str, as_written: bool) -> DataFrame:
-    states = yearly_states(spark, folder)
+    states = materialise(yearly_states(spark, folder), "yearly-states")  # read twice below
     before = scd2_build(states, KEY, ATTRS, TRACKED, "year", LAST_YEAR - 1)
     current = states.where(F.col("year") == LAST_YEAR)
     return scd2_merge(
