@@ -38,7 +38,7 @@ from . import arrow_text as at
 MAX_EDITS = 0.2
 #: Chance that one window at the largest allowed distance is found. Its neighbours are sampled as
 #: well, so the measured recall of passages is higher (see tests).
-RECALL = 0.95
+RECALL = 0.99
 #: Bytes of benchmark text in one broadcast block.
 BLOCK_BYTES = 16 << 20
 #: Steps that one repetition compares, and the chance that two walks agree at a step when a fifth of
