@@ -54,19 +54,22 @@ def repetitions(recall: float = RECALL, sample: int = SAMPLE, agreement: float =
 
 
 def walk(
-    tokens: np.ndarray, starts: np.ndarray, stops: np.ndarray, steps: int, seeds: np.ndarray
+    tokens: np.ndarray, starts: np.ndarray, stops: np.ndarray, steps: np.ndarray, seeds: np.ndarray
 ) -> Iterator[np.ndarray]:
     """The embeddings of tokens[start:stop], one step at a time: a row for each seed, a column for each start.
 
-    Past its end a sequence writes 0, as the embedding pads.
+    A seed's row ends after its number of ``steps``; these must not rise. Past its end a sequence
+    writes 0, as the embedding pads.
     """
-    odd = at.mixed(at.random_words(steps, 100)[:, None] ^ at.random_words(int(seeds.max()) + 1, 101)[seeds]) | np.uint64(1)
+    most = int(steps[0])
+    odd = at.mixed(at.random_words(most, 100)[:, None] ^ at.random_words(int(seeds.max()) + 1, 101)[seeds]) | np.uint64(1)
     p = np.tile(starts, (len(seeds), 1))
     padded = np.append(tokens, np.uint64(0))
-    for k in range(steps):
+    for k in range(most):
+        p = p[: np.count_nonzero(steps > k)]
         here = padded[np.where(p < stops, p, len(tokens))]
         yield here
-        p += ((here * odd[k][:, None]) >> np.uint64(63)).astype(np.int64)
+        p += ((here * odd[k, : len(p), None]) >> np.uint64(63)).astype(np.int64)
 
 
 def sample_steps(n_words: int, sample: int, seed: int) -> np.ndarray:
@@ -77,14 +80,18 @@ def sample_steps(n_words: int, sample: int, seed: int) -> np.ndarray:
 
 def sketches(tokens: np.ndarray, starts: np.ndarray, stops: np.ndarray, n_words: int, repeats: int) -> np.ndarray:
     """Bit samples of the embeddings, as 64-bit hashes: a row for each repetition."""
-    chosen = np.zeros((2 * n_words, repeats), bool)
-    for r in range(repeats):
-        chosen[sample_steps(n_words, SAMPLE, r), r] = True
+    chosen = [sample_steps(n_words, SAMPLE, r) for r in range(repeats)]
+    needed = np.array([c[-1] + 1 for c in chosen])
+    seeds = np.argsort(-needed, kind="stable")  # walks end after their last sample, the longest is first
+    at_step: dict[int, list[int]] = {}
+    for place, seed in enumerate(seeds.tolist()):
+        for k in chosen[seed].tolist():
+            at_step.setdefault(k, []).append(place)
     out = np.tile(at.random_words(repeats, 200)[:, None], (1, len(starts)))
-    for k, here in enumerate(walk(tokens, starts, stops, 2 * n_words, np.arange(repeats))):
-        now = chosen[k]
-        if now.any():
-            out[now] = at.mixed(out[now] * np.uint64(0xD6E8FEB86659FD93) ^ here[now])
+    for k, here in enumerate(walk(tokens, starts, stops, needed[seeds], seeds)):
+        if k in at_step:
+            now = seeds[at_step[k]]
+            out[now] = at.mixed(out[now] * np.uint64(0xD6E8FEB86659FD93) ^ here[at_step[k]])
     return out
 
 
@@ -118,8 +125,8 @@ class Items:
     ids: list
     words: list[np.ndarray]
     allowed: np.ndarray
-    triples: np.ndarray
-    own_triples: list[np.ndarray]
+    triples: np.ndarray  # of all items, sorted
+    own_triples: np.ndarray  # item * len(triples) + place in triples, sorted
     needed: np.ndarray  # word triples that each item's nearest windows share with it at least
     classes: list[tuple[int, int, int, int, list[tuple[np.ndarray, np.ndarray]]]]
     # each length class: least and most words, window words, triples needed, and sketches of every repetition
@@ -144,7 +151,9 @@ def prepare(ids: list, texts: list[str], max_edits: float, recall: float) -> Ite
     lengths = np.array([len(x) for x in cut], np.int64)
     allowed = np.floor(max_edits * lengths + 1e-9).astype(np.int64)
     hashes, bounds = at.windows(w, Q)
-    triples, own = np.unique(hashes), [np.unique(hashes[bounds[k] : bounds[k + 1]]) for k in some]
+    triples, place = np.unique(hashes, return_inverse=True)
+    owner = np.repeat(np.cumsum(np.diff(bounds) > 0) - 1, np.diff(bounds))
+    own = np.unique(owner * len(triples) + place)
     needed = np.maximum(lengths - Q + 1 - Q * allowed, 0)
     tokens = np.concatenate(cut) if cut else np.zeros(0, np.uint64)
     begins = np.cumsum(lengths) - lengths
@@ -173,9 +182,10 @@ def find(items: Items, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
     hit = items.triples[np.minimum(place, len(items.triples) - 1)] == hashes
     # the k-th window of a text starts at its k-th word
     rows = at.row_of(bounds)
-    known[1 + w.bounds[:-1][rows] + np.arange(len(hashes)) - bounds[:-1][rows]] = hit
-    triples = np.zeros(n, np.uint64)
-    triples[w.bounds[:-1][rows] + np.arange(len(hashes)) - bounds[:-1][rows]] = hashes
+    at_word = w.bounds[:-1][rows] + np.arange(len(hashes)) - bounds[:-1][rows]
+    known[1 + at_word] = hit
+    triple = np.full(n, -1, np.int64)
+    triple[at_word[hit]] = place[hit]
     known = np.cumsum(known)
     if not known[-1] and items.needed.min() > 0:
         return []
@@ -197,36 +207,49 @@ def find(items: Items, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
             which = np.repeat(np.arange(len(h)), hi - lo)
             nth = np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
             pairs.append(starts[which] * len(items.ids) + owners[lo[which] + nth])
-    near: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for pair in np.unique(np.concatenate(pairs)).tolist():
-        first, item = divmod(pair, len(items.ids))
-        k, text = int(items.allowed[item]), int(row[first])
-        span = (max(first - k, int(w.bounds[text])), min(first + len(items.words[item]) + k, int(stop[first])))
-        near.setdefault((text, item), []).append(span)
-    out = []
-    for (text, item), spans in near.items():
-        best = None
-        for a, b in _joined(spans):
-            shared = np.isin(triples[a : max(b - Q + 1, a + 1)], items.own_triples[item]).sum()
-            if shared < items.needed[item]:
-                continue
-            d, first, last = best_match(items.words[item], w.hashes[a:b])
-            if d <= items.allowed[item] and (best is None or d < best[0]):
-                best = (d, a + first - int(w.bounds[text]), a + last - int(w.bounds[text]))
-        if best:
-            out.append((text, item, *best))
-    return sorted(out)
-
-
-def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping spans made one."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(set(spans)):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+    first, item = np.divmod(np.unique(np.concatenate(pairs)), len(items.ids))
+    out: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for text, i, a, b in _spans(items, first, item, row, w.bounds, triple):
+        d, begin, end = best_match(items.words[i], w.hashes[a:b])
+        if d <= items.allowed[i] and ((text, i) not in out or d < out[text, i][0]):
+            out[text, i] = (d, a + begin - int(w.bounds[text]), a + end - int(w.bounds[text]))
+    return sorted((*pair, *best) for pair, best in out.items())
+
+
+def _spans(
+    items: Items, first: np.ndarray, item: np.ndarray, row: np.ndarray, bounds: np.ndarray, triple: np.ndarray
+) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, begin, end) around candidate windows, overlapping ones made one, in order.
+
+    Only spans with as many of the item's triples as a match must hold.
+    """
+    if not len(first):
+        return
+    text = row[first]
+    order = np.lexsort((first, item, text))
+    first, item, text = first[order], item[order], text[order]
+    reach = items.allowed[item]
+    length = np.array([len(x) for x in items.words], np.int64)[item]
+    a, b = np.maximum(first - reach, bounds[text]), np.minimum(first + length + reach, bounds[text + 1])
+    # in a text, the spans of one item begin and end in the same order
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (a[1:] > b[:-1])
+    begins = np.flatnonzero(fresh)
+    text, item, a, b = text[begins], item[begins], a[begins], b[np.append(begins[1:], len(b)) - 1]
+    size = np.maximum(b - a - Q + 1, 1)
+    done = np.cumsum(size)
+    low = 0
+    while low < len(a):  # about a million words at a time
+        high = max(low + 1, int(np.searchsorted(done, done[low] + (1 << 20))))
+        span = np.repeat(np.arange(low, high), size[low:high])
+        place = triple[a[span] + np.arange(len(span)) - (done[span] - size[span] - (done[low] - size[low]))]
+        span, place = span[place >= 0], place[place >= 0]
+        code = item[span] * len(items.triples) + place
+        own = items.own_triples[np.minimum(np.searchsorted(items.own_triples, code), len(items.own_triples) - 1)] == code
+        shared = np.bincount(span[own] - low, minlength=high - low)
+        for k in low + np.flatnonzero(shared >= items.needed[item[low:high]]):
+            yield int(text[k]), int(item[k]), int(a[k]), int(b[k])
+        low = high
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterator[tuple[list, list[str]]]:
