@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,17 +33,23 @@ from ..sources import (
 )
 from .registry import joined, query, table, text
 
-FIRST = dt.date(2024, 1, 1)
-BEFORE = dt.date(2024, 1, 29)
-SNAPSHOT = dt.date(2024, 1, 30)
 #: Buckets of the state table; for a large one, as many as it has partitions of a shuffle.
 STATE_BUCKETS = 16
 
 
+def days_of(events: DataFrame) -> tuple[dt.date, dt.date, dt.date]:
+    """The first day of the table, the last but one and the last."""
+    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    last = last or dt.date(1970, 1, 2)  # no event at all
+    before = last - dt.timedelta(days=1)
+    return min(first or before, before), before, last
+
+
 def dates_state(events: DataFrame, keys: list[str]) -> DataFrame:
     """The state of the day before in bulk, then one step."""
-    prev = build_dates(events, keys, "ts", FIRST, BEFORE, "dates_active", "date")
-    return cumulate_dates(prev, active_days(events, keys, "ts", SNAPSHOT), keys,
+    first, before, last = days_of(events)
+    prev = build_dates(events, keys, "ts", first, before, "dates_active", "date")
+    return cumulate_dates(prev, active_days(events, keys, "ts", last), keys,
                           "dates_active", "date")
 
 
@@ -57,10 +65,10 @@ def shown(state: DataFrame, keys: list[str]) -> DataFrame:
 _DATES_SQL = """
 WITH days AS (
   SELECT DISTINCT {keys}, CAST(ts AS DATE) AS d FROM {source}
-  WHERE ts < TIMESTAMP '2024-01-31' AND ts >= TIMESTAMP '2024-01-01' {notnull})
+  WHERE ts IS NOT NULL {notnull})
 SELECT {keys}, count(*) AS n_days,
        string_agg(CAST(d AS VARCHAR), ';' ORDER BY d) AS dates_active,
-       '2024-01-30' AS date
+       (SELECT CAST(CAST(max(ts) AS DATE) AS VARCHAR) FROM events) AS date
 FROM days GROUP BY {keys}
 """
 
@@ -105,8 +113,9 @@ def user_segment_dates(spark: SparkSession, folder: str) -> DataFrame:
     def with_segment(rows: DataFrame) -> DataFrame:
         return enrich_left(rows, segments, "user_id", {"segment": "Unknown"})
 
-    prev = build_dates(events, ["user_id"], "ts", FIRST, BEFORE, "dates_active", "date")
-    today = active_days(events, ["user_id"], "ts", SNAPSHOT)
+    first, before, last = days_of(events)
+    prev = build_dates(events, ["user_id"], "ts", first, before, "dates_active", "date")
+    today = active_days(events, ["user_id"], "ts", last)
     state = cumulate_dates(
         with_segment(prev), with_segment(today), keys, "dates_active", "date"
     )
@@ -114,18 +123,21 @@ def user_segment_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bitmap_state(spark: SparkSession, folder: str, anchor_bit: int) -> DataFrame:
-    state = dates_state(table(spark, folder, "events"), ["user_id"])
-    return datelist_int(state, "dates_active", SNAPSHOT, FIRST, SNAPSHOT, anchor_bit)
+    """Every user with the bits of the last day's month; a user without a day in it gets 0."""
+    events = table(spark, folder, "events")
+    state, last = dates_state(events, ["user_id"]), days_of(events)[2]
+    return datelist_int(state, "dates_active", last, last.replace(day=1), last, anchor_bit)
 
 
 _BITMAP_SQL = """
 WITH days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events
-              WHERE user_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-01'
-                AND ts < TIMESTAMP '2024-01-31'),
+              WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+ends AS (SELECT CAST(max(ts) AS DATE) AS last FROM events),
 bits AS (SELECT user_id,
-           CAST(sum(CAST(1 AS BIGINT) << CAST({anchor} - (DATE '2024-01-30' - d) AS BIGINT))
+           CAST(sum(CASE WHEN d >= date_trunc('month', last)
+                         THEN CAST(1 AS BIGINT) << CAST({anchor} - (last - d) AS BIGINT) ELSE 0 END)
                 AS BIGINT) AS datelist_int
-         FROM days GROUP BY user_id)
+         FROM days, ends GROUP BY user_id)
 """
 _FLAGS_SQL = """SELECT user_id,
   bit_count(datelist_int & 4294967295) > 0 AS dim_is_monthly_active,
@@ -190,13 +202,14 @@ def snapshot_table(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     path = new_path(spark, "user_dates")
     keys = ["user_id"]
+    first, before, last = days_of(events)
     append_snapshot(
-        build_dates(events, keys, "ts", FIRST, BEFORE, "dates_active", "date"), path, "date"
+        build_dates(events, keys, "ts", first, before, "dates_active", "date"), path, "date"
     )
-    prev = read_snapshot(spark, path, "date", BEFORE)
-    today = active_days(events, keys, "ts", SNAPSHOT)
+    prev = read_snapshot(spark, path, "date", before)
+    today = active_days(events, keys, "ts", last)
     append_snapshot(cumulate_dates(prev, today, keys, "dates_active", "date"), path, "date")
-    return shown(read_snapshot(spark, path, "date", SNAPSHOT), keys)
+    return shown(read_snapshot(spark, path, "date", last), keys)
 
 
 @query(
@@ -209,15 +222,16 @@ def snapshot_state(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["user_id"]
     name, path = f"user_dates_{uuid.uuid4().hex[:12]}", new_path(spark, "user_dates_state")
     n_buckets = STATE_BUCKETS
-    prev = build_dates(events, keys, "ts", FIRST, BEFORE, "dates_active", "date")
-    write_state(prev, name, ("date", BEFORE), keys, n_buckets, path)
-    yesterday = spark.table(name).where(F.col("date") == F.lit(BEFORE))
-    today = active_days(events, keys, "ts", SNAPSHOT)
+    first, before, last = days_of(events)
+    prev = build_dates(events, keys, "ts", first, before, "dates_active", "date")
+    write_state(prev, name, ("date", before), keys, n_buckets, path)
+    yesterday = spark.table(name).where(F.col("date") == F.lit(before))
+    today = active_days(events, keys, "ts", last)
     write_state(
         cumulate_dates(yesterday, today, keys, "dates_active", "date"),
-        name, ("date", SNAPSHOT), keys, n_buckets, path,
+        name, ("date", last), keys, n_buckets, path,
     )
-    return shown(spark.table(name).where(F.col("date") == F.lit(SNAPSHOT)), keys)
+    return shown(spark.table(name).where(F.col("date") == F.lit(last)), keys)
 
 
 def type_days(events: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
@@ -248,13 +262,38 @@ USER_KEY = ["user_id", "metric_name"]
 USER_METRIC = {"metric_array": "hits"}
 
 
+def months_through(
+    rows: Callable[[dt.date, dt.date], DataFrame],
+    first: dt.date, through: dt.date, key: list[str], metrics: dict[str, str], month: str,
+) -> DataFrame:
+    """The arrays of every month from that of ``first`` up to ``through``, a pass over its days each.
+
+    ``rows`` gives the daily rows between two days.
+    """
+    months, start = [], first.replace(day=1)
+    while start <= through:
+        following = (start + dt.timedelta(days=31)).replace(day=1)
+        end = min(following - dt.timedelta(days=1), through)
+        months.append(build_monthly(rows(start, end), key, "day", end, metrics, month))
+        start = following
+    return reduce(DataFrame.unionByName, months)
+
+
+def month_states(
+    events: DataFrame,
+    daily: Callable[[DataFrame, dt.date, dt.date], DataFrame],
+    key: list[str], metrics: dict[str, str], month: str,
+) -> DataFrame:
+    """All months: up to the last day but one in bulk, then one step."""
+    first, before, last = days_of(events)
+    prev = months_through(lambda a, b: daily(events, a, b), first, before, key, metrics, month)
+    step = reduce_monthly(prev, daily(events, last, last), key, last, metrics, month)
+    return prev.where(F.col(month) != F.lit(last.replace(day=1))).unionByName(step)
+
+
 def user_month(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
-    prev = build_monthly(
-        user_days(events, FIRST, BEFORE), USER_KEY, "day", BEFORE, USER_METRIC, "month_start"
-    )
-    today = user_days(events, SNAPSHOT, SNAPSHOT)
-    return reduce_monthly(prev, today, USER_KEY, SNAPSHOT, USER_METRIC, "month_start")
+    return month_states(events, user_days, USER_KEY, USER_METRIC, "month_start")
 
 
 def type_month_shown(state: DataFrame) -> DataFrame:
@@ -267,53 +306,52 @@ def type_month_shown(state: DataFrame) -> DataFrame:
 
 
 _TYPE_MONTH_SQL = """
-WITH grid AS (SELECT t.event_type, CAST(g.d AS DATE) AS d
-              FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL) t,
-                   generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30',
-                                   INTERVAL 1 DAY) g(d)),
+WITH ends AS (SELECT date_trunc('day', max(ts)) + INTERVAL 1 DAY AS stop FROM events),
+active AS (SELECT DISTINCT event_type, CAST(date_trunc('month', ts) AS TIMESTAMP) AS m FROM events
+           WHERE event_type IS NOT NULL AND ts IS NOT NULL),
+grid AS (SELECT event_type, CAST(m AS DATE) AS m,
+                CAST(unnest(range(m, least(m + INTERVAL 1 MONTH, stop), INTERVAL 1 DAY)) AS DATE) AS d
+         FROM active, ends),
 daily AS (SELECT event_type, CAST(ts AS DATE) AS d, count(*) AS hits,
                  count(DISTINCT user_id) AS visitors FROM events GROUP BY 1, 2)
-SELECT grid.event_type, '2024-01-01' AS month,
+SELECT grid.event_type, CAST(m AS VARCHAR) AS month,
        string_agg(CAST(coalesce(hits, 0) AS VARCHAR), ';' ORDER BY grid.d) AS hit_array,
        string_agg(CAST(coalesce(visitors, 0) AS VARCHAR), ';' ORDER BY grid.d) AS unique_visitors
 FROM grid LEFT JOIN daily ON grid.event_type = daily.event_type AND grid.d = daily.d
-GROUP BY 1
+GROUP BY grid.event_type, m
 """
 
 
 @query("monthly_reduced", _TYPE_MONTH_SQL)
 def monthly_reduced(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
-    prev = build_monthly(
-        type_days(events, FIRST, BEFORE), ["event_type"], "day", BEFORE, TYPE_METRICS
-    )
-    today = type_days(events, SNAPSHOT, SNAPSHOT)
-    return type_month_shown(reduce_monthly(prev, today, ["event_type"], SNAPSHOT, TYPE_METRICS))
+    return type_month_shown(month_states(events, type_days, ["event_type"], TYPE_METRICS, "month"))
 
 
 @query("monthly_upsert", _TYPE_MONTH_SQL)
 def monthly_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """The same month through a table, whose partition the step reads and replaces."""
+    """The same months through a table, of which the step reads and replaces the last partition."""
     events = table(spark, folder, "events")
     path = new_path(spark, "type_month")
-    prev = build_monthly(
-        type_days(events, FIRST, BEFORE), ["event_type"], "day", BEFORE, TYPE_METRICS
-    )
+    first, before, last = days_of(events)
+    key = ["event_type"]
+    prev = months_through(lambda a, b: type_days(events, a, b), first, before, key, TYPE_METRICS, "month")
     append_snapshot(prev, path, "month")
-    today = type_days(events, SNAPSHOT, SNAPSHOT)
     stored = spark.read.parquet(path)
-    step = reduce_monthly(stored, today, ["event_type"], SNAPSHOT, TYPE_METRICS)
+    step = reduce_monthly(stored, type_days(events, last, last), key, last, TYPE_METRICS)
     upsert_partition(step, path, "month")
     return type_month_shown(spark.read.parquet(path))
 
 
 _USER_MONTH_SQL = """
-WITH grid AS (SELECT u.user_id, CAST(g.d AS DATE) AS d
-              FROM (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL) u,
-                   generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30',
-                                   INTERVAL 1 DAY) g(d)),
+WITH ends AS (SELECT date_trunc('day', max(ts)) + INTERVAL 1 DAY AS stop FROM events),
+active AS (SELECT DISTINCT user_id, CAST(date_trunc('month', ts) AS TIMESTAMP) AS m FROM events
+           WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+grid AS (SELECT user_id, CAST(m AS DATE) AS m,
+                CAST(unnest(range(m, least(m + INTERVAL 1 MONTH, stop), INTERVAL 1 DAY)) AS DATE) AS d
+         FROM active, ends),
 daily AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS hits FROM events GROUP BY 1, 2),
-filled AS (SELECT grid.user_id, grid.d, coalesce(hits, 0) AS hits
+filled AS (SELECT grid.user_id, grid.m, grid.d, coalesce(hits, 0) AS hits
            FROM grid LEFT JOIN daily ON grid.user_id = daily.user_id AND grid.d = daily.d)
 """
 
@@ -321,9 +359,9 @@ filled AS (SELECT grid.user_id, grid.d, coalesce(hits, 0) AS hits
 @query(
     "monthly_metric",
     _USER_MONTH_SQL
-    + """SELECT user_id, 'site_hits' AS metric_name, '2024-01-01' AS month_start,
+    + """SELECT user_id, 'site_hits' AS metric_name, CAST(m AS VARCHAR) AS month_start,
          string_agg(CAST(hits AS VARCHAR), ';' ORDER BY d) AS metric_array
-         FROM filled GROUP BY user_id""",
+         FROM filled GROUP BY user_id, m""",
 )
 def monthly_metric(spark: SparkSession, folder: str) -> DataFrame:
     return user_month(spark, folder).select(
@@ -337,7 +375,7 @@ def monthly_metric(spark: SparkSession, folder: str) -> DataFrame:
     "array_lengths",
     _USER_MONTH_SQL
     + """SELECT CAST(length AS BIGINT) AS length, count(*) AS n_rows
-         FROM (SELECT user_id, count(*) AS length FROM filled GROUP BY user_id) GROUP BY 1""",
+         FROM (SELECT user_id, m, count(*) AS length FROM filled GROUP BY user_id, m) GROUP BY 1""",
 )
 def array_lengths(spark: SparkSession, folder: str) -> DataFrame:
     lengths = array_length_histogram(user_month(spark, folder), "metric_array")

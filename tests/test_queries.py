@@ -26,6 +26,36 @@ def test_query_equals_sql(spark, con, name):
     assert rows
 
 
+DATE_QUERIES = [
+    "user_active_dates", "event_type_dates", "user_segment_dates", "datelist_int", "datelist_int_as_written",
+    "datelist_words", "activity_flags", "activity_flags_as_written", "snapshot_table", "snapshot_state",
+    "monthly_reduced", "monthly_upsert", "monthly_metric", "array_lengths", "monthly_unpacked",
+    "monthly_unpacked_as_written",
+]
+
+
+@pytest.fixture(scope="module")
+def three_months(spark, tmp_path_factory):
+    """The tables with the events of odd ids put off by 45 days; some users are active in one month only."""
+    folder = str(tmp_path_factory.mktemp("three_months"))
+    for name in os.listdir(FOLDER):
+        if name != "events.parquet":
+            os.symlink(f"{FOLDER}/{name}", f"{folder}/{name}")
+    late = "CASE WHEN event_id % 2 = 1 AND user_id % 3 > 0 THEN ts + INTERVAL 45 DAY ELSE ts END"
+    connect(FOLDER).execute(
+        f"COPY (SELECT * REPLACE ({late} AS ts) FROM events WHERE user_id % 5 > 0 OR event_id % 2 = 1)"
+        f" TO '{folder}/events.parquet' (FORMAT parquet)"
+    )
+    return folder
+
+
+@pytest.mark.parametrize("name", DATE_QUERIES)
+def test_dates_over_three_months(spark, three_months, name):
+    found = spark_result(entry_points.queries()[name](spark, three_months))
+    assert found == duckdb_result(connect(three_months), entry_points.oracle_sql()[name])
+    assert found[1]
+
+
 def test_queries_without_sql(spark):
     assert set(plans.QUERIES) - set(plans.ORACLES) == NO_SQL
     report = plans.QUERIES["layout_bytes"](spark, FOLDER).collect()
