@@ -19,7 +19,6 @@ from ..operators import (
 )
 from .registry import joined, query, table, text
 
-FIRST_YEAR, LAST_YEAR = 1995, 2001
 KEY, ATTRS = ["o_custkey"], ["priority"]
 
 # Cents per year, and average cents per order.
@@ -27,6 +26,13 @@ SPEND_STEPS = [(60_000_000, "star"), (40_000_000, "good"), (20_000_000, "average
 ORDER_STEPS = [(35_000_000, "star"), (25_000_000, "good"), (15_000_000, "average")]
 
 
+def years_of(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """The first and the last year of the orders."""
+    year = F.year("o_orderdate")
+    first, last = table(spark, folder, "orders").agg(F.min(year), F.max(year)).first()
+    return (first, last) if last else (1, 1)  # no order at all
+
+
 def orders_of(spark: SparkSession, folder: str, first: int, last: int) -> DataFrame:
     orders = table(spark, folder, "orders")
     rows = days_between(orders, "o_orderdate", dt.date(first, 1, 1), dt.date(last, 12, 31))
@@ -61,12 +67,13 @@ def spend_class() -> tuple[str, Column]:
 
 
 def history_state(spark: SparkSession, folder: str) -> DataFrame:
+    first, last = years_of(spark, folder)
     prev = build_history(
-        seasons(spark, folder, FIRST_YEAR, LAST_YEAR - 1), KEY, ATTRS, season_item(),
-        period="year", through=LAST_YEAR - 1, history="season_stats",
+        seasons(spark, folder, first, last - 1), KEY, ATTRS, season_item(),
+        period="year", through=last - 1, history="season_stats",
         classify=spend_class(), recency="years_since_last",
     ).withColumnRenamed("year", "current_year")
-    today = seasons(spark, folder, LAST_YEAR, LAST_YEAR)
+    today = seasons(spark, folder, last, last)
     return cumulate_history(
         prev, today, KEY, ATTRS, season_item(),
         period_prev="current_year", period_today="year", history="season_stats",
@@ -79,7 +86,7 @@ WITH seasons AS (
   SELECT o_custkey, year(o_orderdate) AS y, count(*) AS n,
          CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents,
          max(o_orderpriority) AS priority
-  FROM orders WHERE o_custkey IS NOT NULL AND year(o_orderdate) BETWEEN 1995 AND 2001
+  FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
   GROUP BY 1, 2)
 """
 
@@ -92,7 +99,7 @@ WITH seasons AS (
        CASE WHEN arg_max(cents, y) > 60000000 THEN 'star'
             WHEN arg_max(cents, y) > 40000000 THEN 'good'
             WHEN arg_max(cents, y) > 20000000 THEN 'average' ELSE 'bad' END AS spend_class,
-       2001 - max(y) AS years_since_last, CAST(2001 AS BIGINT) AS current_year
+       (SELECT max(y) FROM seasons) - max(y) AS years_since_last, (SELECT max(y) FROM seasons) AS current_year
 FROM seasons GROUP BY o_custkey""",
 )
 def cumulative_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,17 +142,18 @@ def customer_unnest_history(spark: SparkSession, folder: str) -> DataFrame:
     _SEASONS_SQL
     + """SELECT o_custkey, arg_max(priority, y) AS priority,
        string_agg(CAST(cents AS VARCHAR), ';' ORDER BY y) AS cents_history,
-       CAST(2001 AS BIGINT) AS current_year FROM seasons GROUP BY o_custkey""",
+       (SELECT max(y) FROM seasons) AS current_year FROM seasons GROUP BY o_custkey""",
 )
 def cumulative_scalar(spark: SparkSession, folder: str) -> DataFrame:
     """A history of plain numbers, ordered by customer."""
     cents = F.col("cents")
+    first, last = years_of(spark, folder)
     prev = build_history(
-        seasons(spark, folder, FIRST_YEAR, LAST_YEAR - 1), KEY, ATTRS, cents,
-        period="year", through=LAST_YEAR - 1, history="cents_history",
+        seasons(spark, folder, first, last - 1), KEY, ATTRS, cents,
+        period="year", through=last - 1, history="cents_history",
     ).withColumnRenamed("year", "current_year")
     state = cumulate_history(
-        prev, seasons(spark, folder, LAST_YEAR, LAST_YEAR), KEY, ATTRS, cents,
+        prev, seasons(spark, folder, last, last), KEY, ATTRS, cents,
         period_prev="current_year", period_today="year", history="cents_history",
     )
     return state.select(
@@ -170,14 +178,15 @@ N_PARTS = 4
 def grouped_state(spark: SparkSession, folder: str, n_parts: int = N_PARTS) -> DataFrame:
     """Order keys run on, so their remainder spreads a large customer's orders evenly."""
     spread = F.col("o_orderkey")
+    first, last = years_of(spark, folder)
     prev = build_grouped(
-        orders_of(spark, folder, FIRST_YEAR, LAST_YEAR - 1), KEY, ATTRS, order_item(),
-        metric="cents", period="year", through=LAST_YEAR - 1, history="orders",
+        orders_of(spark, folder, first, last - 1), KEY, ATTRS, order_item(),
+        metric="cents", period="year", through=last - 1, history="orders",
         classify=order_class(), active="is_active", n_parts=n_parts, spread=spread,
     )
     return cumulate_grouped(
-        prev, orders_of(spark, folder, LAST_YEAR, LAST_YEAR), KEY, ATTRS, order_item(),
-        metric="cents", period=LAST_YEAR, period_name="year", history="orders",
+        prev, orders_of(spark, folder, last, last), KEY, ATTRS, order_item(),
+        metric="cents", period=last, period_name="year", history="orders",
         classify=order_class(), active="is_active", n_parts=n_parts, spread=spread,
     )
 
@@ -188,7 +197,7 @@ def grouped_state(spark: SparkSession, folder: str, n_parts: int = N_PARTS) -> D
 WITH RECURSIVE o AS (
   SELECT o_custkey, o_orderkey, year(o_orderdate) AS y, o_orderpriority AS p,
          CAST(round(o_totalprice * 100) AS BIGINT) AS cents
-  FROM orders WHERE o_custkey IS NOT NULL AND year(o_orderdate) BETWEEN 1995 AND 2001),
+  FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL),
 yearly AS (SELECT o_custkey, y, avg(cents) AS av, max(p) AS p FROM o GROUP BY ALL),
 placed AS (
   SELECT o_custkey, y, part,
@@ -196,12 +205,12 @@ placed AS (
                   FILTER (o_orderkey % 4 = part), '') AS orders
   FROM o, range(4) AS parts(part) GROUP BY ALL),
 fold AS (
-  SELECT 1994 AS y, CAST(NULL AS BIGINT) AS o_custkey, CAST(NULL AS BIGINT) AS part,
+  SELECT (SELECT min(y) - 1 FROM o) AS y, CAST(NULL AS BIGINT) AS o_custkey, CAST(NULL AS BIGINT) AS part,
          CAST(NULL AS VARCHAR) AS priority, '' AS orders, CAST(NULL AS DOUBLE) AS av, FALSE AS is_active
   UNION ALL
   SELECT g.y, coalesce(f.o_custkey, t.o_custkey), coalesce(f.part, t.part), coalesce(f.priority, t.p),
          concat_ws(';', nullif(f.orders, ''), nullif(t.orders, '')), coalesce(t.av, f.av), t.o_custkey IS NOT NULL
-  FROM (SELECT DISTINCT y + 1 AS y FROM fold WHERE y < 2001) g
+  FROM (SELECT DISTINCT y + 1 AS y FROM fold WHERE y < (SELECT max(y) FROM o)) g
   CROSS JOIN ((SELECT * FROM fold WHERE o_custkey IS NOT NULL) f
     FULL JOIN (SELECT * FROM placed JOIN yearly USING (o_custkey, y)
                WHERE y = (SELECT max(y) + 1 FROM fold)) t
@@ -210,8 +219,8 @@ fold AS (
 SELECT o_custkey, part, priority, orders,
        CASE WHEN av > 35000000 THEN 'star' WHEN av > 25000000 THEN 'good'
             WHEN av > 15000000 THEN 'average' ELSE 'bad' END AS order_class,
-       is_active, CAST(2001 AS BIGINT) AS year
-FROM fold WHERE y = 2001
+       is_active, y AS year
+FROM fold WHERE y = (SELECT max(y) FROM o)
 """,
 )
 def cumulative_grouped(spark: SparkSession, folder: str) -> DataFrame:

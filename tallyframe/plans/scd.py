@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import scd2_build, scd2_merge
 from ..operators.cumulate import carry_forward
-from .cumulative import FIRST_YEAR, LAST_YEAR, seasons, spend_class
+from .cumulative import seasons, spend_class, years_of
 from .registry import query, text
 
 KEY, ATTRS, TRACKED = ["o_custkey"], ["priority"], ["spend_class", "is_active"]
@@ -18,9 +18,10 @@ KEY, ATTRS, TRACKED = ["o_custkey"], ["priority"], ["spend_class", "is_active"]
 def yearly_states(spark: SparkSession, folder: str) -> DataFrame:
     """The state of every customer in every year since the first order."""
     name, rule = spend_class()
-    rows = seasons(spark, folder, FIRST_YEAR, LAST_YEAR)
+    first, last = years_of(spark, folder)
+    rows = seasons(spark, folder, first, last)
     states = rows.select("o_custkey", "year", "priority", rule.alias(name))
-    return carry_forward(states, KEY, "year", LAST_YEAR)
+    return carry_forward(states, KEY, "year", last)
 
 
 def shown(scd: DataFrame) -> DataFrame:
@@ -32,18 +33,20 @@ _STATES_SQL = """
 WITH seasons AS (
   SELECT o_custkey, CAST(year(o_orderdate) AS BIGINT) AS y, max(o_orderpriority) AS priority,
          sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
-  FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001 GROUP BY 1, 2),
+  FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2),
+limits AS (SELECT min(y) AS first, max(y) AS last FROM seasons),
 classed AS (
   SELECT o_custkey, y, priority,
          CASE WHEN cents > 60000000 THEN 'star' WHEN cents > 40000000 THEN 'good'
               WHEN cents > 20000000 THEN 'average' ELSE 'bad' END AS spend_class
   FROM seasons),
-years AS (SELECT CAST(range AS BIGINT) AS year FROM range(1995, 2002)),
+years AS (SELECT unnest(range(first, last + 1)) AS year FROM limits),
 states AS (
   SELECT c.o_custkey, g.year, c.priority, c.spend_class, c.y = g.year AS is_active
   FROM (SELECT *, lead(y) OVER (PARTITION BY o_custkey ORDER BY y) AS nxt FROM classed) c
-  JOIN years g ON g.year >= c.y AND g.year < coalesce(c.nxt, 2002)),
+  JOIN years g ON g.year >= c.y AND g.year < coalesce(c.nxt, (SELECT last + 1 FROM limits))),
 """
+_LAST, _BEFORE = "(SELECT last FROM limits)", "(SELECT last - 1 FROM limits)"
 _POINTS_SQL = """
 points AS (
   SELECT *, lag((spend_class, is_active)) OVER (PARTITION BY o_custkey ORDER BY year)
@@ -57,7 +60,7 @@ ends AS (
   FROM points WHERE opens),
 scd AS (
   SELECT o_custkey, priority, spend_class, is_active, a || '-01-01' AS start_date,
-         b || '-01-01' AS end_date, '{stamp}-01-01' AS snapshot_date
+         b || '-01-01' AS end_date, {stamp} || '-01-01' AS snapshot_date
   FROM ends JOIN points USING (o_custkey) WHERE year = b)
 """
 #: As written, an interval also splits where the priority differs.
@@ -67,7 +70,7 @@ since AS (
   FROM points),
 scd AS (
   SELECT o_custkey, priority, spend_class, is_active, min(year) || '-01-01' AS start_date,
-         max(year) || '-01-01' AS end_date, '{stamp}-01-01' AS snapshot_date
+         max(year) || '-01-01' AS end_date, {stamp} || '-01-01' AS snapshot_date
   FROM since GROUP BY o_custkey, opened, priority, spend_class, is_active)
 """
 _COLUMNS = "o_custkey, priority, spend_class, is_active, start_date, end_date, snapshot_date"
@@ -75,16 +78,16 @@ _COLUMNS = "o_custkey, priority, spend_class, is_active, start_date, end_date, s
 
 @query(
     "scd2_build",
-    _STATES_SQL + _BUILD_SQL.format(limit=2001, stamp=2001)
+    _STATES_SQL + _BUILD_SQL.format(limit=_LAST, stamp=_LAST)
     + f"SELECT {_COLUMNS} FROM scd",
 )
 def customer_scd2_build(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(scd2_build(yearly_states(spark, folder), KEY, ATTRS, TRACKED, "year", LAST_YEAR))
+    return shown(scd2_build(yearly_states(spark, folder), KEY, ATTRS, TRACKED, "year", years_of(spark, folder)[1]))
 
 
 @query(
     "scd2_build_as_written",
-    _STATES_SQL + _SPLIT_SQL.format(limit=2001, stamp=1999)
+    _STATES_SQL + _SPLIT_SQL.format(limit=_LAST, stamp=1999)
     + f"SELECT {_COLUMNS} FROM scd",
 )
 def customer_scd2_build_as_written(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,11 +98,12 @@ def customer_scd2_build_as_written(spark: SparkSession, folder: str) -> DataFram
 
 def merged(spark: SparkSession, folder: str, as_written: bool) -> DataFrame:
     states = yearly_states(spark, folder)
-    before = scd2_build(states, KEY, ATTRS, TRACKED, "year", LAST_YEAR - 1)
-    current = states.where(F.col("year") == LAST_YEAR)
+    last = years_of(spark, folder)[1]
+    before = scd2_build(states, KEY, ATTRS, TRACKED, "year", last - 1)
+    current = states.where(F.col("year") == last)
     return scd2_merge(
         before, current, KEY, ATTRS, TRACKED,
-        dt.date(LAST_YEAR - 1, 1, 1), dt.date(LAST_YEAR, 1, 1), as_written,
+        dt.date(last - 1, 1, 1), dt.date(last, 1, 1), as_written,
     )
 
 
@@ -108,23 +112,23 @@ _MERGE_SQL = """
   SELECT o_custkey, n.o_custkey IS NOT NULL AS has_new, o.o_custkey IS NOT NULL AS has_old,
          n.spend_class IS DISTINCT FROM o.spend_class AS class_moved, n.is_active IS DISTINCT FROM o.is_active AS active_moved,
          {{'priority': n.priority, 'spend_class': n.spend_class, 'is_active': n.is_active,
-           'start_date': '2001-01-01', 'end_date': '2001-01-01'}} AS opened,
+           'start_date': {last} || '-01-01', 'end_date': {last} || '-01-01'}} AS opened,
          {{'priority': n.priority, 'spend_class': n.spend_class, 'is_active': n.is_active,
-           'start_date': o.start_date, 'end_date': '2001-01-01'}} AS extended,
+           'start_date': o.start_date, 'end_date': {last} || '-01-01'}} AS extended,
          {{'priority': {old_priority}, 'spend_class': o.spend_class, 'is_active': o.is_active,
            'start_date': o.start_date, 'end_date': o.end_date}} AS ended
-  FROM (SELECT * FROM states WHERE year = 2001) n
-  FULL JOIN (SELECT * FROM scd WHERE end_date = '2000-01-01') o USING (o_custkey)),
+  FROM (SELECT * FROM states WHERE year = {last}) n
+  FULL JOIN (SELECT * FROM scd WHERE end_date = {before} || '-01-01') o USING (o_custkey)),
 made AS (SELECT o_custkey, unnest({records}) AS r FROM both_sides)
-SELECT o_custkey, r.priority, r.spend_class, r.is_active, r.start_date, r.end_date, '2001-01-01' AS snapshot_date FROM made
+SELECT o_custkey, r.priority, r.spend_class, r.is_active, r.start_date, r.end_date, {last} || '-01-01' AS snapshot_date FROM made
 UNION ALL
-SELECT o_custkey, priority, spend_class, is_active, start_date, end_date, '2001-01-01' FROM scd WHERE end_date < '2000-01-01'
+SELECT o_custkey, priority, spend_class, is_active, start_date, end_date, {last} || '-01-01' FROM scd WHERE end_date < {before} || '-01-01'
 """
 
 
 def _merge_sql(old_priority: str, records: str) -> str:
-    return _STATES_SQL + _BUILD_SQL.format(limit=2000, stamp=2000) + _MERGE_SQL.format(
-        old_priority=old_priority, records=records
+    return _STATES_SQL + _BUILD_SQL.format(limit=_BEFORE, stamp=_BEFORE) + _MERGE_SQL.format(
+        old_priority=old_priority, records=records, last=_LAST, before=_BEFORE
     )
 
 

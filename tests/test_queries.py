@@ -27,6 +27,8 @@ def test_query_equals_sql(spark, con, name):
 
 
 DATE_QUERIES = [
+    "cumulative_history", "history_ratio", "unnest_history", "cumulative_scalar", "cumulative_grouped", "scd2_build",
+    "scd2_build_as_written", "scd2_merge", "scd2_merge_as_written",
     "user_active_dates", "event_type_dates", "user_segment_dates", "datelist_int", "datelist_int_as_written",
     "datelist_words", "activity_flags", "activity_flags_as_written", "snapshot_table", "snapshot_state",
     "monthly_reduced", "monthly_upsert", "monthly_metric", "array_lengths", "monthly_unpacked",
@@ -35,13 +37,20 @@ DATE_QUERIES = [
 
 
 @pytest.fixture(scope="module")
-def three_months(spark, tmp_path_factory):
-    """The tables with the events of odd ids put off by 45 days; some users are active in one month only."""
-    folder = str(tmp_path_factory.mktemp("three_months"))
+def later_dates(spark, tmp_path_factory):
+    """The tables with many odd events put off by 45 days, into a third month, and odd orders by three years.
+
+    Some users are active in one month only.
+    """
+    folder = str(tmp_path_factory.mktemp("later_dates"))
     for name in os.listdir(FOLDER):
-        if name != "events.parquet":
+        if name not in ("events.parquet", "orders.parquet"):
             os.symlink(f"{FOLDER}/{name}", f"{folder}/{name}")
     late = "CASE WHEN event_id % 2 = 1 AND user_id % 3 > 0 THEN ts + INTERVAL 45 DAY ELSE ts END"
+    connect(FOLDER).execute(
+        "COPY (SELECT * REPLACE (CASE WHEN o_orderkey % 2 = 1 THEN o_orderdate + INTERVAL 3 YEAR ELSE o_orderdate END"
+        f" AS o_orderdate) FROM orders) TO '{folder}/orders.parquet' (FORMAT parquet)"
+    )
     connect(FOLDER).execute(
         f"COPY (SELECT * REPLACE ({late} AS ts) FROM events WHERE user_id % 5 > 0 OR event_id % 2 = 1)"
         f" TO '{folder}/events.parquet' (FORMAT parquet)"
@@ -50,9 +59,9 @@ def three_months(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", DATE_QUERIES)
-def test_dates_over_three_months(spark, three_months, name):
-    found = spark_result(entry_points.queries()[name](spark, three_months))
-    assert found == duckdb_result(connect(three_months), entry_points.oracle_sql()[name])
+def test_bounds_come_from_the_data(spark, later_dates, name):
+    found = spark_result(entry_points.queries()[name](spark, later_dates))
+    assert found == duckdb_result(connect(later_dates), entry_points.oracle_sql()[name])
     assert found[1]
 
 
