@@ -44,8 +44,8 @@ LENGTHS = (20, 24, 32, 48, 96)
 STEPS = 100
 FALSE_SHARE = 0.05
 LEAST_STEP = 1
-#: Strings that a class must have in the upper three quarters, and standard errors by which these
-#: may fall off towards the top.
+#: Different strings that a class must have in the upper three quarters, and standard errors by which
+#: these may fall off towards the top before ordinary strings are taken off them.
 MIN_STRINGS, MAX_FALL = 12, 1.64
 
 
@@ -134,13 +134,17 @@ def _overlaps(x: Column, others: Column) -> Column:
 
 
 def cut_offs(found: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
-    """(encoding, length_class, least) from (encoding, length_class, step) of all candidates.
+    """(encoding, length_class, least) from (encoding, length_class, step) of all different candidates.
 
     Of random strings a share of (STEPS - s) / STEPS lies at step s or above, so their number is
-    taken from the upper three quarters. These must hold MIN_STRINGS, or they prove nothing, and
-    must not fall off towards the top, as the values of ordinary strings do (a one-sided test of the
-    last quarter against the second). The least step keeps the estimated share of ordinary strings at or above it below
-    ``false_share``, within one standard error.
+    taken from the upper three quarters. These must hold MIN_STRINGS, or they prove nothing. The
+    least step keeps the estimated share of ordinary strings at or above it below ``false_share``,
+    within one standard error.
+
+    Where the quarters fall off towards the top (a one-sided test of the last against the second),
+    ordinary strings reach into them. What they add to the last quarter is carried on from the falls
+    between the quarters, the second of them at its upper bound; the rest of it is taken for random,
+    and the share must be below ``false_share`` without an allowance, which raises the step.
     """
     key = ["encoding", "length_class"]
     counts = found.groupBy(*key, "step").agg(F.count("*").alias("n"))
@@ -150,14 +154,20 @@ def cut_offs(found: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
         F.sum(F.when((F.col("step") * 4 >= k * STEPS) & (F.col("step") * 4 < (k + 1) * STEPS), F.col("n")).otherwise(0)).over(whole)
         for k in (1, 2, 3)
     ]
-    each = (quarters[0] + quarters[1] + quarters[2]) / 3
+    total = quarters[0] + quarters[1] + quarters[2]
+    falls = (quarters[0] - quarters[2]) / F.sqrt(F.greatest(quarters[0] + quarters[2], F.lit(1))) > MAX_FALL
+    first = quarters[0] - quarters[1]
+    second = F.greatest(quarters[1] - quarters[2], F.lit(0)) + MAX_FALL * F.sqrt(quarters[1] + quarters[2])
+    ordinary = F.when(first > second, second * second / F.greatest(first - second, F.lit(1e-9))).otherwise(quarters[2])
+    each = F.when(falls, F.greatest(quarters[2] - ordinary, F.lit(0.0))).otherwise(total / 3)
     return (
         counts.withColumn("above", F.sum("n").over(above))
+        .withColumn("total", total)
+        .withColumn("falls", falls)
         .withColumn("each", each)
-        .withColumn("fall", (quarters[0] - quarters[2]) / F.sqrt(F.greatest(quarters[0] + quarters[2], F.lit(1))))
         .withColumn("false", 1 - F.col("each") * 4 * (STEPS - F.col("step")) / STEPS / F.col("above"))
-        .where((F.col("each") * 3 >= MIN_STRINGS) & (F.col("fall") <= MAX_FALL) & (F.col("step") >= LEAST_STEP))
-        .where(F.col("false") <= false_share + 1 / F.sqrt("above"))
+        .where((F.col("total") >= MIN_STRINGS) & (F.col("step") >= LEAST_STEP))
+        .where(F.col("false") <= false_share + F.when(F.col("falls"), 0.0).otherwise(1 / F.sqrt("above")))
         .groupBy(*key)
         .agg(F.min("step").alias("least"))
     )
@@ -173,10 +183,10 @@ def scan(
     overlap none of the other kinds). Places are in code points, the end exclusive; the order is by
     start, then kind in the order above.
 
-    A null or empty text holds nothing. Repeated rows give repeated results and count each in the
-    statistics; a null doc_id is carried; other columns are ignored; an empty table gives an empty
-    one. The statistics cover all rows: a table of at most (encodings x lengths x steps) counts,
-    combined before the shuffle.
+    A null or empty text holds nothing. Repeated rows give repeated results; a string counts once
+    in the statistics, however many copies there are; a null doc_id is carried; other columns are ignored; an empty table gives an empty
+    one. The statistics cover all rows: different candidates, by 128 bits of hash and combined before
+    the shuffle, then a table of at most (encodings x lengths x steps) counts.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     assign = F.filter(spans(content, ASSIGN), lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= 6)
@@ -201,7 +211,9 @@ def scan(
         )).alias("tested"))
     )
     rows = materialise(rows, "secret-spans")
-    seen = rows.select(F.explode("tested").alias("x")).select("x.encoding", "x.length_class", "x.step")
+    seen = rows.select(F.explode("tested").alias("x")).select(
+        "x.encoding", "x.length_class", "x.step", F.xxhash64("x.match").alias("h"), F.xxhash64(F.lit(1), "x.match").alias("g")
+    ).distinct()
     least = {(r.encoding, r.length_class): r.least for r in cut_offs(seen, false_share).collect()}
 
     def random(x: Column) -> Column:

@@ -172,6 +172,27 @@ def test_secret_spans(spark):
     assert secret_scan.scan(docs(spark, [])).count() == 0
 
 
+def test_copies_and_ordinary_strings_do_not_hide_secrets(spark):
+    rng = random.Random(17)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    drawn = ["".join(rng.choice(alphabet) for _ in range(40)) for _ in range(440)]
+    frame = spark.createDataFrame([(x,) for x in drawn], "match string")
+    p = {r.match: r.p for r in frame.select("match", secret_scan.battery(frame.match)["p"].alias("p")).collect()}
+    copied = next(x for x in drawn[400:] if 0.26 < p[x] < 0.49)
+    texts = [f"key {x} end" for x in drawn[:400]] + [f"key {copied} end"] * 300
+    got = secret_scan.scan(docs(spark, texts)).select("doc_id", "found.kind").collect()
+    assert sum(r.kind == ["random"] for r in got if r.doc_id < 400) >= 380
+    assert all(r.kind == ["random"] for r in got if r.doc_id >= 400)
+    # 300 ordinary strings with 100 random ones in each quarter: the step goes up, the class stays
+    steps = [k % 100 for k in range(400)] + [25 + k % 25 for k in range(300)]
+    found = spark.createDataFrame([(8, 2, k) for k in steps], "encoding int, length_class int, step int")
+    assert [45 <= r.least <= 60 for r in secret_scan.cut_offs(found).collect()] == [True]
+    # ordinary strings alone, piling up at zero
+    steps = [k for k in range(100) for _ in range(int(400 * 0.93**k))]
+    found = spark.createDataFrame([(8, 2, k) for k in steps], "encoding int, length_class int, step int")
+    assert secret_scan.cut_offs(found).count() == 0
+
+
 def test_quality_counts_and_divergence(spark):
     rng = random.Random(8)
     common = ["the", "of", "and", "house", "walks", "green", "to", "in"]
