@@ -6,10 +6,20 @@ uniformity of the alphabet, runs above and below the middle symbol, and serial c
 are combined by Fisher's method. Random strings have evenly spread combined values and ordinary
 ones pile up at zero, so in each class of encoding and length the share of ordinary strings above a
 cut-off can be estimated; the cut-off is the least with which it stays below the allowed rate.
+
+A class with few strings proves nothing that way. So each string is also judged on its own, whatever
+else the table holds: it is reported where it is so much likelier as a random string of its encoding
+than as ordinary text that, with one random string in RARITY candidates, the allowed rate is kept.
+Ordinary text is a model of character pairs, taken from the pieces of a public vocabulary.
 """
 
 from __future__ import annotations
 
+import json
+import math
+from functools import cache
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +57,12 @@ LEAST_STEP = 1
 #: Different strings that a class must have in the upper three quarters, and standard errors by which
 #: these may fall off towards the top before ordinary strings are taken off them.
 MIN_STRINGS, MAX_FALL = 12, 1.64
+#: Of one string's own judgement: ordinary candidates for each random one, the vocabulary, its
+#: characters, and how often a piece ends after a character.
+RARITY = 1000
+VOCABULARY = "byte_bpe_50k.json"
+CHARACTERS = _UP + _LOW + _DIGITS + "+/-_"
+PIECE_ENDS = 0.2
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -129,6 +145,50 @@ def battery(token: Column) -> Column:
     ))
 
 
+@cache
+def ordinary_bits() -> np.ndarray:
+    """Bits of each character after each other one in ordinary text; the last row is for the first character.
+
+    Pieces of the vocabulary weigh by the reciprocal of their rank. A piece begins with a letter in
+    three of four cases, else with a digit or a sign; digits follow each other evenly.
+    """
+    import public_tokenizers
+
+    with open(public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    size, letters, digits = len(CHARACTERS), slice(0, 52), slice(52, 62)
+    pair, start = np.zeros((size, size)), np.zeros(size)
+    for piece, rank in vocabulary.items():
+        piece = piece.removeprefix("Ġ")  # the file's sign for a space
+        at = [CHARACTERS.find(c) for c in piece]
+        if at and min(at) >= 0:
+            start[at[0]] += 1 / (rank + 1)
+            np.add.at(pair, (at[:-1], at[1:]), 1 / (rank + 1))
+    start[letters] = 0.75 * (0.9 * start[letters] / start[letters].sum() + 0.1 / 52)
+    start[digits], start[62:] = 0.15 / 10, 0.1 / 4
+    seen = pair.sum(axis=1, keepdims=True)
+    inside = np.where(seen > 0, pair / np.maximum(seen, 1e-300), start)
+    inside[digits], inside[digits, digits] = 0, 0.1
+    return -np.log2(np.vstack([(1 - PIECE_ENDS) * inside + PIECE_ENDS * start, start]))
+
+
+def stands_alone(token: Column, encoding: Column, false_share: float = FALSE_SHARE) -> Column:
+    """Whether a token is random by its own likelihoods. Decimal digits never are: so are numbers."""
+    size = len(CHARACTERS)
+    bits = F.split(F.lit(",".join(f"{x:.3f}" for x in ordinary_bits().ravel())), ",").cast("array<double>")
+    each = F.element_at(F.array(*[F.lit(math.log2(len(a))) for _, a in ENCODINGS]), encoding + 1)
+    codes = F.transform(
+        F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(F.lit(CHARACTERS), F.substring(token, i, F.lit(1))) - 1
+    )
+    ordinary = F.aggregate(
+        codes,
+        F.struct(F.lit(size).alias("last"), F.lit(0.0).alias("bits")),
+        lambda t, c: F.struct(c.alias("last"), (t["bits"] + F.element_at(bits, t["last"] * size + c + 1)).alias("bits")),
+        lambda t: t["bits"],
+    )
+    return (encoding > 0) & (ordinary - F.length(token) * each >= math.log2(RARITY / false_share))
+
+
 def _overlaps(x: Column, others: Column) -> Column:
     return F.exists(others, lambda o: (o["start"] < x["end"]) & (x["start"] < o["end"]))
 
@@ -180,7 +240,7 @@ def scan(
 
     Kinds: assign (a named secret with a value of 6 or more characters), access (key ids of 20 or
     more), hex (24 or more digits) and random (candidates that the tests take for random and that
-    overlap none of the other kinds). Places are in code points, the end exclusive; the order is by
+    overlap none of the other kinds, in their class or on their own). Places are in code points, the end exclusive; the order is by
     start, then kind in the order above.
 
     A null or empty text holds nothing. Repeated rows give repeated results; a string counts once
@@ -208,6 +268,7 @@ def scan(
             x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"),
             x["b"]["encoding"].alias("encoding"), length_class(x).alias("length_class"),
             F.least(F.floor(x["b"]["p"] * STEPS), F.lit(STEPS - 1)).cast("int").alias("step"),
+            ((F.floor(x["b"]["p"] * STEPS) >= LEAST_STEP) & stands_alone(x["match"], x["b"]["encoding"], false_share)).alias("alone"),
         )).alias("tested"))
     )
     rows = materialise(rows, "secret-spans")
@@ -217,7 +278,7 @@ def scan(
     least = {(r.encoding, r.length_class): r.least for r in cut_offs(seen, false_share).collect()}
 
     def random(x: Column) -> Column:
-        hit = F.lit(False)
+        hit = x["alone"]
         for (encoding, size), step in sorted(least.items()):
             hit = hit | ((x["encoding"] == encoding) & (x["length_class"] == size) & (x["step"] >= step))
         return hit

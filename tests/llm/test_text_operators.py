@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
@@ -193,6 +194,24 @@ def test_copies_and_ordinary_strings_do_not_hide_secrets(spark):
     assert secret_scan.cut_offs(found).count() == 0
 
 
+def test_single_secrets_and_rare_classes(spark):
+    rng = random.Random(18)
+    classes = [(n, a) for n, a in secret_scan.ENCODINGS if n not in ("decimal", "hex", "any")]
+    keys = ["".join(rng.choice(a) for _ in range(n)) for _, a in classes for n in (26, 40, 70)]
+    frame = spark.createDataFrame([(x,) for x in keys], "match string").withColumn("b", secret_scan.battery(F.col("match")))
+    sure = {r.match for r in frame.where("b.p >= 0.01").collect()}
+    plain = ["schverlicheinpfauung", "auxauxentionmentment", "AbstractSingletonProxyFactoryBean", "a" * 30, "-" * 30,
+             "INTERNAL_SERVER_ERROR_CODE", "get_user_by_id_and_name", "usr/local/lib/python3/dist-packages", "2024" * 6,
+             "Donaudampfschifffahrtsgesellschaft", "20240101123456789012345", "przedsiebiorczosciowy"]
+    texts = [f"key {x} end" for x in keys + plain] + [f"key {keys[4]} end"] * 12
+    got = secret_scan.scan(docs(spark, texts)).orderBy("doc_id").collect()
+    found = [{x.match for x in r.found if x.kind == "random"} for r in got]
+    assert all(x in f for x, f in zip(keys, found, strict=False) if x in sure) and len(sure) > 24
+    assert not any(found[len(keys) : len(keys) + len(plain)]) and all(found[-12:])
+    alone = secret_scan.scan(docs(spark, [f"key {next(iter(sorted(sure)))} end"])).first()
+    assert [x.kind for x in alone.found] == ["random"]
+
+
 def test_quality_counts_and_divergence(spark):
     rng = random.Random(8)
     common = ["the", "of", "and", "house", "walks", "green", "to", "in"]
