@@ -8,6 +8,9 @@ becomes Hamming distance, and bit sampling finds near pairs. Tokens are words in
 Items are few and are broadcast in blocks of bounded size; documents are read once for each block
 and nothing is shuffled. For every document:
 
+0. Walks drift apart with every insertion and deletion, so items of more than LONGEST words are cut
+   into equal parts. Of a passage with at most k edits some part has no more than its share of k, so
+   it is enough to look for the parts as for short items; a part found proposes the whole item.
 1. Windows of an item's size start at every word. A window within the allowed distance k of an item
    of L words holds at least L - 2 - 3k of the item's word triples (q-gram lemma), so windows that
    hold fewer benchmark triples are passed over without loss.
@@ -39,6 +42,8 @@ MAX_EDITS = 0.2
 #: Chance that one window at the largest allowed distance is found. Its neighbours are sampled as
 #: well, so the measured recall of passages is higher (see tests).
 RECALL = 0.99
+#: Words of a part at most; up to here the samples below reach that recall (see tests).
+LONGEST = 59
 #: Bytes of benchmark text in one broadcast block.
 BLOCK_BYTES = 16 << 20
 #: Steps that one repetition compares, and the chance that two walks agree at a step when a fifth of
@@ -128,12 +133,15 @@ class Items:
     triples: np.ndarray  # of all items, sorted
     own_triples: np.ndarray  # item * len(triples) + place in triples, sorted
     needed: np.ndarray  # word triples that each item's nearest windows share with it at least
+    part_item: np.ndarray  # of each part, its item and the words before it
+    part_offset: np.ndarray
+    slack: np.ndarray  # words by which a part of an item may be found beside its place, 0 for an item in one part
     classes: list[tuple[int, int, int, int, list[tuple[np.ndarray, np.ndarray]]]]
-    # each length class: least and most words, window words, triples needed, and sketches of every repetition
+    # each length class of parts: least and most words, window words, triples needed, and sketches of every repetition
 
 
 def _length_classes(lengths: np.ndarray) -> Iterator[np.ndarray]:
-    """Items whose lengths differ by an eighth at most, the shortest class first."""
+    """Parts whose lengths differ by an eighth at most, the shortest class first."""
     order = np.argsort(lengths, kind="stable")
     first = 0
     while first < len(order):
@@ -156,17 +164,25 @@ def prepare(ids: list, texts: list[str], max_edits: float, recall: float) -> Ite
     own = np.unique(owner * len(triples) + place)
     needed = np.maximum(lengths - Q + 1 - Q * allowed, 0)
     tokens = np.concatenate(cut) if cut else np.zeros(0, np.uint64)
-    begins = np.cumsum(lengths) - lengths
+    n_parts = -(-lengths // LONGEST)
+    item = np.repeat(np.arange(len(lengths)), n_parts)
+    nth = np.arange(len(item)) - np.repeat(np.cumsum(n_parts) - n_parts, n_parts)
+    offset = lengths[item] * nth // n_parts[item]
+    size = lengths[item] * (nth + 1) // n_parts[item] - offset
+    edits = np.floor(max_edits * size + 1e-9).astype(np.int64)
+    begins = (np.cumsum(lengths) - lengths)[item] + offset
+    slack = np.zeros(len(lengths), np.int64)
+    np.maximum.at(slack, item, np.where(n_parts[item] > 1, edits, 0))
     classes = []
-    for group in _length_classes(lengths):
-        least, most = int(lengths[group].min()), int(lengths[group].max())
-        need = int(needed[group].min())
+    for group in _length_classes(size):
+        least, most = int(size[group].min()), int(size[group].max())
+        need = int(np.maximum(size[group] - Q + 1 - Q * edits[group], 0).min())
         tables = []
         for h in sketches(tokens, begins[group], begins[group] + least, least, repetitions(recall)):
             order = np.argsort(h, kind="stable")
             tables.append((h[order], group[order]))
-        classes.append((least, most, most + int(allowed[group].max()), need, tables))
-    return Items(ids, cut, allowed, triples, own, needed, classes)
+        classes.append((least, most, most + int(edits[group].max()), need, tables))
+    return Items(ids, cut, allowed, triples, own, needed, item, offset, slack, classes)
 
 
 def find(items: Items, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
@@ -195,6 +211,7 @@ def find(items: Items, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
     least_need = min(need for _, _, _, need, _ in items.classes)
     every = np.flatnonzero(known[np.minimum(np.arange(n) + reach, n)] - known[:n] >= least_need)
     row = w.texts()
+    n_parts = len(items.part_item)
     pairs = [np.zeros(0, np.int64)]
     for least, _, size, need, tables in items.classes:
         end = np.minimum(every + size, stop[every])
@@ -206,10 +223,11 @@ def find(items: Items, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
             lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
             which = np.repeat(np.arange(len(h)), hi - lo)
             nth = np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
-            pairs.append(starts[which] * len(items.ids) + owners[lo[which] + nth])
-    first, item = np.divmod(np.unique(np.concatenate(pairs)), len(items.ids))
+            pairs.append(starts[which] * n_parts + owners[lo[which] + nth])
+    start, part = np.divmod(np.unique(np.concatenate(pairs)), n_parts)
+    first, item = start - items.part_offset[part], items.part_item[part]
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for text, i, a, b in _spans(items, first, item, row, w.bounds, triple):
+    for text, i, a, b in _spans(items, first, item, row[start], w.bounds, triple):
         d, begin, end = best_match(items.words[i], w.hashes[a:b])
         if d <= items.allowed[i] and ((text, i) not in out or d < out[text, i][0]):
             out[text, i] = (d, a + begin - int(w.bounds[text]), a + end - int(w.bounds[text]))
@@ -217,7 +235,7 @@ def find(items: Items, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
 
 
 def _spans(
-    items: Items, first: np.ndarray, item: np.ndarray, row: np.ndarray, bounds: np.ndarray, triple: np.ndarray
+    items: Items, first: np.ndarray, item: np.ndarray, text: np.ndarray, bounds: np.ndarray, triple: np.ndarray
 ) -> Iterator[tuple[int, int, int, int]]:
     """(text, item, begin, end) around candidate windows, overlapping ones made one, in order.
 
@@ -225,10 +243,9 @@ def _spans(
     """
     if not len(first):
         return
-    text = row[first]
     order = np.lexsort((first, item, text))
     first, item, text = first[order], item[order], text[order]
-    reach = items.allowed[item]
+    reach = items.allowed[item] + items.slack[item]
     length = np.array([len(x) for x in items.words], np.int64)[item]
     a, b = np.maximum(first - reach, bounds[text]), np.minimum(first + length + reach, bounds[text + 1])
     # in a text, the spans of one item begin and end in the same order

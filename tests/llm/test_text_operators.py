@@ -149,6 +149,24 @@ def test_passages_with_edits_are_found_and_others_are_not(spark):
     assert decontaminate.clean_documents(docs(spark, texts), benchmark).count() == len(texts) - len({i for i, _ in want})
 
 
+@pytest.mark.parametrize("kind", ["insert", "delete", "mixed"])
+def test_recall_of_long_passages(kind):
+    rng = random.Random(f"recall {kind}")
+    for n in (14, 59, 60, 150, 300, 600, 1000):
+        items = [[f"w{rng.randrange(5000)}" for _ in range(n)] for _ in range(40)]
+        texts = []
+        for words in items:
+            words = list(words)
+            for _ in range(n // 5):
+                what = rng.choice(["insert", "delete", "change"]) if kind == "mixed" else kind
+                at = rng.randrange(len(words))
+                words[at : at + (what != "insert")] = [] if what == "delete" else [f"x{rng.randrange(5000)}"]
+            texts.append(" ".join([f"y{rng.randrange(5000)}" for _ in range(80)] + words + ["end"] * 20))
+        block = decontaminate.prepare(list(range(40)), [" ".join(x) for x in items], 0.2, decontaminate.RECALL)
+        found = {(row, item) for row, item, *_ in decontaminate.find(block, pa.array(texts))}
+        assert len(found & {(k, k) for k in range(40)}) >= 39, n
+
+
 def test_best_match_is_the_edit_distance():
     rng = np.random.default_rng(6)
     for _ in range(200):
