@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from . import (
     chat_format,
+    collocations,
     decontaminate,
+    fingerprints,
     jaccard_join,
     language_id,
     line_dedup,
@@ -15,6 +17,7 @@ from . import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    spelling,
     url_filter,
 )
 from .registry import query, table
@@ -184,3 +187,59 @@ FROM marked GROUP BY doc_id
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_OP11_SQL = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), totals AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang
+), places AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS place FROM pieces WHERE len(words) > 0
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase
+    FROM places, (SELECT unnest(range(1, 6)) AS size) WHERE place + size - 1 <= len(words))
+  GROUP BY lang, size, phrase HAVING count(*) >= 100
+), held AS (
+  SELECT lang, part, max(f) AS f FROM (
+    SELECT lang, f, array_to_string(w[first:first + size - 1], ' ') AS part
+    FROM (SELECT c.lang, c.f, string_split(phrase, ' ') AS w, s.size, unnest(range(1, c.size - s.size + 2)) AS first
+          FROM counts c, (SELECT unnest(range(2, 5)) AS size) s WHERE c.size > s.size))
+  GROUP BY lang, part
+), candidates AS (
+  SELECT c.* FROM counts c LEFT JOIN held h ON h.lang = c.lang AND h.part = c.phrase
+  WHERE c.size >= 2 AND (h.f IS NULL OR 100 * h.f < 100 * c.f)
+), cuts AS (
+  SELECT lang, phrase, f, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+  FROM (SELECT lang, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS cut FROM candidates)
+), scored AS (
+  SELECT x.lang, x.phrase, x.f AS a, a.f AS l, b.f AS r, t.n, x.cut,
+         ((1000::HUGEINT * x.f * t.n) // (a.f::HUGEINT * b.f))::BIGINT AS score
+  FROM cuts x JOIN counts a ON a.lang = x.lang AND a.phrase = x.head
+  JOIN counts b ON b.lang = x.lang AND b.phrase = x.tail JOIN totals t ON t.lang = x.lang
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", _OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.top_collocations(table(spark, folder, "documents"))
+
+
+@query("op12_quartile_fingerprints")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, folder, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))

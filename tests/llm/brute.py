@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
@@ -111,3 +112,84 @@ def cheapest_repair(roles):
                 new[state] = min(new.get(state, 99999), cost + 1 + 2 * (state != role))
         costs = new
     return inserted(dict(costs))["assistant"] if roles else 0
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def phrase_counts(rows, order):
+    """Occurrences of all phrases per language, and of all words, from (text, lang) rows."""
+    counts, totals = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(w)
+            counts.update((lang, tuple(w[i : i + k])) for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    return counts, totals
+
+
+def collocations(rows, order, least, top, share=100):
+    counts, totals = phrase_counts(rows, order)
+    found = {p: n for p, n in counts.items() if n >= least and len(p[1]) > 1}
+
+    def inside(a, b):
+        return len(a) < len(b) and any(b[i : i + len(a)] == a for i in range(len(b) - len(a) + 1))
+
+    ranked = defaultdict(list)
+    for (lang, p), a in found.items():
+        if any(x == lang and inside(p, q) and 100 * n >= share * a for (x, q), n in found.items()):
+            continue
+        cuts = []
+        for k in range(1, len(p)):
+            left, right = counts[lang, p[:k]], counts[lang, p[k:]]
+            cuts.append((1000 * a * totals[lang] // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        ranked[lang].append((-score, -a, " ".join(p), left, right))
+    return [
+        (lang, rank, p, -a, left, right, totals[lang], -score)
+        for lang, all_of in ranked.items()
+        for rank, (score, a, p, left, right) in enumerate(sorted(all_of)[:top], 1)
+    ]
+
+
+def quartile_digest(text, buckets):
+    data = (text or "").encode()
+    counts = [0] * buckets
+    for k in range(len(data) - 2):
+        triplet = int.from_bytes(data[k : k + 3], "big") + 1
+        counts[(triplet * 2654435769 & 0xFFFFFFFF) * buckets >> 32] += 1
+    ordered = sorted(counts)
+    return [sum(c > ordered[q * buckets // 4 - 1] for q in (1, 2, 3)) for c in counts]
+
+
+def misspelt(doc_id, run, deleted):
+    h = zlib.crc32(f"{doc_id}:{run}".encode())
+    return run if h % deleted else run[: h % len(run)] + run[h % len(run) + 1 :]
+
+
+def spelling(rows, min_length=6, min_count=5, ratio=5, deleted=199):
+    """(word, form, root, n, n_near, form_n) from (doc_id, text) rows."""
+    seen = Counter(
+        misspelt("" if d is None else d, r, deleted) for d, t in rows for r in re.findall("[A-Za-zÀ-ÿ]+", (t or "").translate(LOWER))
+    )
+    n = {w: k for w, k in seen.items() if k >= min_count and len(w) >= min_length}
+    near = {w: neighbours(w, n) for w in n}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= ratio * n[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return sorted(((w, form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n), key=lambda r: r[0])
+
+
+def neighbours(word, words):
+    """The other words one insertion, deletion or replacement of a code point away."""
+    letters = {c for w in words for c in w}
+    cut = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    changed = {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in letters}
+    longer = {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
+    return ((cut | changed | longer) - {word}) & words.keys()
