@@ -15,9 +15,11 @@ from ..functions import clock_to_minutes, contains_token
 from ..operators import (
     dedup,
     edges,
-    grouping_sets_agg,
+    grouping_sets_totals,
     longest_streak,
+    member_pairs,
     member_totals,
+    memberships,
     normalise_fact,
     rolling_max_count,
     top_k_per_group,
@@ -133,6 +135,29 @@ def graph_edges(details: DataFrame) -> DataFrame:
     )
 
 
+def player_edges(details: DataFrame, same_team: bool) -> DataFrame:
+    """Pairs of players in the same games, as team mates (shares_team) or opponents (plays_against).
+
+    The player with the smaller id is the subject.
+    """
+    pairs = member_pairs(details, "game_id", "player_id", "team_id", "pts")
+    return edges(
+        pairs.where(F.col("same_group") == same_team),
+        ("a", "player"),
+        ("b", "player"),
+        "shares_team" if same_team else "plays_against",
+        {"num_games": "n_events", "subject_points": "a_amount", "object_points": "b_amount"},
+    )
+
+
+def team_edges(details: DataFrame) -> DataFrame:
+    """Players and the teams they played for (plays_on)."""
+    found = memberships(details, "game_id", "player_id", "team_id", "pts")
+    return edges(
+        found, ("member", "player"), ("group", "team"), "plays_on", {"num_games": "n_events", "points": "total"}
+    )
+
+
 def results(details: DataFrame, games: DataFrame) -> DataFrame:
     """Details with the season, date and result of their game."""
     return (
@@ -147,14 +172,12 @@ def results(details: DataFrame, games: DataFrame) -> DataFrame:
 
 def dashboard(details: DataFrame, games: DataFrame) -> DataFrame:
     """Points and wins by team and player, season and player, and team."""
-    return grouping_sets_agg(
+    return grouping_sets_totals(
         results(details, games),
         ["season", "team_id", "player_id"],
         [["team_id", "player_id"], ["season", "player_id"], ["team_id"]],
-        {
-            "points": F.sum("points"),
-            "win_counts": F.count_distinct(F.when(F.col("win"), F.col("game_id"))),
-        },
+        {"points": "points"},
+        {"win_counts": ("game_id", "win")},
     ).orderBy("grp_id", F.col("points").desc_nulls_first(), F.col("win_counts").desc_nulls_first())
 
 

@@ -1,5 +1,6 @@
 from .analytics import (
     grouping_sets_agg,
+    grouping_sets_totals,
     longest_streak,
     rolling_max_count,
     top_n,
@@ -7,7 +8,7 @@ from .analytics import (
     win_flag,
 )
 from .bitmap import ACTIVITY_MASKS, activity_flags, datelist_int, datelist_words
-from .checks import assert_domain, assert_unique, duplicate_keys, values_outside
+from .checks import assert_domain, assert_unique, counted, duplicate_keys, null_keys, outside_domain, values_outside
 from .cumulate import (
     active_days,
     build_dates,
@@ -23,20 +24,22 @@ from .cumulate import (
     unnest_history,
 )
 from .dedup import dedup, normalise_fact, top_k_per_group
-from .graph import edges, member_totals, union_all, vertices
+from .graph import edges, member_pairs, member_totals, memberships, union_all, vertices
 from .growth import growth_states
 from .layout import (
     bucket_join,
     check_layouts,
+    clean_counted,
     clean_typed,
     compare_layouts,
     enrich_broadcast,
     enrich_left,
     unpaired_weights,
 )
-from .monthly import array_length_histogram, build_monthly, reduce_monthly, unpack_monthly
-from .scd import scd2_build, scd2_merge
+from .monthly import array_length_histogram, build_monthly, build_months, reduce_monthly, unpack_monthly
+from .scd import scd2_build, scd2_merge, scd2_step
 from .sessions import session_stats, session_stats_by_host, sessionize
+from .skew import heavy_keys, spread_join
 
 __all__ = [
     "ACTIVITY_MASKS",
@@ -51,9 +54,12 @@ __all__ = [
     "build_grouped",
     "build_history",
     "build_monthly",
+    "build_months",
     "carry_forward",
+    "clean_counted",
     "clean_typed",
     "compare_layouts",
+    "counted",
     "cumulate_dates",
     "cumulate_grouped",
     "cumulate_history",
@@ -66,19 +72,27 @@ __all__ = [
     "enrich_broadcast",
     "enrich_left",
     "grouping_sets_agg",
+    "grouping_sets_totals",
     "growth_states",
+    "heavy_keys",
     "history_ratio",
     "longest_streak",
+    "member_pairs",
     "member_totals",
+    "memberships",
     "normalise_fact",
+    "null_keys",
+    "outside_domain",
     "pack_items",
     "reduce_monthly",
     "rolling_max_count",
     "scd2_build",
     "scd2_merge",
+    "scd2_step",
     "session_stats",
     "session_stats_by_host",
     "sessionize",
+    "spread_join",
     "top_k_per_group",
     "top_n",
     "unnest_history",

@@ -31,6 +31,41 @@ def grouping_sets_agg(
     )
 
 
+def grouping_sets_totals(
+    df: DataFrame,
+    cols: Sequence[str],
+    sets: Sequence[Sequence[str]],
+    sums: dict[str, str],
+    distinct: dict[str, tuple[str, str]],
+    group_id: str = "grp_id",
+) -> DataFrame:
+    """Sums and exact conditional distinct counts over several groupings.
+
+    ``sums`` maps a result to the column it adds up; ``distinct`` maps a result to (item, flag): the
+    number of different non-NULL items of rows whose flag is true. All pairs of ``distinct`` have the
+    same item column.
+
+    Rows are first reduced to one for each (cols, item), which combines before the shuffle. Only these
+    are repeated for the sets, and reduced once more to one row for each item of a group, so that
+    counting items is a sum. No step gathers a group in one task.
+    """
+    cols = list(cols)
+    items = {item for item, _ in distinct.values()}
+    if len(items) != 1:
+        raise ValueError(f"distinct counts of one item column, not of {sorted(items)}")
+    item = items.pop()
+    totals = [F.sum(c).alias(name) for name, c in sums.items()]
+    again = [F.sum(name).alias(name) for name in sums]
+    either = [F.max(F.coalesce(F.col(flag), F.lit(False))).alias(name) for name, (_, flag) in distinct.items()]
+    finest = df.groupBy(*cols, F.col(item).alias("__item")).agg(*totals, *either)
+    each = finest.groupingSets([[*s, "__item"] for s in sets], *cols, "__item").agg(
+        *again, *[F.max(name).alias(name) for name in distinct],
+        F.shiftright(F.grouping_id(*cols, "__item"), 1).alias(group_id),  # the item is in every set
+    )
+    counted = [F.count_if(F.col(name) & F.col("__item").isNotNull()).alias(name) for name in distinct]
+    return each.groupBy(*cols, group_id).agg(*again, *counted).select(*cols, *sums, *distinct, group_id)
+
+
 def top_n(
     df: DataFrame, keys: Sequence[str], aggs: dict[str, Column], by: str, n: int = 1
 ) -> DataFrame:
@@ -57,26 +92,60 @@ def unpivot_sides(
     return games.select(*keep, F.inline(sides))
 
 
+#: Rows of a key that one window looks at, beside the rows before them that their counts need.
+ROLLING_BLOCK = 100_000
+
+
 def rolling_max_count(
-    df: DataFrame, key: str, order: str, flag: str, n: int, name: str = "best"
+    df: DataFrame,
+    key: str,
+    order: str,
+    flag: str,
+    n: int,
+    name: str = "best",
+    segment: Column | None = None,
+    block: int = ROLLING_BLOCK,
 ) -> DataFrame:
     """Per key the most flagged rows within any ``n`` rows in a row.
 
-    Rows count once per (key, order, flag). With a DATE as ``order`` a key has at most two rows
-    per day after that step, which combines before the shuffle, so no window grows with the
-    number of facts. The count of a window is the difference of two running totals: a sliding
-    frame would add up all ``n`` rows again for each row.
+    Rows count once per (key, order, flag). The count of a window is the difference of two running
+    totals ``n`` rows apart: a sliding frame would add up all ``n`` rows again for each row.
+
+    No window holds all rows of a key. They are numbered and totalled in segments, which must follow
+    ``order`` (by default its day); a segment's numbers go on from the sums of those before it. By its
+    number a row then falls into a block of ``block`` rows, and the last ``n`` rows of a block are
+    repeated ahead of the next one, where its first rows look back to them.
     """
-    window = Window.partitionBy(key).orderBy(order, flag)
-    total = F.sum(F.coalesce(F.col(flag), F.lit(False)).cast("long")).over(
-        window.rowsBetween(Window.unboundedPreceding, 0)
+    part = F.to_date(order) if segment is None else segment
+    rows = df.select(F.col(key).alias("__key"), F.col(order).alias("__order"), F.col(flag).alias("__flag"),
+                     part.alias("__seg")).distinct()
+    inside = Window.partitionBy("__key", "__seg").orderBy("__order", "__flag").rowsBetween(Window.unboundedPreceding, 0)
+    hit = F.coalesce(F.col("__flag"), F.lit(False)).cast("long")
+    placed = rows.select(
+        "__key", "__seg", F.row_number().over(inside).cast("long").alias("__at"), F.sum(hit).over(inside).alias("__total")
+    )
+    before = Window.partitionBy("__key").orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    start = (
+        placed.groupBy("__key", "__seg").agg(F.max("__at").alias("n"), F.max("__total").alias("t"))
+        .select(
+            F.col("__key").alias("k"), F.col("__seg").alias("s"),
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t"),
+        )
+    )
+    size = max(block, n)
+    same = F.col("__key").eqNullSafe(F.col("k")) & F.col("__seg").eqNullSafe(F.col("s"))
+    numbered = placed.join(start, same).select(
+        "__key", (F.col("__at") + F.col("n") - 1).alias("__at"), (F.col("__total") + F.col("t")).alias("__total")
     )
+    own = F.floor(F.col("__at") / size)
+    late = F.col("__at") % size >= size - n
+    blocks = numbered.withColumn("__block", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))))
+    window = Window.partitionBy("__key", "__block").orderBy("__at")
+    counted = blocks.withColumn("__n", F.col("__total") - F.lag("__total", n, 0).over(window))
+    # a row repeated for the next block is counted in its own
     return (
-        df.select(key, order, flag)
-        .distinct()
-        .withColumn("__total", total)
-        .withColumn("__n", F.col("__total") - F.lag("__total", n, 0).over(window))
-        .groupBy(key)
+        counted.where(F.floor(F.col("__at") / size) == F.col("__block"))
+        .groupBy(F.col("__key").alias(key))
         .agg(F.max("__n").alias(name))
     )
 

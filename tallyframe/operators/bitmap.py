@@ -60,17 +60,17 @@ def datelist_words(
     """
     n = (snapshot - start).days // width + 1
     inside = F.filter(dates, lambda d: d.between(F.lit(start), F.lit(snapshot)))
+    # how many days ago, so that the plan is the same for any number of words
+    ago = F.transform(inside, lambda d: F.datediff(F.lit(snapshot), d))
 
-    def word(k: int) -> Column:
-        last = snapshot - dt.timedelta(days=k * width)
-        first = last - dt.timedelta(days=width - 1)
+    def word(k: Column) -> Column:
         return F.aggregate(
-            F.filter(inside, lambda d: d.between(F.lit(first), F.lit(last))),
+            F.filter(ago, lambda x: F.floor(x / width) == k),
             F.lit(0).cast("long"),
-            lambda acc, d: acc.bitwiseOR(day_bit(d, last, width - 1)),
+            lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(width - 1) - (x % width).cast("int"))),
         )
 
-    return df.withColumn(name, F.array(*[word(k) for k in range(n)]))
+    return df.withColumn(name, F.transform(F.sequence(F.lit(0), F.lit(n - 1)), word))
 
 
 def activity_flags(

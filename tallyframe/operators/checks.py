@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -36,3 +36,24 @@ def assert_domain(df: DataFrame, column: str, values: Sequence[str]) -> DataFram
     if bad:
         raise ValueError(f"{column} outside {list(values)}: {[r.asDict() for r in bad]}")
     return df
+
+
+def counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """``df`` itself and how many of its rows meet each condition, counted while it is written.
+
+    ``Observation.get`` has the counts, and ``rows``, once an action on the returned frame is done: no
+    second pass over the rows, and no job of its own.
+    """
+    observation = Observation()
+    counts = [F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in conditions.items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts), observation
+
+
+def null_keys(keys: Sequence[str]) -> dict[str, Column]:
+    """Conditions for :func:`counted`: rows whose key is NULL, by column."""
+    return {f"null_{k}": F.col(k).isNull() for k in keys}
+
+
+def outside_domain(column: str, values: Sequence[str]) -> dict[str, Column]:
+    """A condition for :func:`counted`: rows whose value is not in the domain. NULL is allowed."""
+    return {f"outside_{column}": ~F.col(column).isin(*values)}

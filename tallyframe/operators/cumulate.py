@@ -17,6 +17,8 @@ from ..functions import append_item, divisor_or_one, has_all
 from ..sources.tables import materialise
 
 _PRESENT = "__present"
+#: Days in one integer of :func:`build_dates`.
+WORD_DAYS = 63
 
 
 def cumulate_history(
@@ -340,37 +342,30 @@ def build_dates(
 ) -> DataFrame:
     """The list of active days after ``through`` in one pass, equal to day-by-day steps.
 
-    Days are gathered as bits of a few integers: plain hash aggregation that combines on the
-    map side, so each map task sends one row per entity however many events it has. The bits
-    become a sorted array at the end.
+    Days are gathered as bits of integers, one for each key and run of 63 days: plain hash aggregation
+    that combines on the map side, so each map task sends one row per entity and run however many
+    events it has. The plan is the same for any number of days, and what meets per entity is one
+    integer for each run of days in which it was active. They become a sorted array at the end.
     """
     keys = list(keys)
-    n_days = (through - start).days + 1
-    words = range((n_days + 62) // 63)
     offset = F.datediff(F.to_date(ts), F.lit(start))
-    one = F.lit(1).cast("long")
-
-    def word(i: int) -> Column:
-        bit = F.call_function("shiftleft", one, F.col("__offset") - 63 * i)
-        return F.bit_or(F.when(F.floor(F.col("__offset") / 63) == i, bit)).alias(f"__w{i}")
-
-    rows = (
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__offset") % WORD_DAYS)
+    words = (
         days_between(events, ts, start, through)
         .where(has_all(keys))
         .select(*keys, offset.alias("__offset"))
+        .groupBy(*keys, F.floor(F.col("__offset") / WORD_DAYS).cast("int").alias("__word"))
+        .agg(F.bit_or(bit).alias("__bits"))
         .groupBy(*keys)
-        .agg(*[word(i) for i in words])
+        .agg(F.sort_array(F.collect_list(F.struct("__word", "__bits"))).alias("__words"))
     )
 
-    def days(i: int) -> Column:
-        width = min(63, n_days - 63 * i)
-        word_col = F.coalesce(F.col(f"__w{i}"), F.lit(0).cast("long"))
+    def days(w: Column) -> Column:
         hit = F.filter(
-            F.sequence(F.lit(0), F.lit(width - 1)),
-            lambda b: F.call_function("getbit", word_col, b) == 1,
+            F.sequence(F.lit(0), F.lit(WORD_DAYS - 1)), lambda b: F.call_function("getbit", w["__bits"], b) == 1
         )
-        return F.transform(hit, lambda b: F.date_add(F.lit(start), b + 63 * i))
+        return F.transform(hit, lambda b: F.date_add(F.lit(start), w["__word"] * WORD_DAYS + b))
 
-    return rows.select(
-        *keys, F.concat(*[days(i) for i in words]).alias(dates), F.lit(through).alias(snapshot)
+    return words.select(
+        *keys, F.flatten(F.transform("__words", days)).alias(dates), F.lit(through).alias(snapshot)
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .checks import duplicate_keys
+
 
 def top_k_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1
@@ -42,15 +44,21 @@ def normalise_fact(
     on: Sequence[str],
     key: Sequence[str],
     columns: dict[str, Column],
+    dim_unique: bool | None = None,
 ) -> DataFrame:
     """Typed ``dim_*`` / ``m_*`` columns of a fact with its dimension, one row per key.
 
     ``on`` has to be part of ``key``. Then the join cannot change which row of a key survives, and
-    duplicates of both sides are removed before the join instead of after it.
+    duplicates of both sides are removed before the join instead of after it. A dimension without
+    duplicates is joined as it is: ``dim_unique`` says so, and by default its keys are counted,
+    which reads the key columns alone, where removing duplicates would sort all columns.
     """
     missing = [c for c in on if c not in key]
     if missing:
         raise ValueError(f"join columns {missing} are not part of the fact key")
-    return dedup(fact, key).join(dedup(dim, list(on)), list(on), "inner").select(
+    if dim_unique is None:
+        dim_unique = duplicate_keys(dim.select(*on), on).isEmpty()
+    once = dim if dim_unique else dedup(dim, list(on))
+    return dedup(fact, key).join(once, list(on), "inner").select(
         *[c.alias(name) for name, c in columns.items()]
     )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import data_files, materialise
+from .checks import counted
 
 # The spellings of booleans in the text files.
 TRUE_TEXT = ("true", "TRUE", "1")
@@ -19,21 +20,31 @@ def text_to_bool(c: Column | str) -> Column:
     return F.when(c.isin(*TRUE_TEXT), True).when(c.isin(*FALSE_TEXT), False)
 
 
+def _typed(name: str, kind: str) -> Column:
+    if kind == "boolean":
+        return text_to_bool(name)
+    if kind.startswith("timestamp:"):
+        return F.try_to_timestamp(name, F.lit(kind.partition(":")[2]))
+    return F.col(name).try_cast(kind)
+
+
 def clean_typed(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     """Types the text columns named in ``spec`` and drops the others.
 
     A type is ``"boolean"``, ``"timestamp:<pattern>"`` or any type to cast to. Text that does
-    not fit becomes NULL instead of failing the job.
+    not fit becomes NULL instead of failing the job; :func:`clean_counted` also counts it.
     """
+    return df.select(*[_typed(name, kind).alias(name) for name, kind in spec.items()])
 
-    def typed(name: str, kind: str) -> Column:
-        if kind == "boolean":
-            return text_to_bool(name)
-        if kind.startswith("timestamp:"):
-            return F.try_to_timestamp(name, F.lit(kind.partition(":")[2]))
-        return F.col(name).try_cast(kind)
 
-    return df.select(*[typed(name, kind).alias(name) for name, kind in spec.items()])
+def clean_counted(df: DataFrame, spec: dict[str, str]) -> tuple[DataFrame, Observation]:
+    """:func:`clean_typed`, and for each column the number of texts that do not fit its type.
+
+    The counts (``bad_<column>``, and ``rows``) are taken while the result is written.
+    """
+    bad = {f"bad_{name}": F.col(name).isNotNull() & _typed(name, kind).isNull() for name, kind in spec.items()}
+    seen, observation = counted(df, **bad)
+    return clean_typed(seen, spec), observation
 
 
 def enrich_broadcast(

@@ -52,39 +52,53 @@ def reduce_monthly(
     )
 
 
-def build_monthly(
-    daily: DataFrame,
+def build_months(
+    rows: DataFrame,
     key: Sequence[str],
     day: str,
     through: dt.date,
-    metrics: dict[str, str],
+    metrics: dict[str, str | Column],
     month: str = "month",
 ) -> DataFrame:
-    """The arrays of a month up to ``through`` in one pass, equal to day-by-day steps.
+    """The arrays of all months up to ``through`` in one pass, equal to day-by-day steps.
 
-    ``daily`` has one row per entity and day, so a group holds at most 31 rows.
+    ``metrics`` maps an array to the column whose values it adds up by day, so ``rows`` may be daily
+    rows or, where a value adds up, the facts themselves. A month is one group with a sum for each
+    day: the plan has one grouping whatever the number of months, and a group sends one row of sums
+    per map task however many facts it has. Days without rows are 0; the month of ``through`` ends on
+    that day. Rows after it, or with a NULL day or key, are left out.
     """
     key = list(key)
-    first = through.replace(day=1)
-    rows = daily.where(F.col(day).between(F.lit(first), F.lit(through))).where(has_all(key))
-    packed = rows.groupBy(*key).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.dayofmonth(day), F.struct(*metrics.values())))
-        ).alias("__days")
-    )
-    positions = F.sequence(F.lit(1), F.lit(through.day))
-
-    def array(source: str) -> Column:
-        return F.transform(
-            positions,
-            lambda i: F.coalesce(
-                F.try_element_at(F.col("__days"), i)[source].cast("long"), F.lit(0).cast("long")
-            ),
-        )
+    at = F.col(day)
+    known = rows.where(at <= F.lit(through)).where(has_all(key))
+    named = known.select(
+        *key, F.trunc(at, "MM").alias(month), F.dayofmonth(at).alias("__day"),
+        *[(F.col(c) if isinstance(c, str) else c).cast("long").alias(f"__{a}") for a, c in metrics.items()],
+    )
+    slots = [
+        F.sum(F.when(F.col("__day") == i, F.col(f"__{a}"))).alias(f"__{a}_{i}") for a in metrics for i in range(1, 32)
+    ]
+    packed = named.groupBy(*key, month).agg(*slots)
+    last = F.dayofmonth(F.least(F.last_day(month), F.lit(through)))
 
-    return packed.select(
-        *key, F.lit(first).alias(month), *[array(c).alias(a) for a, c in metrics.items()]
-    )
+    def array(a: str) -> Column:
+        values = [F.coalesce(F.col(f"__{a}_{i}"), F.lit(0).cast("long")) for i in range(1, 32)]
+        return F.slice(F.array(*values), F.lit(1), last).alias(a)
+
+    return packed.select(*key, month, *[array(a) for a in metrics])
+
+
+def build_monthly(
+    daily: DataFrame,
+    key: Sequence[str],
+    day: str,
+    through: dt.date,
+    metrics: dict[str, str | Column],
+    month: str = "month",
+) -> DataFrame:
+    """:func:`build_months` of the month of ``through`` alone."""
+    rows = daily.where(F.col(day) >= F.lit(through.replace(day=1)))
+    return build_months(rows, key, day, through, metrics, month)
 
 
 def array_length_histogram(df: DataFrame, array: str) -> DataFrame:

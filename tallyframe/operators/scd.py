@@ -120,3 +120,36 @@ def scd2_merge(
         .withColumn("snapshot_date", today)
         .select(*key, *columns, *DATES, "snapshot_date")
     )
+
+
+def scd2_step(
+    open_: DataFrame,
+    current: DataFrame,
+    key: Sequence[str],
+    attrs: Sequence[str],
+    tracked: Sequence[str],
+    period: dt.date,
+) -> DataFrame:
+    """The open intervals after ``period`` and those that it closes, from the open ones alone.
+
+    The rows of :func:`scd2_merge` but for the history that was closed before, which a step neither
+    reads nor writes. A row is open if its end_date is ``period``.
+    """
+    key, attrs, tracked = list(key), list(attrs), list(tracked)
+    columns = [*attrs, *tracked]
+    before = open_.select(*key, F.struct(*columns, *DATES).alias("old"))
+    both = before.join(current.select(*key, F.struct(*columns).alias("new")), key, "full_outer")
+    old, new, today = F.col("old"), F.col("new"), F.lit(period)
+
+    def record(values: Column, start: Column, end: Column) -> Column:
+        return F.struct(*[values[c].alias(c) for c in columns], start.alias("start_date"), end.alias("end_date"))
+
+    opened, extended = record(new, today, today), record(new, old["start_date"], today)
+    kept = record(old, old["start_date"], old["end_date"])
+    records = (
+        F.when(old.isNull(), F.array(opened))
+        .when(new.isNull(), F.array(kept))
+        .when(same([old[c] for c in tracked], [new[c] for c in tracked]), F.array(extended))
+        .otherwise(F.array(kept, opened))
+    )
+    return both.select(*key, F.inline(records))

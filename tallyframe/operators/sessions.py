@@ -16,21 +16,29 @@ def sessionize(
     keys: Sequence[str],
     gap: str = "5 minutes",
     watermark: str = "15 seconds",
+    once: Sequence[str] = (),
 ) -> DataFrame:
     """Rows (session_start, session_end, keys, event_count).
 
     A session ends ``gap`` after its last event; an event exactly that late still belongs to it.
     Events without a time are left out.
+
+    ``once`` names the columns that tell events apart, for a source that delivers at least once:
+    repeated events count once. A stream keeps an event's columns until the watermark has passed it,
+    so a repetition counts again only if it is later than that.
     """
     keys = list(keys)
+    if once:
+        events = events.where(F.col(ts).isNotNull())
     if events.isStreaming:
+        marked = events.withWatermark(ts, watermark)
         windowed = (
-            events.withWatermark(ts, watermark)
+            (marked.dropDuplicatesWithinWatermark(list(once)) if once else marked)
             .groupBy(F.session_window(ts, gap).alias("w"), *keys)
             .agg(F.count(F.lit(1)).alias("event_count"))
         )
     else:
-        windowed = _batch_sessions(events, ts, keys, gap)
+        windowed = _batch_sessions(events.dropDuplicates(list(once)) if once else events, ts, keys, gap)
     return windowed.select(
         F.col("w.start").alias("session_start"),
         F.col("w.end").alias("session_end"),

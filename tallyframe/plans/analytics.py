@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
-    grouping_sets_agg,
+    grouping_sets_totals,
     growth_states,
     longest_streak,
     rolling_max_count,
+    spread_join,
     top_k_per_group,
     top_n,
     unpivot_sides,
@@ -108,14 +109,12 @@ FROM results
 GROUP BY GROUPING SETS ((l_suppkey, l_partkey), (season, l_partkey), (l_suppkey))""",
 )
 def season_dashboard(spark: SparkSession, folder: str) -> DataFrame:
-    out = grouping_sets_agg(
+    out = grouping_sets_totals(
         line_results(spark, folder),
         ["season", "l_suppkey", "l_partkey"],
         [["l_suppkey", "l_partkey"], ["season", "l_partkey"], ["l_suppkey"]],
-        {
-            "points": F.sum("quantity"),
-            "win_counts": F.count_distinct(F.when(F.col("win"), F.col("l_orderkey"))),
-        },
+        {"points": "quantity"},
+        {"win_counts": ("l_orderkey", "win")},
     )
     return out.withColumn("grp_id", F.col("grp_id").cast("long")).orderBy(
         "grp_id", F.col("points").desc_nulls_first(), F.col("win_counts").desc_nulls_first()
@@ -203,7 +202,7 @@ SELECT l_suppkey, max(n) AS most_wins_in_90 FROM w GROUP BY 1""",
 )
 def rolling_wins(spark: SparkSession, folder: str) -> DataFrame:
     best = rolling_max_count(
-        line_results(spark, folder), "l_suppkey", "day", "win", 90, "most_wins_in_90"
+        line_results(spark, folder), "l_suppkey", "day", "win", 90, "most_wins_in_90", segment=F.trunc("day", "year")
     )
     return best.orderBy(F.col("most_wins_in_90").desc_nulls_first(), "l_suppkey")
 
@@ -246,3 +245,19 @@ def customer_longest_streak(spark: SparkSession, folder: str) -> DataFrame:
 def customer_longest_streak_as_written(spark: SparkSession, folder: str) -> DataFrame:
     """Later streaks also count the order that broke the one before."""
     return streaks(spark, folder, count_break=True)
+
+
+@query(
+    "hot_key_join",
+    """SELECT n_name, l_returnflag, count(*) AS n_lines, CAST(sum(l_quantity) AS BIGINT) AS quantity
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL""",
+)
+def hot_key_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with their supplier's nation; suppliers with many lines are found and dealt over tasks."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_returnflag")
+    nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    joined = spread_join(lines, suppliers.join(nations, "s_nationkey"), ["l_suppkey"])
+    return joined.groupBy("n_name", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("long")).alias("quantity")
+    )

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +13,7 @@ from ..operators import (
     activity_flags,
     array_length_histogram,
     build_dates,
-    build_monthly,
+    build_months,
     cumulate_dates,
     datelist_int,
     datelist_words,
@@ -37,17 +35,23 @@ from .registry import joined, query, table, text
 STATE_BUCKETS = 16
 
 
+def first_and_last(events: DataFrame) -> tuple[dt.date | None, dt.date | None]:
+    """The days of the first and the last event. The raw column is compared, and converted once."""
+    ends = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    return tuple(ends.select(F.to_date("first"), F.to_date("last")).first())
+
+
 def days_of(events: DataFrame) -> tuple[dt.date, dt.date, dt.date]:
     """The first day of the table, the last but one and the last."""
-    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    first, last = first_and_last(events)
     last = last or dt.date(1970, 1, 2)  # no event at all
     before = last - dt.timedelta(days=1)
     return min(first or before, before), before, last
 
 
-def dates_state(events: DataFrame, keys: list[str]) -> DataFrame:
+def dates_state(events: DataFrame, keys: list[str], days: tuple[dt.date, dt.date, dt.date] | None = None) -> DataFrame:
     """The state of the day before in bulk, then one step."""
-    first, before, last = days_of(events)
+    first, before, last = days or days_of(events)
     prev = build_dates(events, keys, "ts", first, before, "dates_active", "date")
     return cumulate_dates(prev, active_days(events, keys, "ts", last), keys,
                           "dates_active", "date")
@@ -125,7 +129,8 @@ def user_segment_dates(spark: SparkSession, folder: str) -> DataFrame:
 def bitmap_state(spark: SparkSession, folder: str, anchor_bit: int) -> DataFrame:
     """Every user with the bits of the last day's month; a user without a day in it gets 0."""
     events = table(spark, folder, "events")
-    state, last = dates_state(events, ["user_id"]), days_of(events)[2]
+    days = days_of(events)
+    state, last = dates_state(events, ["user_id"], days), days[2]
     return datelist_int(state, "dates_active", last, last.replace(day=1), last, anchor_bit)
 
 
@@ -173,7 +178,7 @@ SELECT user_id, string_agg(CAST(word AS VARCHAR), ';' ORDER BY k) AS datelist_wo
 def user_datelist_words(spark: SparkSession, folder: str) -> DataFrame:
     """All days of the table in words of eight days: more words than one for a month already."""
     events = table(spark, folder, "events")
-    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    first, last = first_and_last(events)
     state = build_dates(events, ["user_id"], "ts", first, last, "dates_active", "date")
     words = datelist_words(state, "dates_active", last, first, width=8)
     return words.select("user_id", joined("datelist_words").alias("datelist_words"))
@@ -231,7 +236,8 @@ def snapshot_state(spark: SparkSession, folder: str) -> DataFrame:
         cumulate_dates(yesterday, today, keys, "dates_active", "date"),
         name, ("date", last), keys, n_buckets, path,
     )
-    return shown(spark.table(name).where(F.col("date") == F.lit(last)), keys)
+    spark.sql(f"DROP TABLE {name}")  # the entry; its files stay
+    return shown(read_snapshot(spark, path, "date", last), keys)
 
 
 def type_days(events: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
@@ -262,38 +268,17 @@ USER_KEY = ["user_id", "metric_name"]
 USER_METRIC = {"metric_array": "hits"}
 
 
-def months_through(
-    rows: Callable[[dt.date, dt.date], DataFrame],
-    first: dt.date, through: dt.date, key: list[str], metrics: dict[str, str], month: str,
-) -> DataFrame:
-    """The arrays of every month from that of ``first`` up to ``through``, a pass over its days each.
-
-    ``rows`` gives the daily rows between two days.
-    """
-    months, start = [], first.replace(day=1)
-    while start <= through:
-        following = (start + dt.timedelta(days=31)).replace(day=1)
-        end = min(following - dt.timedelta(days=1), through)
-        months.append(build_monthly(rows(start, end), key, "day", end, metrics, month))
-        start = following
-    return reduce(DataFrame.unionByName, months)
-
-
-def month_states(
-    events: DataFrame,
-    daily: Callable[[DataFrame, dt.date, dt.date], DataFrame],
-    key: list[str], metrics: dict[str, str], month: str,
-) -> DataFrame:
-    """All months: up to the last day but one in bulk, then one step."""
-    first, before, last = days_of(events)
-    prev = months_through(lambda a, b: daily(events, a, b), first, before, key, metrics, month)
-    step = reduce_monthly(prev, daily(events, last, last), key, last, metrics, month)
-    return prev.where(F.col(month) != F.lit(last.replace(day=1))).unionByName(step)
+def user_hits(events: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """The events of users as facts that add up to their hits."""
+    rows = days_between(events, "ts", first, last).where("user_id IS NOT NULL")
+    return rows.select("user_id", F.lit("site_hits").alias("metric_name"), F.to_date("ts").alias("day"), F.lit(1).alias("hits"))
 
 
 def user_month(spark: SparkSession, folder: str) -> DataFrame:
+    """All months in one pass."""
     events = table(spark, folder, "events")
-    return month_states(events, user_days, USER_KEY, USER_METRIC, "month_start")
+    first, _, last = days_of(events)
+    return build_months(user_hits(events, first, last), USER_KEY, "day", last, USER_METRIC, "month_start")
 
 
 def type_month_shown(state: DataFrame) -> DataFrame:
@@ -324,8 +309,10 @@ GROUP BY grid.event_type, m
 
 @query("monthly_reduced", _TYPE_MONTH_SQL)
 def monthly_reduced(spark: SparkSession, folder: str) -> DataFrame:
+    """All months in one pass. Distinct users do not add up, so they are counted by day first."""
     events = table(spark, folder, "events")
-    return type_month_shown(month_states(events, type_days, ["event_type"], TYPE_METRICS, "month"))
+    first, _, last = days_of(events)
+    return type_month_shown(build_months(type_days(events, first, last), ["event_type"], "day", last, TYPE_METRICS))
 
 
 @query("monthly_upsert", _TYPE_MONTH_SQL)
@@ -335,7 +322,7 @@ def monthly_upsert(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "type_month")
     first, before, last = days_of(events)
     key = ["event_type"]
-    prev = months_through(lambda a, b: type_days(events, a, b), first, before, key, TYPE_METRICS, "month")
+    prev = build_months(type_days(events, first, before), key, "day", before, TYPE_METRICS)
     append_snapshot(prev, path, "month")
     stored = spark.read.parquet(path)
     step = reduce_monthly(stored, type_days(events, last, last), key, last, TYPE_METRICS)
@@ -364,7 +351,13 @@ filled AS (SELECT grid.user_id, grid.m, grid.d, coalesce(hits, 0) AS hits
          FROM filled GROUP BY user_id, m""",
 )
 def monthly_metric(spark: SparkSession, folder: str) -> DataFrame:
-    return user_month(spark, folder).select(
+    """Up to the last day but one in bulk, then one step, which replaces the last month."""
+    events = table(spark, folder, "events")
+    first, before, last = days_of(events)
+    prev = build_months(user_hits(events, first, before), USER_KEY, "day", before, USER_METRIC, "month_start")
+    step = reduce_monthly(prev, user_days(events, last, last), USER_KEY, last, USER_METRIC, "month_start")
+    months = prev.where(F.col("month_start") != F.lit(last.replace(day=1))).unionByName(step)
+    return months.select(
         *USER_KEY,
         text("month_start").alias("month_start"),
         joined("metric_array").alias("metric_array"),

@@ -10,7 +10,9 @@ from ..operators import (
     dedup,
     duplicate_keys,
     edges,
+    member_pairs,
     member_totals,
+    memberships,
     normalise_fact,
     union_all,
     values_outside,
@@ -215,3 +217,55 @@ def graph_edges(spark: SparkSession, folder: str) -> DataFrame:
         "part_of",
         {"quantity": "quantity", "supplier": "l_suppkey", "flag": "l_returnflag"},
     )
+
+
+_ONCE_SQL = """
+WITH once AS (SELECT * FROM (
+  SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS quantity,
+         row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_suppkey, CAST(l_quantity AS BIGINT)) AS rn
+  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL) WHERE rn = 1)
+"""
+_PAIRS_SQL = _ONCE_SQL + """
+SELECT CAST(a.l_partkey AS VARCHAR) AS subject_identifier, 'part' AS subject_type,
+       CAST(b.l_partkey AS VARCHAR) AS object_identifier, 'part' AS object_type, '{name}' AS edge_type,
+       CAST(json_object('num_orders', count(*), 'subject_quantity', CAST(sum(a.quantity) AS BIGINT),
+                        'object_quantity', CAST(sum(b.quantity) AS BIGINT)) AS VARCHAR) AS properties
+FROM once a JOIN once b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey AND a.l_suppkey {compare} b.l_suppkey
+GROUP BY a.l_partkey, b.l_partkey
+"""
+
+
+def pair_edges(spark: SparkSession, folder: str, same: bool, name: str) -> DataFrame:
+    """Edges between parts that are in orders together, from the same supplier or from different ones."""
+    pairs = member_pairs(plays(spark, folder), "l_orderkey", "l_partkey", "l_suppkey", "quantity")
+    return edges(
+        pairs.where(F.col("same_group") == same), ("a", "part"), ("b", "part"), name,
+        {"num_orders": "n_events", "subject_quantity": "a_amount", "object_quantity": "b_amount"},
+    )
+
+
+@query("graph_plays_against", _PAIRS_SQL.format(name="plays_against", compare="<>"))
+def graph_plays_against(spark: SparkSession, folder: str) -> DataFrame:
+    return pair_edges(spark, folder, False, "plays_against")
+
+
+@query("graph_shares_team", _PAIRS_SQL.format(name="shares_team", compare="="))
+def graph_shares_team(spark: SparkSession, folder: str) -> DataFrame:
+    return pair_edges(spark, folder, True, "shares_team")
+
+
+@query(
+    "graph_plays_on",
+    _ONCE_SQL
+    + """SELECT CAST(l_partkey AS VARCHAR) AS subject_identifier, 'part' AS subject_type,
+       CAST(l_suppkey AS VARCHAR) AS object_identifier, 'supplier' AS object_type, 'plays_on' AS edge_type,
+       CAST(json_object('num_orders', count(*), 'quantity', CAST(sum(quantity) AS BIGINT)) AS VARCHAR) AS properties
+FROM once WHERE l_suppkey IS NOT NULL GROUP BY l_partkey, l_suppkey
+""",
+)
+def graph_plays_on(spark: SparkSession, folder: str) -> DataFrame:
+    """Edges from a part to the suppliers it came from."""
+    found = memberships(plays(spark, folder), "l_orderkey", "l_partkey", "l_suppkey", "quantity")
+    return edges(
+        found, ("member", "part"), ("group", "supplier"), "plays_on", {"num_orders": "n_events", "quantity": "total"}
+    )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import (
     bucket_join,
     check_layouts,
+    clean_counted,
     clean_typed,
     compare_layouts,
     enrich_broadcast,
@@ -55,6 +56,35 @@ def broadcast_enrich(spark: SparkSession, folder: str) -> DataFrame:
 )
 def csv_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written as text, read back and typed; some of the text fits no type."""
+    return clean_typed(csv_games(spark, folder), GAME_TYPES).withColumn("completion_date", instant("completion_date"))
+
+
+@query(
+    "csv_rejects",
+    """SELECT 'completion_date' AS name, count(*) FILTER (o_orderstatus = 'P') AS n_bad, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'is_team_game', count(*) FILTER (o_orderstatus NOT IN ('F', 'O')), count(*) FROM orders
+UNION ALL SELECT 'player', 0, count(*) FROM orders""",
+)
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """How many of these texts fit no type, counted while the typed rows are written."""
+    typed, counts = clean_counted(csv_games(spark, folder), GAME_TYPES)
+    typed.write.parquet(new_path(spark, "matches-typed"))
+    found = counts.get
+    rows = [(name, found[f"bad_{name}"], found["rows"]) for name in ("completion_date", "is_team_game", "player")]
+    return spark.createDataFrame(rows, "name string, n_bad long, n_rows long")
+
+
+GAME_TYPES = {
+    "match_id": "string",
+    "is_team_game": "boolean",
+    "playlist_id": "string",
+    "player": "long",
+    "completion_date": "timestamp:yyyy-MM-dd HH:mm:ss.SSSSSS",
+}
+
+
+def csv_games(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a text file of games, read back."""
     path = new_path(spark, "matches-csv")
     status = F.col("o_orderstatus")
     when = F.when(status == "P", "never").otherwise(instant("o_orderdate"))
@@ -65,18 +95,7 @@ def csv_clean(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("player"),
         when.alias("completion_date"),
     ).write.option("header", True).csv(path)
-    names = ["match_id", "is_team_game", "playlist_id", "player", "completion_date"]
-    typed = clean_typed(
-        read_csv(spark, path, text_schema(*names)),
-        {
-            "match_id": "string",
-            "is_team_game": "boolean",
-            "playlist_id": "string",
-            "player": "long",
-            "completion_date": "timestamp:yyyy-MM-dd HH:mm:ss.SSSSSS",
-        },
-    )
-    return typed.withColumn("completion_date", instant("completion_date"))
+    return read_csv(spark, path, text_schema(*GAME_TYPES))
 
 
 def matches(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import scd2_build, scd2_merge
 from ..operators.cumulate import carry_forward
+from ..session import new_path
+from ..sources.scd_table import Scd2Table
 from .cumulative import seasons, spend_class, years_of
 from .registry import query, text
 
 KEY, ATTRS, TRACKED = ["o_custkey"], ["priority"], ["spend_class", "is_active"]
 
 
-def yearly_states(spark: SparkSession, folder: str) -> DataFrame:
+def yearly_states(spark: SparkSession, folder: str, first: int, last: int) -> DataFrame:
     """The state of every customer in every year since the first order."""
     name, rule = spend_class()
-    first, last = years_of(spark, folder)
     rows = seasons(spark, folder, first, last)
     states = rows.select("o_custkey", "year", "priority", rule.alias(name))
     return carry_forward(states, KEY, "year", last)
@@ -82,7 +84,8 @@ _COLUMNS = "o_custkey, priority, spend_class, is_active, start_date, end_date, s
     + f"SELECT {_COLUMNS} FROM scd",
 )
 def customer_scd2_build(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(scd2_build(yearly_states(spark, folder), KEY, ATTRS, TRACKED, "year", years_of(spark, folder)[1]))
+    first, last = years_of(spark, folder)
+    return shown(scd2_build(yearly_states(spark, folder, first, last), KEY, ATTRS, TRACKED, "year", last))
 
 
 @query(
@@ -92,13 +95,13 @@ def customer_scd2_build(spark: SparkSession, folder: str) -> DataFrame:
 )
 def customer_scd2_build_as_written(spark: SparkSession, folder: str) -> DataFrame:
     """Stamped 1999, but built from all years, and split where the priority differs."""
-    states = yearly_states(spark, folder)
+    states = yearly_states(spark, folder, *years_of(spark, folder))
     return shown(scd2_build(states, KEY, ATTRS, TRACKED, "year", 1999, as_written=True))
 
 
 def merged(spark: SparkSession, folder: str, as_written: bool) -> DataFrame:
-    states = yearly_states(spark, folder)
-    last = years_of(spark, folder)[1]
+    first, last = years_of(spark, folder)
+    states = yearly_states(spark, folder, first, last)
     before = scd2_build(states, KEY, ATTRS, TRACKED, "year", last - 1)
     current = states.where(F.col("year") == last)
     return scd2_merge(
@@ -132,18 +135,32 @@ def _merge_sql(old_priority: str, records: str) -> str:
     )
 
 
-@query(
-    "scd2_merge",
-    _merge_sql(
-        "o.priority",
-        """CASE WHEN NOT has_old THEN [opened] WHEN NOT has_new THEN [ended]
-           WHEN class_moved OR active_moved THEN [ended, opened] ELSE [extended] END""",
-    ),
+_MERGED = _merge_sql(
+    "o.priority",
+    """CASE WHEN NOT has_old THEN [opened] WHEN NOT has_new THEN [ended]
+       WHEN class_moved OR active_moved THEN [ended, opened] ELSE [extended] END""",
 )
+
+
+@query("scd2_merge", _MERGED)
 def customer_scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
     return shown(merged(spark, folder, as_written=False))
 
 
+@query("scd2_stored", _MERGED)
+def customer_scd2_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through tables: the step reads open intervals only and appends those it closes."""
+    first, last = years_of(spark, folder)
+    states = yearly_states(spark, folder, first, last)
+    before, now = dt.date(last - 1, 1, 1), dt.date(last, 1, 1)
+    stored = Scd2Table(f"customer_scd_{uuid.uuid4().hex[:12]}", new_path(spark, "customer_scd"), KEY, ATTRS, TRACKED)
+    stored.load(scd2_build(states, KEY, ATTRS, TRACKED, "year", last - 1), before)
+    stored.step(spark, states.where(F.col("year") == last), before, now)
+    out = stored.read(spark, now)
+    stored.forget(spark)
+    return shown(out)
+
+
 @query(
     "scd2_merge_as_written",
     _merge_sql(

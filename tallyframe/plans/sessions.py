@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import session_stats, session_stats_by_host, sessionize
 from ..session import new_path
-from ..streaming import sessions_to_files
+from ..sources import read_finished
+from ..streaming import sessions_to_batches, sessions_to_files
 from .registry import instant, query, table
 
 KEYS = ["user_id", "event_type"]
@@ -94,3 +95,31 @@ def sessions_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
     job.awaitTermination()
     return shown(spark.read.parquet(f"{path}/closed"))
+
+
+@query("sessions_once", _SESSIONS_SQL + _SHOWN_SQL)
+def sessions_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event delivered twice or more, as an at-least-once source may do; each counts once."""
+    events = table(spark, folder, "events")
+    again = events.unionByName(events).unionByName(events.where(F.col("event_id") % 3 == 0))
+    return shown(sessionize(again, "ts", KEYS, GAP, once=["event_id"]))
+
+
+@query(
+    "sessions_batches",
+    _SESSIONS_SQL + _SHOWN_SQL
+    + "WHERE session_end <= (SELECT max(ts) - INTERVAL 15 SECOND FROM events)",
+)
+def sessions_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream through a sink by micro-batch, of which only recorded batches are read."""
+    path = new_path(spark, "session-batches")
+    events = (
+        spark.readStream.schema(table(spark, folder, "events").schema)
+        .parquet(f"{folder}/events.parque[t]")
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    )
+    job = sessions_to_batches(events, "ts", KEYS, f"{path}/closed", f"{path}/checkpoint", GAP, WATERMARK, ["event_id"])
+    job.awaitTermination()
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
+    schema = f"session_start timestamp, session_end timestamp, {', '.join(f'{k} {kinds[k]}' for k in KEYS)}, event_count long"
+    return shown(read_finished(spark, f"{path}/closed", schema).drop("batch_id"))

@@ -1,5 +1,6 @@
+from .batches import read_finished, staged_sink
 from .jdbc import JdbcTarget, append_rows, jdbc_sink
-from .kafka import KafkaSource, decode_events, kafka_events, rejected_events
+from .kafka import KafkaSource, decode_events, kafka_events, observed_events, rejected_events
 from .tables import (
     append_snapshot,
     bucket_count,
@@ -28,9 +29,12 @@ __all__ = [
     "jdbc_sink",
     "kafka_events",
     "materialise",
+    "observed_events",
     "read_csv",
+    "read_finished",
     "read_snapshot",
     "rejected_events",
+    "staged_sink",
     "text_schema",
     "total_bytes",
     "upsert_partition",

@@ -61,6 +61,15 @@ def decode_events(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def observed_events(messages: DataFrame, value: str = "value", name: str = "messages") -> DataFrame:
+    """:func:`decode_events` that counts as it goes: ``rows``, and ``rejected`` ones without an event time.
+
+    The counts of a micro-batch are in the query's progress under ``name``; no message is read twice.
+    """
+    events = decode_events(messages, value)
+    return events.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(EVENT_TIME).isNull()).alias("rejected"))
+
+
 def rejected_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """The messages that :func:`decode_events` finds no event time in, for a side output or a count."""
     time = F.try_to_timestamp(

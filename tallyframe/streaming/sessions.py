@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.sessions import sessionize
 from ..sources.jdbc import JdbcTarget, jdbc_sink
+from ..sources.batches import staged_sink
 from ..sources.kafka import EVENT_TIME, KafkaSource, kafka_events
 
 
@@ -49,10 +50,14 @@ def sessions_to_files(
     gap: str = "5 minutes",
     watermark: str = "15 seconds",
     trigger: dict | None = None,
+    once: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Writes each session once it can no longer grow. The file sink is exactly-once."""
+    """Writes each session once it can no longer grow. The file sink is exactly-once.
+
+    ``once`` names the columns of an event by which repeated messages are dropped.
+    """
     writer = (
-        sessionize(events, ts, keys, gap, watermark)
+        sessionize(events, ts, keys, gap, watermark, once)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
@@ -62,12 +67,36 @@ def sessions_to_files(
     return start_with_settings(events.sparkSession, writer)
 
 
+def sessions_to_batches(
+    events: DataFrame,
+    ts: str,
+    keys: Sequence[str],
+    path: str,
+    checkpoint: str,
+    gap: str = "5 minutes",
+    watermark: str = "15 seconds",
+    once: Sequence[str] = (),
+) -> StreamingQuery:
+    """Sessions by micro-batch, for readers of :func:`~tallyframe.sources.read_finished`."""
+    writer = (
+        sessionize(events, ts, keys, gap, watermark, once)
+        .writeStream.outputMode("append")
+        .foreachBatch(staged_sink(path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+    )
+    return start_with_settings(events.sparkSession, writer)
+
+
 def sessions_to_jdbc(
-    spark: SparkSession, source: KafkaSource, target: JdbcTarget, checkpoint: str
+    spark: SparkSession, source: KafkaSource, target: JdbcTarget, checkpoint: str, once: Sequence[str] = ()
 ) -> StreamingQuery:
-    """Kafka to database, sessions per (ip, host). Errors end the query and reach the caller."""
+    """Kafka to database, sessions per (ip, host). Errors end the query and reach the caller.
+
+    The source delivers at least once; ``once`` names the fields that tell events apart.
+    """
     writer = (
-        sessionize(kafka_events(spark, source), EVENT_TIME, ["ip", "host"])
+        sessionize(kafka_events(spark, source), EVENT_TIME, ["ip", "host"], once=once)
         .writeStream.outputMode("append")
         .foreachBatch(jdbc_sink(target))
         .option("checkpointLocation", checkpoint)
