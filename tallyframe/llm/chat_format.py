@@ -14,7 +14,7 @@ all segments are repaired on their own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -138,7 +138,7 @@ def format_chats(
     null turn and source_role. ``rendered`` in this order gives the conversation's text; a merged
     turn has no header of its own, and ``<|end|>`` closes the last row.
 
-    Turns are ordered by turn, then role, then a hash of the text; null comes first. Roles are
+    Turns are ordered by turn, then role, then a hash of the text, equal ones as they are stored; null comes first. Roles are
     compared in lower case without blanks around; a null or unknown role is relabelled. A null text
     is empty. Repeated rows are turns of their own. Rows with a null conv_id are one conversation.
     Other columns are ignored. An empty table gives no rows.
@@ -147,15 +147,17 @@ def format_chats(
     rows = turns.select(
         F.col(conv_id).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("tie"),
+        F.monotonically_increasing_id().alias("place"),
     )
-    order = ["conv", "turn", "role", "tie"]
+    # the place in the input parts equal rows, so that very many of them are many tasks
+    order = ["conv", "turn", "role", "tie", "place"]
     rows = materialise(rows.repartitionByRange(*order).withColumn("segment", F.spark_partition_id()), "turns")
-    together = lambda df: df.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "turn", "role", "tie")
+    together = lambda df: df.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "turn", "role", "tie", "place")
     # a border between two ranges cuts one conversation at most, so these are no more than the ranges
     cut = rows.groupBy("conv").agg(F.min("segment").alias("a"), F.max("segment").alias("b")).where("a < b").select(F.col("conv").alias("c"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     matrices: dict = {}
-    parts = together(rows.join(cut, F.col("conv").eqNullSafe(F.col("c"))).select("conv", "segment", "turn", "role", "tie"))
+    parts = together(rows.join(cut, F.col("conv").eqNullSafe(F.col("c"))).select("conv", "segment", "turn", "role", "tie", "place"))
     for row in parts.mapInArrow(_matrices, f"conv {kinds['conv']}, segment int, costs array<long>").collect():
         matrices.setdefault(row.conv, []).append((row.segment, [row.costs[4 * a : 4 * a + 4] for a in range(4)]))
     states = {}
@@ -209,16 +211,20 @@ def _known(role: str | None) -> str | None:
 
 
 def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kind = batch.column("conv").type
+        break
+    else:
+        return
     convs, segments, costs = [], [], []
-    for (conv, segment), group in _runs(batches):
+    for (conv, segment), group in _runs(chain([batch], batches)):
         convs.append(conv)
         segments.append(segment)
         costs.append([c for row in segment_costs([_known(r["role"]) for r in group]) for c in row])
-    if convs:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(convs), pa.array(segments, pa.int32()), pa.array(costs, pa.list_(pa.int64()))],
-            ["conv", "segment", "costs"],
-        )
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(convs, kind), pa.array(segments, pa.int32()), pa.array(costs, pa.list_(pa.int64()))],
+        ["conv", "segment", "costs"],
+    )
 
 
 def _arrow_schema(spark, ddl: str) -> pa.Schema:

@@ -32,6 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 from ..sources.tables import materialise
@@ -313,17 +314,16 @@ def find_passages(
     out = spark.createDataFrame([], schema)
     for ids, texts in _blocks(benchmark, item_id, item_text, block_bytes):
         shared = spark.sparkContext.broadcast(prepare(ids, texts, max_edits, recall))
-        out = out.unionByName(source.mapInArrow(_finder(shared, doc_id, item_id), schema))
+        out = out.unionByName(source.mapInArrow(_finder(shared, doc_id, item_id, to_arrow_type(kinds[1])), schema))
     return out
 
 
-def _finder(shared, doc_id: str, item_id: str):
+def _finder(shared, doc_id: str, item_id: str, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in at.chunks(batches, limit=CHUNK_BYTES):
             found = find(items, batch.column("text"))
             rows, owners, *rest = zip(*found, strict=True) if found else ([], [], [], [], [])
-            kind = pa.int64() if all(isinstance(x, int) or x is None for x in items.ids) else None
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("d").take(pa.array(rows, pa.int64())),

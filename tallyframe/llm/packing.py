@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -68,23 +69,28 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 
 
 def encoder(path: str):
-    """Token ids of a text, by the vocabulary file's byte-level BPE.
+    """A function from a text to its token ids, by the vocabulary file's byte-level BPE.
 
     The ranks are those of the given file; the BPE library used is several times as fast as the
-    file's own one and gives the same ids (tested). Special tokens in a text are ordinary text.
+    file's own one and gives the same ids (tested). A token that the file adds to its vocabulary has
+    the file's id wherever its literal stands in a text, as in the file's own library.
     """
     import public_tokenizers
     import tiktoken
 
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
+        content = json.load(file)
+    added = {token["content"]: token["id"] for token in content["added_tokens"]}
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in content["added_tokens"]):
+        raise ValueError(f"{path}: added tokens that take in what stands beside them are not supported")
     # the file writes the bytes that are not printable as the code points from 256 on
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in printable]
     byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
-    special = {"<|endoftext|>"}
-    ranks = {bytes(byte[c] for c in piece): k for piece, k in vocabulary.items() if piece not in special}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    vocabulary = content["model"]["vocab"]
+    ranks = {bytes(byte[c] for c in piece): k for piece, k in vocabulary.items() if piece not in added}
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return partial(own.encode, allowed_special="all")
 
 
 def pack(
@@ -112,7 +118,7 @@ def pack(
     quarter = -(-capacity // 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(path)
         sequence = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []  # doc_id, start, ids, doc_tokens
 

@@ -43,7 +43,7 @@ WITH RECURSIVE rules(decision, rhost, rpath) AS (VALUES
   ('block', 'net', '/es/'), ('block', 'net', '/fr/')
 ), tags AS (
   SELECT url, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''>\s]+)', 1) AS href
-  FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')) AS tag
+  FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|''(?:[^''>]*\s)?canonical(?:\s[^''>]*)?''|canonical\b)[^>]*>')) AS tag
         FROM pages)
   UNION ALL
   SELECT url, regexp_extract(tag, '(?is)\bcontent\s*=\s*["'']?[^>]*?\burl\s*=\s*["'']?([^"''>\s]+)', 1)
@@ -51,12 +51,14 @@ WITH RECURSIVE rules(decision, rhost, rpath) AS (VALUES
         FROM pages)
 ), links AS (
   SELECT DISTINCT url, CASE
-    WHEN contains(href, '://') THEN href
+    WHEN starts_with(href, '?') THEN regexp_extract(url, '^[^:]*://[^?#]*') || href
+    WHEN contains(regexp_extract(href, '^[^?#]*'), '://') THEN href
     WHEN starts_with(href, '//') THEN regexp_extract(url, '^[^:]*') || ':' || href
     WHEN starts_with(href, '/') THEN regexp_extract(url, '^[^:]*://[^/?#]*') || href
     ELSE regexp_extract(url, '^[^:]*://[^/?#]*') || coalesce(nullif(regexp_extract(url, '://[^/?#]*([^?#]*/)', 1), ''), '/') || href
     END AS target
-  FROM tags WHERE href <> '' AND href NOT LIKE '#%' AND href NOT LIKE '?%'
+  FROM (SELECT url, regexp_replace(href, '(?i)&(?:amp|#38|#x26);', '&', 'g') AS href FROM tags)
+  WHERE href <> '' AND href NOT LIKE '#%'
 ), rest AS (
   SELECT DISTINCT u, CASE WHEN contains(u, '://') THEN substr(u, instr(u, '://') + 3) ELSE '' END AS r
   FROM (SELECT url AS u FROM pages UNION SELECT target FROM links UNION SELECT url FROM links)
@@ -67,8 +69,12 @@ WITH RECURSIVE rules(decision, rhost, rpath) AS (VALUES
       lambda x: NOT regexp_matches(x, '^(utm_[^=&]*|gclid|fbclid)=')), '&') AS query
   FROM rest
 ), nodes AS (
-  SELECT *, CASE WHEN host <> '' THEN host || CASE path WHEN '' THEN '/' ELSE path END
-    || CASE coalesce(query, '') WHEN '' THEN '' ELSE '?' || query END END AS node FROM urls
+  SELECT *, CASE WHEN host <> '' THEN host || CASE path WHEN '' THEN '/' ELSE plain END
+    || CASE coalesce(query, '') WHEN '' THEN '' ELSE '?' || query END END AS node
+  FROM (SELECT *, CASE WHEN NOT contains(path, '/.') THEN path ELSE
+          list_reduce(list_concat([''], string_split(path, '/')[2:]), lambda way, step: CASE step WHEN '.' THEN way
+            WHEN '..' THEN regexp_replace(way, '/[^/]*$', '') ELSE way || '/' || step END)
+          || CASE WHEN regexp_matches(path, '/\.\.?$') THEN '/' ELSE '' END END AS plain FROM urls)
 ), fits AS (
   SELECT u, arg_max(decision, length(rhost || rpath)) AS decision, arg_max(rhost || rpath, length(rhost || rpath)) AS rule
   FROM nodes JOIN rules ON (host = rhost OR suffix(host, '.' || rhost)) AND starts_with(path, rpath)

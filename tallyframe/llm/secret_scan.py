@@ -3,14 +3,18 @@
 DataFrame functions only. A candidate is a long run of token characters. Its encoding is inferred
 from its characters, and under "random in this encoding" it gets three p-values: chi-squared
 uniformity of the alphabet, runs above and below the middle symbol, and serial correlation. They
-are combined by Fisher's method. Random strings have evenly spread combined values and ordinary
-ones pile up at zero, so in each class of encoding and length the share of ordinary strings above a
-cut-off can be estimated; the cut-off is the least with which it stays below the allowed rate.
-
-A class with few strings proves nothing that way. So each string is also judged on its own, whatever
-else the table holds: it is reported where it is so much likelier as a random string of its encoding
-than as ordinary text that, with one random string in RARITY candidates, the allowed rate is kept.
-Ordinary text is a model of character pairs, taken from the pieces of a public vocabulary.
+are combined by Fisher's method, and a string that they reject is not random.
+
+Ordinary text can pass that battery by chance, the more easily the shorter it is. So each string is
+also weighed against ordinary text, a model of character pairs from the pieces of a public
+vocabulary: the evidence is the number of bits by which it is likelier as a random string. Of
+ordinary strings a share of at most 2 ** -b has b bits or more, which makes 2 ** -b a p-value; in each
+class of lengths a step-up procedure over all different candidates keeps the expected share of
+ordinary strings among the reported ones below the allowed rate, whatever the class holds. Besides,
+the evidence must outweigh that only one candidate in RARITY is random.
+
+Work per text grows with its length, and with n log n of its matches: places are running sums, found
+by doubling, and no step copies the list of matches so far.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import math
 from functools import cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialise
@@ -48,16 +52,14 @@ ENCODINGS = [
     ("url base64", _UP + _LOW + _DIGITS + "-_"),
     ("any", _UP + _LOW + _DIGITS + "+/-_"),
 ]
-#: First lengths of the length classes, steps of the combined p-value, allowed false share, and the
-#: least combined value that is ever taken for random.
+#: First lengths of the length classes, allowed false share, and the least combined p-value of the
+#: battery that is taken for random.
 LENGTHS = (20, 24, 32, 48, 96)
-STEPS = 100
 FALSE_SHARE = 0.05
-LEAST_STEP = 1
-#: Different strings that a class must have in the upper three quarters, and standard errors by which
-#: these may fall off towards the top before ordinary strings are taken off them.
-MIN_STRINGS, MAX_FALL = 12, 1.64
-#: Of one string's own judgement: ordinary candidates for each random one, the vocabulary, its
+LEAST_P = 0.01
+#: Evidence is counted in quarters of a bit, up to so many bits.
+STEPS_A_BIT, MOST_BITS = 4, 80
+#: Ordinary candidates for each random one; and of the ordinary model: the vocabulary, its
 #: characters, and how often a piece ends after a character.
 RARITY = 1000
 VOCABULARY = "byte_bpe_50k.json"
@@ -65,27 +67,66 @@ CHARACTERS = _UP + _LOW + _DIGITS + "+/-_"
 PIECE_ENDS = 0.2
 
 
+def _stage(value: Column, then) -> Column:
+    """``then`` applied to ``value``, which is computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def running(values: Column, start, combine) -> Column:
+    """``combine`` over each element and all before it, ``start`` being neutral.
+
+    By doubling: every element takes in the one before it, then two, four, eight before it.
+    """
+
+    def doubled(sofar: Column, k: Column) -> Column:
+        n, back = F.size(sofar), F.pow(F.lit(2), k).cast("int")
+        earlier = F.concat(F.array_repeat(start, F.least(back, n)), F.slice(sofar, F.lit(1), F.greatest(n - back, F.lit(0))))
+        return F.zip_with(sofar, earlier, combine)
+
+    return _stage(values, lambda v: F.when(F.size(v) < 2, v).otherwise(
+        F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.size(v))).cast("int") - 1), v, doubled)
+    ))
+
+
+_SPANS = "array<struct<start:long,end:long,match:string>>"
+
+
 def spans(text: Column, pattern: str) -> Column:
     """All leftmost matches that don't overlap: array of (start, end, match), in code points."""
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.array().cast("array<struct<start:long,end:long,match:string>>")
-    folded = F.aggregate(
-        F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m"))),
-        F.struct(F.lit(0).cast("long").alias("at"), empty.alias("all")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-            F.concat(
-                acc["all"],
-                F.array(F.struct(
-                    (acc["at"] + x["gap"]).alias("start"),
-                    (acc["at"] + x["gap"] + F.length(x["m"])).alias("end"),
-                    x["m"].alias("match"),
-                )),
-            ).alias("all"),
-        ),
-        lambda acc: acc["all"],
-    )
-    return F.when(text.rlike(pattern), folded).otherwise(empty)
+    sizes = lambda x: F.zip_with(
+        F.slice(x["pieces"], 1, F.size(x["found"])), x["found"], lambda p, m: (F.length(p) + F.length(m)).cast("long")
+    )
+    placed = _stage(F.struct(pieces.alias("pieces"), found.alias("found")), lambda x: F.zip_with(
+        running(sizes(x), F.lit(0).cast("long"), lambda a, b: a + b), x["found"],
+        lambda end, m: F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("match")),
+    ))
+    return F.when(text.rlike(pattern), placed.cast(_SPANS)).otherwise(F.array().cast(_SPANS))
+
+
+def clear_of(tokens: Column, others: Column) -> Column:
+    """The tokens that overlap none of the other spans; both are in order and without overlaps of their own.
+
+    The last other span that starts before a token ends decides, so ends and starts are sorted
+    together and the greatest end so far is kept.
+    """
+
+    def kept(x: Column) -> Column:
+        events = F.array_sort(F.concat(
+            F.transform(x["others"], lambda o: F.struct(o["start"].alias("at"), F.lit(1).alias("late"), o["end"].alias("end"))),
+            F.transform(x["tokens"], lambda t: F.struct(t["end"].alias("at"), F.lit(0).alias("late"), F.lit(-1).cast("long").alias("end"))),
+        ))
+        reach = _stage(events, lambda e: F.filter(
+            F.zip_with(e, running(F.transform(e, lambda y: y["end"]), F.lit(-1).cast("long"), lambda a, b: F.greatest(a, b)),
+                       lambda y, m: F.struct(y["late"].alias("late"), m.alias("reach"))),
+            lambda y: y["late"] == 0,
+        ))
+        both = F.zip_with(x["tokens"], reach, lambda t, r: F.struct(t.alias("token"), r["reach"].alias("reach")))
+        return F.transform(F.filter(both, lambda y: y["reach"] <= y["token"]["start"]), lambda y: y["token"])
+
+    return F.when((F.size(tokens) > 0) & (F.size(others) > 0), _stage(
+        F.struct(tokens.alias("tokens"), others.alias("others")), kept
+    )).otherwise(tokens)
 
 
 def _upper_tail(z: Column) -> Column:
@@ -101,10 +142,6 @@ def battery(token: Column) -> Column:
         narrowest = F.when(F.translate(token, ENCODINGS[k][1], "") == "", F.lit(k)).otherwise(narrowest)
     alphabets = F.array(*[F.lit(a) for _, a in ENCODINGS])
 
-    def stage(value: Column, then) -> Column:
-        """``then`` applied to ``value``, which is computed once."""
-        return F.transform(F.array(value), then)[0]
-
     def tests(x: Column) -> Column:
         v, size = x["v"], x["size"]
         n, a = F.size(v).cast("double"), size.cast("double")
@@ -127,20 +164,20 @@ def battery(token: Column) -> Column:
         logs = [F.ln(F.greatest(p, F.lit(1e-12))) for p in (_upper_tail(z_chi), 2 * _upper_tail(z_runs), 2 * _upper_tail(z_serial))]
         half = -(F.least(logs[0], F.lit(0.0)) + F.least(logs[1], F.lit(0.0)) + F.least(logs[2], F.lit(0.0)))
         # the tail of chi-squared with six degrees of freedom
-        return stage(half, lambda h: F.struct(x["encoding"].alias("encoding"), (F.exp(-h) * (1 + h + h * h / 2)).alias("p")))
+        return _stage(half, lambda h: F.struct(x["encoding"].alias("encoding"), (F.exp(-h) * (1 + h + h * h / 2)).alias("p")))
 
     def valued(x: Column) -> Column:
-        v = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(x["alphabet"], F.substring(token, i, F.lit(1))) - 1)
-        return stage(
+        v = F.transform(F.split(token, ""), lambda c: F.instr(x["alphabet"], c) - 1)
+        return _stage(
             F.struct(x["encoding"].alias("encoding"), F.length(x["alphabet"]).alias("size"), v.alias("v")),
-            lambda y: stage(
+            lambda y: _stage(
                 F.struct(y["encoding"].alias("encoding"), y["size"].alias("size"), y["v"].alias("v"),
                          F.aggregate(y["v"], F.lit(0.0), lambda t, s: t + s).alias("sum")),
                 tests,
             ),
         )
 
-    return stage(narrowest, lambda k: stage(
+    return _stage(narrowest, lambda k: _stage(
         F.struct(k.alias("encoding"), F.element_at(alphabets, k + 1).alias("alphabet")), valued
     ))
 
@@ -172,65 +209,41 @@ def ordinary_bits() -> np.ndarray:
     return -np.log2(np.vstack([(1 - PIECE_ENDS) * inside + PIECE_ENDS * start, start]))
 
 
-def stands_alone(token: Column, encoding: Column, false_share: float = FALSE_SHARE) -> Column:
-    """Whether a token is random by its own likelihoods. Decimal digits never are: so are numbers."""
+def evidence(token: Column, encoding: Column) -> Column:
+    """Bits by which a token is likelier as a random string of its encoding than as ordinary text."""
     size = len(CHARACTERS)
     bits = F.split(F.lit(",".join(f"{x:.3f}" for x in ordinary_bits().ravel())), ",").cast("array<double>")
     each = F.element_at(F.array(*[F.lit(math.log2(len(a))) for _, a in ENCODINGS]), encoding + 1)
-    codes = F.transform(
-        F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(F.lit(CHARACTERS), F.substring(token, i, F.lit(1))) - 1
-    )
+    codes = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(CHARACTERS), c) - 1)
     ordinary = F.aggregate(
         codes,
         F.struct(F.lit(size).alias("last"), F.lit(0.0).alias("bits")),
         lambda t, c: F.struct(c.alias("last"), (t["bits"] + F.element_at(bits, t["last"] * size + c + 1)).alias("bits")),
         lambda t: t["bits"],
     )
-    return (encoding > 0) & (ordinary - F.length(token) * each >= math.log2(RARITY / false_share))
-
+    return ordinary - F.length(token) * each
 
-def _overlaps(x: Column, others: Column) -> Column:
-    return F.exists(others, lambda o: (o["start"] < x["end"]) & (x["start"] < o["end"]))
 
+def cut_offs(seen: DataFrame, false_share: float = FALSE_SHARE) -> dict[int, int]:
+    """The least step of evidence that is reported, by length class, from (length_class, step) of all different candidates.
 
-def cut_offs(found: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
-    """(encoding, length_class, least) from (encoding, length_class, step) of all different candidates.
-
-    Of random strings a share of (STEPS - s) / STEPS lies at step s or above, so their number is
-    taken from the upper three quarters. These must hold MIN_STRINGS, or they prove nothing. The
-    least step keeps the estimated share of ordinary strings at or above it below ``false_share``,
-    within one standard error.
-
-    Where the quarters fall off towards the top (a one-sided test of the last against the second),
-    ordinary strings reach into them. What they add to the last quarter is carried on from the falls
-    between the quarters, the second of them at its upper bound; the rest of it is taken for random,
-    and the share must be below ``false_share`` without an allowance, which raises the step.
+    Step-up (Benjamini and Hochberg) on p-values 2 ** (-step / STEPS_A_BIT): the least step s for
+    which this p-value times the number of candidates is within ``false_share`` of the candidates at
+    s or above. A null step is a candidate that the battery rejects; it counts among the candidates.
+    At most (lengths x steps) counts reach the driver.
     """
-    key = ["encoding", "length_class"]
-    counts = found.groupBy(*key, "step").agg(F.count("*").alias("n"))
-    above = Window.partitionBy(*key).orderBy(F.col("step").desc())
-    whole = Window.partitionBy(*key)
-    quarters = [
-        F.sum(F.when((F.col("step") * 4 >= k * STEPS) & (F.col("step") * 4 < (k + 1) * STEPS), F.col("n")).otherwise(0)).over(whole)
-        for k in (1, 2, 3)
-    ]
-    total = quarters[0] + quarters[1] + quarters[2]
-    falls = (quarters[0] - quarters[2]) / F.sqrt(F.greatest(quarters[0] + quarters[2], F.lit(1))) > MAX_FALL
-    first = quarters[0] - quarters[1]
-    second = F.greatest(quarters[1] - quarters[2], F.lit(0)) + MAX_FALL * F.sqrt(quarters[1] + quarters[2])
-    ordinary = F.when(first > second, second * second / F.greatest(first - second, F.lit(1e-9))).otherwise(quarters[2])
-    each = F.when(falls, F.greatest(quarters[2] - ordinary, F.lit(0.0))).otherwise(total / 3)
-    return (
-        counts.withColumn("above", F.sum("n").over(above))
-        .withColumn("total", total)
-        .withColumn("falls", falls)
-        .withColumn("each", each)
-        .withColumn("false", 1 - F.col("each") * 4 * (STEPS - F.col("step")) / STEPS / F.col("above"))
-        .where((F.col("total") >= MIN_STRINGS) & (F.col("step") >= LEAST_STEP))
-        .where(F.col("false") <= false_share + F.when(F.col("falls"), 0.0).otherwise(1 / F.sqrt("above")))
-        .groupBy(*key)
-        .agg(F.min("step").alias("least"))
-    )
+    counts: dict[int, dict[int, int]] = {}
+    for r in seen.groupBy("length_class", "step").agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r.length_class, {})[-1 if r.step is None else r.step] = r.n
+    floor = math.ceil(STEPS_A_BIT * math.log2(RARITY / false_share))
+    least = {}
+    for size, found in counts.items():
+        candidates, above = sum(found.values()), 0
+        for step in range(STEPS_A_BIT * MOST_BITS, floor - 1, -1):
+            above += found.get(step, 0)
+            if 2 ** (-step / STEPS_A_BIT) * candidates <= false_share * above:
+                least[size] = step
+    return least
 
 
 def scan(
@@ -239,20 +252,23 @@ def scan(
     """(doc_id, found) per row; found is the array of (start, end, kind, match), sorted.
 
     Kinds: assign (a named secret with a value of 6 or more characters), access (key ids of 20 or
-    more), hex (24 or more digits) and random (candidates that the tests take for random and that
-    overlap none of the other kinds, in their class or on their own). Places are in code points, the end exclusive; the order is by
-    start, then kind in the order above.
+    more), hex (24 or more digits) and random (candidates that the battery and their evidence take for
+    random and that overlap none of the other kinds). Places are in code points, the end exclusive;
+    the order is by start, then kind in the order above. Strings of decimal digits alone are never
+    random: plain numbers look the same.
 
     A null or empty text holds nothing. Repeated rows give repeated results; a string counts once
-    in the statistics, however many copies there are; a null doc_id is carried; other columns are ignored; an empty table gives an empty
-    one. The statistics cover all rows: different candidates, by 128 bits of hash and combined before
-    the shuffle, then a table of at most (encodings x lengths x steps) counts.
+    in the statistics, however many copies there are; a null doc_id is carried; other columns are
+    ignored; an empty table gives an empty one. The statistics cover all rows: different candidates,
+    by 128 bits of hash and combined before the shuffle, then a table of counts.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     assign = F.filter(spans(content, ASSIGN), lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= 6)
     access = F.filter(spans(content, ACCESS), lambda x: F.length(x["match"]) >= 20)
+    # a base kind of token characters alone lies within one token
+    plain = F.filter(F.col("tokens"), lambda x: ~x["match"].rlike("[0-9a-f]{24}") & ~x["match"].rlike("AKIA[A-Z0-9]{16}"))
     tested = F.transform(
-        F.filter(F.col("tokens"), lambda x: ~_overlaps(x, F.col("assign")) & ~_overlaps(x, F.col("access")) & ~_overlaps(x, F.col("hex"))),
+        clear_of(plain, F.col("assign")),
         lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"), battery(x["match"]).alias("b")),
     )
     length_class = lambda x: F.aggregate(
@@ -266,21 +282,22 @@ def scan(
         .withColumn("tested", F.when(F.size("tokens") > 0, tested).otherwise(F.array().cast("array<struct<start:long,end:long,match:string,b:struct<encoding:int,p:double>>>")))
         .select("doc_id", "assign", "access", "hex", F.transform("tested", lambda x: F.struct(
             x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"),
-            x["b"]["encoding"].alias("encoding"), length_class(x).alias("length_class"),
-            F.least(F.floor(x["b"]["p"] * STEPS), F.lit(STEPS - 1)).cast("int").alias("step"),
-            ((F.floor(x["b"]["p"] * STEPS) >= LEAST_STEP) & stands_alone(x["match"], x["b"]["encoding"], false_share)).alias("alone"),
+            length_class(x).alias("length_class"),
+            F.when((x["b"]["p"] >= LEAST_P) & (x["b"]["encoding"] > 0), F.least(
+                F.floor(F.greatest(evidence(x["match"], x["b"]["encoding"]), F.lit(0.0)) * STEPS_A_BIT), F.lit(STEPS_A_BIT * MOST_BITS)
+            )).cast("int").alias("step"),
         )).alias("tested"))
     )
     rows = materialise(rows, "secret-spans")
     seen = rows.select(F.explode("tested").alias("x")).select(
-        "x.encoding", "x.length_class", "x.step", F.xxhash64("x.match").alias("h"), F.xxhash64(F.lit(1), "x.match").alias("g")
+        "x.length_class", "x.step", F.xxhash64("x.match").alias("h"), F.xxhash64(F.lit(1), "x.match").alias("g")
     ).distinct()
-    least = {(r.encoding, r.length_class): r.least for r in cut_offs(seen, false_share).collect()}
+    least = cut_offs(seen, false_share)
 
     def random(x: Column) -> Column:
-        hit = x["alone"]
-        for (encoding, size), step in sorted(least.items()):
-            hit = hit | ((x["encoding"] == encoding) & (x["length_class"] == size) & (x["step"] >= step))
+        hit = F.lit(False)
+        for size, step in sorted(least.items()):
+            hit = hit | ((x["length_class"] == size) & (F.coalesce(x["step"], F.lit(-1)) >= step))
         return hit
 
     def listed(column: Column, kind: int) -> Column:

@@ -19,9 +19,14 @@ from .components import connected_components
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Query parameters that name a visit, not a page.
 TRACKING = r"(?:utm_[^=&]*|gclid|fbclid)"
-_LINK_TAG = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
+#: ``canonical`` may stand among other values of rel.
+_LINK_TAG = (
+    r"(?is)<link\b[^>]*\brel\s*=\s*(?:\"(?:[^\">]*\s)?canonical(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'"
+    r"|canonical\b)[^>]*>"
+)
 _META_TAG = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)"
+_AMPERSAND = "(?i)&(?:amp|#38|#x26);"
 _REFRESH = r"(?is)\bcontent\s*=\s*[\"']?[^>]*?\burl\s*=\s*[\"']?([^\"'>\s]+)"
 
 
@@ -40,23 +45,38 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_after_scheme(url), "^[^/?#]*([^?#]*)", 1)
 
 
+def dot_free(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments, as browsers resolve them."""
+    steps = F.aggregate(
+        F.slice(F.split(path, "/"), 2, F.size(F.split(path, "/"))),
+        F.lit(""),
+        lambda way, step: F.when(step == ".", way)
+        .when(step == "..", F.regexp_replace(way, "/[^/]*$", ""))
+        .otherwise(F.concat(way, F.lit("/"), step)),
+    )
+    steps = F.when(path.rlike(r"/\.\.?$"), F.concat(steps, F.lit("/"))).otherwise(steps)
+    return F.when(F.instr(path, "/.") > 0, steps).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
     """What the aliases of one address have in common; null without a host."""
     query = F.regexp_extract(_after_scheme(url), r"^[^?#]*\?([^#]*)", 1)
     query = F.btrim(F.regexp_replace(query, f"(?<![^&]){TRACKING}=[^&]*&?", ""), F.lit("&"))
-    path = F.when(path_of(url) == "", "/").otherwise(path_of(url))
+    path = F.when(path_of(url) == "", "/").otherwise(dot_free(path_of(url)))
     node = F.concat(host_of(url), path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)))
     return F.when(host_of(url) != "", node)
 
 
 def resolved(href: Column, base: Column) -> Column:
-    """The address that ``href`` names on the page ``base``."""
+    """The address that ``href`` names on the page ``base``; null for a place on the page itself."""
+    href = F.regexp_replace(href, _AMPERSAND, "&")
     scheme = F.substring_index(base, "://", 1)
     root = F.concat(scheme, F.lit("://"), host_of(base))
     folder = F.regexp_extract(path_of(base), "^(.*/)?", 0)
     return (
-        F.when(href.isNull() | (href == "") | F.substring(href, 1, 1).isin("#", "?"), F.lit(None))
-        .when(F.instr(href, "://") > 0, href)
+        F.when(href.isNull() | (href == "") | F.startswith(href, F.lit("#")), F.lit(None))
+        .when(F.startswith(href, F.lit("?")), F.concat(root, path_of(base), href))
+        .when(F.instr(F.regexp_extract(href, "^[^?#]*", 0), "://") > 0, href)
         .when(F.startswith(href, F.lit("//")), F.concat(scheme, F.lit(":"), href))
         .when(F.startswith(href, F.lit("/")), F.concat(root, href))
         .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), href))
@@ -131,8 +151,13 @@ def filter_urls(
     pages = pages.drop("host", "path", "rule", "verdict", "by")
     links = page_links(pages, url, html) if links is None else links.select("url", "target")
     links = materialise(links.distinct(), "url-links")
-    pages = pages.withColumns({"host": F.coalesce(host_of(F.col(url)), F.lit("")),
-                               "path": F.coalesce(path_of(F.col(url)), F.lit(""))})
+    # the page's own columns travel as one, so that they may have any name
+    judged = pages.select(
+        F.struct("*").alias("page"),
+        F.coalesce(host_of(F.col(url)), F.lit("")).alias("host"),
+        F.coalesce(path_of(F.col(url)), F.lit("")).alias("path"),
+        node_of(F.col(url)).alias("node"),
+    )
     every = pages.select(F.col(url).alias("u")).unionByName(links.select(F.col("target").alias("u")))
     seen = every.where(F.col("u").isNotNull()).select(
         host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"), node_of(F.col("u")).alias("node")
@@ -147,10 +172,11 @@ def filter_urls(
     aliases = groups.join(bad, "component").select("node").unionByName(blocked.select("node")).distinct()
     aliases = materialise(aliases.where(F.col("node").isNotNull()).withColumn("alias", F.lit(True)), "url-aliases")
     return (
-        pages.withColumn("__node", node_of(F.col(url)))
-        .join(decided, ["host", "path"], "left")
-        .join(aliases.withColumnRenamed("node", "__node"), "__node", "left")
-        .withColumn("verdict", F.coalesce("decision", F.when(F.col("alias"), "block"), F.lit("allow")))
-        .withColumn("by", F.when(F.col("decision").isNotNull(), "rule").when(F.col("alias"), "alias"))
-        .select(*pages.columns, "rule", "verdict", "by")
-    )
+        judged.join(decided, ["host", "path"], "left")
+        .join(aliases, "node", "left")
+        .select(
+            *[F.col("page")[c].alias(c) for c in pages.columns], "host", "path", "rule",
+            F.coalesce("decision", F.when(F.col("alias"), "block"), F.lit("allow")).alias("verdict"),
+            F.when(F.col("decision").isNotNull(), "rule").when(F.col("alias"), "alias").alias("by"),
+        )
+    )

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -193,3 +194,31 @@ def neighbours(word, words):
     changed = {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in letters}
     longer = {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
     return ((cut | changed | longer) - {word}) & words.keys()
+
+
+def battery(token, encodings):
+    """The narrowest encoding and Fisher's combined p-value of the three tests."""
+    name, alphabet = next((n, a) for n, a in encodings if set(token) <= set(a))
+    v, n, size = [alphabet.index(c) for c in token], len(token), len(alphabet)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi = size / n * sum(v.count(k) ** 2 for k in range(size)) - n
+    df = size - 1
+    z_chi = ((max(chi, 1e-9) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    above = [2 * x >= size for x in v]
+    high = sum(above)
+    runs = 1 + sum(a != b for a, b in itertools.pairwise(above))
+    expected = 2 * high * (n - high) / n + 1
+    spread = (expected - 1) * (expected - 2) / (n - 1)
+    z_runs = abs(runs - expected) / math.sqrt(spread) if spread > 0 else 12
+    mean = sum(v) / n
+    total = sum((x - mean) ** 2 for x in v)
+    z_serial = abs(sum((a - mean) * (b - mean) for a, b in itertools.pairwise(v)) / total + 1 / n) * math.sqrt(n) if total else 12
+    half = -sum(min(0, math.log(max(p, 1e-12))) for p in (tail(z_chi), 2 * tail(z_runs), 2 * tail(z_serial)))
+    return name, math.exp(-half) * (1 + half + half * half / 2)
+
+
+def evidence(token, alphabet, module):
+    """Bits of the token as ordinary text less its bits as a random string."""
+    table = module.ordinary_bits()
+    codes = [len(module.CHARACTERS), *(module.CHARACTERS.index(c) for c in token)]
+    return sum(table[a, b] for a, b in itertools.pairwise(codes)) - len(token) * math.log2(len(alphabet))

@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -202,14 +203,82 @@ def test_copies_and_ordinary_strings_do_not_hide_secrets(spark):
     got = secret_scan.scan(docs(spark, texts)).select("doc_id", "found.kind").collect()
     assert sum(r.kind == ["random"] for r in got if r.doc_id < 400) >= 380
     assert all(r.kind == ["random"] for r in got if r.doc_id >= 400)
-    # 300 ordinary strings with 100 random ones in each quarter: the step goes up, the class stays
-    steps = [k % 100 for k in range(400)] + [25 + k % 25 for k in range(300)]
-    found = spark.createDataFrame([(8, 2, k) for k in steps], "encoding int, length_class int, step int")
-    assert [45 <= r.least <= 60 for r in secret_scan.cut_offs(found).collect()] == [True]
-    # ordinary strings alone, piling up at zero
-    steps = [k for k in range(100) for _ in range(int(400 * 0.93**k))]
-    found = spark.createDataFrame([(8, 2, k) for k in steps], "encoding int, length_class int, step int")
-    assert secret_scan.cut_offs(found).count() == 0
+
+
+def stepped_up(steps, share=0.05):
+    """The least step that the step-up procedure on p-values 2 ** (-step / 4) reports, by trying all."""
+    floor = np.ceil(4 * np.log2(secret_scan.RARITY / share))
+    known = [x for x in steps if x is not None]
+    fit = [k for k in range(int(floor), 321) if 2 ** (-k / 4) * len(steps) <= share * sum(x >= k for x in known)]
+    return min(fit, default=None)
+
+
+def test_cut_offs_are_a_step_up_procedure(spark):
+    rng = random.Random(19)
+    classes = {
+        0: [None] * 50 + [rng.randrange(0, 90) for _ in range(300)],
+        1: [rng.randrange(0, 60) for _ in range(4000)] + [rng.randrange(200, 320) for _ in range(3)],
+        2: [320],
+        3: [10, 20, None],
+        4: [rng.choice([70, 80]) for _ in range(2000)] + [None] * 30000,
+    }
+    seen = spark.createDataFrame([(k, x) for k, xs in classes.items() for x in xs], "length_class int, step int")
+    expected = {k: stepped_up(xs) for k, xs in classes.items()}
+    assert secret_scan.cut_offs(seen) == {k: v for k, v in expected.items() if v is not None}
+    assert expected[3] is None and expected[2] == 58 and expected[0] is not None
+    assert secret_scan.cut_offs(seen.limit(0)) == {}
+
+
+def test_ordinary_strings_are_not_reported(spark):
+    """Many classes of ordinary strings: the share of false reports stays below the allowed rate."""
+    rng = random.Random(20)
+    syllables = ["the", "ing", "ion", "er", "an", "re", "on", "at", "en", "nd", "ti", "es", "or", "te", "of", "ed", "is", "it", "al", "ar"]
+    plain = ["".join(rng.choice(syllables) for _ in range(rng.choice([9, 12, 16, 24, 48]))) for _ in range(3000)]
+    got = secret_scan.scan(docs(spark, [f"word {x} end" for x in plain])).select("found").collect()
+    assert sum(bool(r.found) for r in got) <= 3
+
+
+def test_battery_equals_the_plain_version(spark):
+    rng = random.Random(21)
+    names = [n for n, _ in secret_scan.ENCODINGS]
+    tokens = ["".join(rng.choice(a) for _ in range(n)) for _, a in secret_scan.ENCODINGS for n in (20, 33, 64, 500)]
+    tokens += ["a" * 20, "ab" * 20, "0" * 30, "abcdefghijklmnopqrstuvwxyz", "A1" * 30 + "_", "get_user_by_id_and_name"]
+    frame = spark.createDataFrame([(x,) for x in tokens], "match string").withColumn("b", secret_scan.battery(F.col("match")))
+    frame = frame.withColumn("bits", secret_scan.evidence(F.col("match"), F.col("b.encoding")))
+    for r in frame.collect():
+        encoding, p = brute.battery(r.match, secret_scan.ENCODINGS)
+        assert names[r.b.encoding] == encoding
+        assert abs(r.b.p - p) < 2e-3
+        assert abs(r.bits - brute.evidence(r.match, dict(secret_scan.ENCODINGS)[encoding], secret_scan)) < 0.01 * len(r.match)
+
+
+def test_tokens_clear_of_other_spans(spark):
+    rng = random.Random(22)
+    rows = []
+    for _ in range(200):
+        def some(n):
+            cuts = sorted(rng.sample(range(60), 2 * n))
+            return [(a, b, "") for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        rows.append((some(rng.randint(0, 8)), some(rng.randint(0, 8))))
+    kind = secret_scan._SPANS
+    frame = spark.createDataFrame(rows, f"t {kind}, o {kind}").select("*", secret_scan.clear_of(F.col("t"), F.col("o")).alias("left"))
+    for r in frame.collect():
+        assert r.left == [t for t in r.t if not any(o.start < t.end and t.start < o.end for o in r.o)]
+
+
+def test_work_grows_with_the_text(spark):
+    """Texts of very many matches, and one token of a megabyte, within seconds."""
+    rng = random.Random(23)
+    keys = ["%024x" % rng.getrandbits(96) for _ in range(100_000)]
+    assigned = " ".join(f"token={k}" for k in keys[:30_000])
+    letters = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(1_000_000))
+    texts = [" ".join(keys), letters, assigned]
+    began = time.time()
+    got = secret_scan.scan(docs(spark, texts).coalesce(1)).orderBy("doc_id").collect()
+    assert time.time() - began < 120
+    assert [sum(x.kind == "hex" for x in r.found) for r in got] == [100_000, 0, 30_000]
+    assert [(x.start, x.end, x.kind) for x in got[1].found] == [(0, 1_000_000, "random")]
+    assert all(texts[0][x.start : x.end] == x.match for x in got[0].found[::997])
 
 
 def test_single_secrets_and_rare_classes(spark):
@@ -255,9 +324,9 @@ def test_packing_covers_every_id_once(spark):
     import public_tokenizers
 
     own = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    own.encode_special_tokens = True
     rng = random.Random(9)
-    texts = HARD + sentences(rng, 150) + ["it's <|endoftext|> don't 12345  \t\n x"]
+    special = "<|endoftext|>"
+    texts = HARD + sentences(rng, 150) + [f"it's {special} don't 12345  \t\n x", f"a {special} b", special, special * 3 + "<|endof", f" {special}\n", f"x{special}y"]
     rows = packing.pack(docs(spark, texts).coalesce(2), block_pieces=64).collect()
     pieces = defaultdict(list)
     for r in rows:
@@ -417,3 +486,104 @@ def test_pipeline_stages(spark, folder):
     want = Counter(rows[k].doc_id for k in range(len(rows)) if root[k] == k)
     assert Counter(r.doc_id for r in kept) == want + Counter([None, 10**6])
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+# --- ids and columns of any kind
+
+
+def test_a_document_of_many_rows_counts_once(spark):
+    """Ten rows of one id are one document; the query's own SQL says the same."""
+    rows = [(1, "line of one\nown 1")] * 10 + [(k, f"shared\nown {k}") for k in range(2, 12)] + [(None, "no id")] * 12
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.dedup_lines(documents).groupBy("doc_id").agg(F.sum("n_dropped").alias("n"), F.max("text").alias("text")).collect()
+    found = {r.doc_id: (r.n, r.text) for r in got}
+    assert found[1] == (0, "line of one\nown 1") and found[5] == (1, "own 5") and found[None] == (0, "no id")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r for r in rows if r[0] is not None])
+    dropped = dict(con.execute(f"SELECT doc_id, n_dropped FROM ({queries._OP10_SQL})").fetchall())
+    assert dropped == {k: n for k, (n, _) in found.items() if k is not None}
+
+
+def test_line_dedup_with_any_columns(spark):
+    names = ["__id", "row", "t", "u", "h", "g", "k", "lines", "kept", "shared", "id", "n"]
+    documents = spark.createDataFrame([(k, "same\nown") for k in range(10)], "doc_id long, text string")
+    documents = documents.withColumns({n: F.lit(n) for n in names})
+    got = line_dedup.dedup_lines(documents)
+    assert got.columns == [*documents.columns, "n_lines", "n_dropped"]
+    assert all([r[n] for n in names] == names and r.text == "" for r in got.collect())
+
+
+def test_rows_of_one_id_do_not_meet(spark):
+    """A third of the rows under one id: what meets per text is the text's own keys."""
+    rows = [(0 if k % 3 else k, f"shared\nown {k % 50}") for k in range(600)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.count() == 600
+    assert {r.n_dropped for r in got.collect()} == {1}
+
+
+@pytest.mark.parametrize("kind,ids", [("string", ["a", None, "c"]), ("int", [1, None, 3]), ("long", [1, 2, 2]), ("date", None)])
+def test_passages_with_items_of_any_id(spark, kind, ids):
+    rng = random.Random(24)
+    texts = sentences(rng, 3, 20)
+    rows = list(zip(ids, texts, strict=True)) if ids else []
+    items = spark.createDataFrame(rows, f"item_id {kind}, text string")
+    documents = spark.createDataFrame([("x", texts[0] + " and more"), ("y", "nothing of it"), (None, texts[1]), ("z", "")], "doc_id string, text string")
+    found = decontaminate.find_passages(documents.repartition(4), items)
+    assert dict(found.dtypes)["item_id"] == items.dtypes[0][1].replace("bigint", "bigint")
+    assert sorted((r.doc_id, r.item_id) for r in found.collect() if r.doc_id) == ([("x", ids[0])] if ids else [])
+    assert len([r for r in found.collect() if r.doc_id is None]) == len(rows[1:2])
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(9,0)"])
+def test_conversations_with_ids_of_any_kind_are_cut(spark, kind):
+    """One conversation over several ranges; 3,000 equal rows among them."""
+    rng = random.Random(25)
+    rows = [(7, k, rng.choice(["user", "assistant", "tool"]), f"t{k}") for k in range(3000)] + [(8, 1, "user", "same")] * 3000
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("conv_id", F.col("conv_id").cast(kind))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = chat_format.format_chats(turns.repartition(4)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for conv, given in (("7", 3000), ("8", 3000)):
+        mine = sorted((r for r in out if str(r.conv_id) == conv), key=lambda r: (r.segment, r.place))
+        asked = [r.source_role for r in mine if r.action != "insert"]
+        assert len(asked) == given and sum(r.cost for r in mine) == brute.cheapest_repair(asked)
+        assert len({r.segment for r in mine}) > 1
+        assert "".join(r.rendered for r in mine).count("<|end|>") == 1
+
+
+LINKS = [
+    ("http://a.org/x/y?q=1", '<link rel="nofollow canonical" href="?id=5">', "a.org/x/y?id=5"),
+    ("http://a.org/x/y", "<link rel='canonical  alternate' href='../z/./w'>", "a.org/z/w"),
+    ("http://a.org/x/", '<link rel="canonical" href="/p?a=1&amp;b=2&#38;c=3">', "a.org/p?a=1&b=2&c=3"),
+    ("http://a.org", '<link href="./" rel=canonical>', "a.org/"),
+    ("http://a.org/b", '<link rel="canonical" href="http://c.org/1/2/../../3/..">', "c.org/"),
+    ("http://a.org/d", '<link rel="canonical" href="go?to=http://e.org/">', "a.org/go?to=http://e.org/"),
+    ("http://a.org/e", '<link rel="non-canonical" href="/no">', None),
+    ("http://a.org/f", '<link rel="canonical" href="#top">', None),
+    ("http://a.org/g", '<link rel="canonical" href="/..//h">', "a.org//h"),
+]
+
+
+def test_links_are_resolved_as_browsers_do(spark):
+    pages = spark.createDataFrame([(u, h) for u, h, _ in LINKS], "url string, html string")
+    found = {r.url: r.node for r in url_filter.page_links(pages).select("url", url_filter.node_of(F.col("target")).alias("node")).collect()}
+    assert found == {u: n for u, _, n in LINKS if n}
+
+
+def test_blocks_follow_such_links_and_columns_may_have_any_name(spark):
+    blocked = [("http://b.net/es/", f'<link rel="canonical nofollow" href="http://{n}">') for _, _, n in LINKS if n]
+    pages = [(k, u, h) for k, (u, h) in enumerate(blocked + [(f"http://{n}", "") for _, _, n in LINKS if n] + [("http://a.org/other", "")])]
+    names = ["decision", "alias", "node", "page", "component", "rule_host", "u", "__node", "host", "verdict"]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({n: F.lit(n) for n in names})
+    got = url_filter.filter_urls(frame, url_filter.rule_table(spark, queries.URL_RULES))
+    rows = sorted(got.collect(), key=lambda r: r.page_id)
+    assert [r.verdict for r in rows] == ["block"] * (len(rows) - 1) + ["allow"]
+    assert all(r.decision == "decision" and r.alias == "alias" and r.page == "page" for r in rows)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    sql = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({queries._OP1_SQL}) ORDER BY page_id").fetchall()
+    assert sql == [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in rows]
