@@ -95,7 +95,10 @@ def _keys(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """(id, class_key, signature) of rows (id, text); both null for a text without words."""
+    """(id, digest, class_key, signature) of rows (id, text); the last two null for a text without words.
+
+    The digest is a hash of the text, by which a class finds its own text again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in at.chunks(batches):
@@ -103,12 +106,13 @@ def signatures(documents: DataFrame) -> DataFrame:
             keys, values = _keys(hashes, bounds), minhash(hashes, bounds)
             signed = [v.tobytes() if k.is_valid else None for k, v in zip(keys, values, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), keys, pa.array(signed, pa.binary())], ["id", "class_key", "signature"]
+                [batch.column("id"), batch.column("digest"), keys, pa.array(signed, pa.binary())],
+                ["id", "digest", "class_key", "signature"],
             )
 
-    source = documents.select("id", F.coalesce("text", F.lit("")).alias("text"))
+    source = documents.select("id", F.xxhash64("text").alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, class_key binary, signature binary")
+    return source.mapInArrow(run, f"id {kind}, digest long, class_key binary, signature binary")
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -261,14 +265,20 @@ def exact_links(members: DataFrame, similarity: float) -> DataFrame:
 
 
 def _shingles_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class_key, shingles) of the wanted classes (class_key, id), one row each."""
-    texts = documents.join(wanted, documents["id"].eqNullSafe(wanted["first_id"])).select("class_key", "text")
+    """(class_key, shingles) of the wanted classes (class_key, first_id, digest), one row each.
+
+    Texts are met by id and digest: rows of one id, or without one, meet only the class of their own
+    text.
+    """
+    rows = documents.select("id", F.xxhash64("text").alias("row_digest"), "text")
+    own = rows["id"].eqNullSafe(wanted["first_id"]) & (rows["row_digest"] == wanted["digest"])
+    texts = rows.join(wanted, own).select("class_key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in at.chunks(batches):
             hashes, bounds = _sets(batch.column("text"))
             keys = _keys(hashes, bounds)
-            # an id that stands on several texts brings them all; only the class's own text stays
+            # should two texts of an id ever share a digest, only the class's own text stays
             same = pc.fill_null(pc.equal(keys, batch.column("class_key")), False).to_numpy(False)
             rows = np.flatnonzero(same)
             yield pa.RecordBatch.from_arrays(
@@ -310,14 +320,19 @@ def jaccard_join(
     classes = materialise(
         signed.where(F.col("class_key").isNotNull())
         .groupBy("class_key")
-        .agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("signature").alias("signature")),
+        .agg(
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("least"),
+            F.count("*").alias("copies"),
+            F.first("signature").alias("signature"),
+        )
+        .select("class_key", F.col("least.id").alias("first_id"), "least.digest", "copies", "signature"),
         "classes",
     )
     near = connected_components(materialise(candidates(classes, similarity, tolerance), "candidates"))
     near = materialise(near.select(F.col("node").alias("class_key"), F.col("component").alias("cluster")), "clusters")
     light = classes.select("class_key", "first_id", "copies")
-    members = near.join(light, "class_key")
-    shingles = _shingles_of(source, members.select("class_key", "first_id"))
+    members = near.join(classes.select("class_key", "first_id", "digest", "copies"), "class_key")
+    shingles = _shingles_of(source, members.select("class_key", "first_id", "digest"))
     blocks = _blocks(members.select("class_key", "cluster", "copies").join(shingles, "class_key"),
                      "cluster", "class_key", CLUSTER_BLOCK)
     found = materialise(exact_links(blocks, similarity), "links")

@@ -14,16 +14,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedup import top_k_per_group
 from ..sources.tables import materialise
 from . import arrow_text as at
 
-#: Bounds: labelled texts of a language that the model is fitted on, and bytes of a piece.
+#: Bounds of the sample that the model is fitted on: texts of a language, and their bytes; the text
+#: that passes the second bound is the last.
 N_LABELLED = 400
-MAX_PIECE = 8
+SAMPLE_BYTES = 16 << 20
 ROUNDS = 4
 VOCABULARY = "piece_bpe_32k.model"
 UNKNOWN = "und"
@@ -37,7 +38,7 @@ _BITS = 20
 
 
 def pieces(path: str | None = None) -> list[bytes]:
-    """Lower-case letter pieces of the vocabulary of at most MAX_PIECE bytes; a space begins a word.
+    """All pieces of letters in the vocabulary, in lower case as the texts are; a space begins a word.
 
     Every single byte is a piece as well, so that all words have a segmentation.
     """
@@ -51,10 +52,8 @@ def pieces(path: str | None = None) -> list[bytes]:
     found = {bytes([b]) for b in range(256)}
     for k in range(model.get_piece_size()):
         piece = model.id_to_piece(k)
-        word = piece.removeprefix("▁")
-        content = piece.replace("▁", " ").encode()
-        if word and word.isalpha() and word == word.lower() and len(content) <= MAX_PIECE:
-            found.add(content)
+        if piece.removeprefix("▁").isalpha():
+            found.add(piece.replace("▁", " ").lower().encode())
     return sorted(found)
 
 
@@ -65,6 +64,7 @@ class Lookup:
     keys: np.ndarray
     ids: np.ndarray
     seen: np.ndarray  # which leading bits of a hash any key has
+    longest: int  # bytes of the longest piece
 
     @staticmethod
     def of(vocabulary: list[bytes]) -> Lookup:
@@ -76,7 +76,7 @@ class Lookup:
         order = np.argsort(keys)
         seen = np.zeros(1 << _BITS, bool)
         seen[keys >> np.uint64(64 - _BITS)] = True
-        return Lookup(keys[order], order, seen)
+        return Lookup(keys[order], order, seen, max(map(len, vocabulary)))
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the hashes that are pieces, and their ids."""
@@ -107,10 +107,10 @@ def _matches(grid: np.ndarray, lookup: Lookup) -> list[list[tuple[int, np.ndarra
     prefix = np.zeros((n + 1, len(grid)), np.uint64)
     for i in range(n):
         prefix[i + 1] = prefix[i] * _BASE + _BYTE[grid[:, i]]
-    powers = np.cumprod(np.full(MAX_PIECE + 1, _BASE, np.uint64)) if n else None
+    powers = np.cumprod(np.full(lookup.longest + 1, _BASE, np.uint64))
     out = []
     for i in range(1, n + 1):
-        out.append([(k, *lookup.find(prefix[i] - prefix[i - k] * powers[k - 1])) for k in range(1, min(i, MAX_PIECE) + 1)])
+        out.append([(k, *lookup.find(prefix[i] - prefix[i - k] * powers[k - 1])) for k in range(1, min(i, lookup.longest) + 1)])
     return out
 
 
@@ -154,7 +154,7 @@ def fit_language(texts: pa.Array, vocabulary: list[bytes], rounds: int = ROUNDS)
             back = [None] * n + [np.zeros(len(part))]
             for j in range(n - 1, -1, -1):
                 back[j] = np.full(len(part), -np.inf)
-                for i in range(j + 1, min(n, j + MAX_PIECE) + 1):
+                for i in range(j + 1, min(n, j + lookup.longest) + 1):
                     _, rows, ids = matches[i - 1][i - j - 1]
                     if len(rows):
                         back[j][rows] = np.logaddexp(back[j][rows], np.log(chances[ids, 0]) + back[i][rows])
@@ -176,15 +176,23 @@ class Model:
 def fit(labelled: DataFrame, n_labelled: int = N_LABELLED, path: str | None = None) -> Model:
     """Fits on rows (doc_id, text, lang); rows with a null lang or text are left out.
 
-    ``n_labelled`` bounds the texts of a language: those first in the order of a hash of doc_id.
-    Each language is fitted in a task of its own. The driver gets pieces x languages numbers;
-    languages are a closed set of codes.
+    ``n_labelled`` bounds the texts of a language: those first in the order of a hash of doc_id and
+    text, and of these as many as SAMPLE_BYTES hold. Each language is fitted in a task of its own. The
+    driver gets pieces x languages numbers; languages are a closed set of codes.
+
+    The hash of the last text taken is found from hashes alone; rows up to it are then cut to
+    ``n_labelled`` in each task before they are shuffled, so rows that share an id, or are equal, do
+    not gather.
     """
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    places = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("place"))
-    chosen = top_k_per_group(places, ["lang"], [F.col("place"), F.col("doc_id")], n_labelled)
-    chosen = materialise(chosen.select("doc_id", "lang").distinct(), "language-sample")
-    sample = usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).select("lang", "text")
+    placed = usable.select("lang", "text", F.xxhash64("doc_id", "text").alias("place"))
+    first = top_k_per_group(placed.select("lang", "place"), ["lang"], [F.col("place")], n_labelled)
+    limit = materialise(first.groupBy("lang").agg(F.max("place").alias("most")), "language-sample")
+    near = placed.join(limit, "lang").where("place <= most").drop("most")
+    chosen = top_k_per_group(near, ["lang"], [F.col("place")], n_labelled)
+    before = Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)) < SAMPLE_BYTES
+    sample = chosen.withColumn("taken", taken).where("taken").select("lang", "text")
     vocabulary = pieces(path)
 
     def run(table: pa.Table) -> pa.Table:

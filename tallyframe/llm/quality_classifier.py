@@ -4,7 +4,8 @@ A document is a vector of hashed term counts: shapes (runs of three character cl
 repetitions (a word that follows itself, a line seen before). TF-IDF weights and a truncated SVD,
 both fitted on a bounded sample of labelled documents, map it to a short vector. The sample's
 vectors are broadcast; every document gets its exact cosine with all of them, block by block, and
-its nearest neighbours vote with their similarity as weight.
+its nearest neighbours vote, weighted by the fourth power of their similarity, so that near ones
+outvote many that are merely of the same kind. A document of the sample is one of its own voters.
 """
 
 from __future__ import annotations

@@ -142,6 +142,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_language_id")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """A row with a null doc_id has no remainder: it is predicted, but not learned from."""
     documents = table(spark, folder, "documents")
     remainder = F.crc32(F.col("doc_id").cast("string")) % 3
     model = language_id.fit(documents.select("doc_id", "text", "lang").where(remainder != 1))

@@ -222,3 +222,12 @@ def evidence(token, alphabet, module):
     table = module.ordinary_bits()
     codes = [len(module.CHARACTERS), *(module.CHARACTERS.index(c) for c in token)]
     return sum(table[a, b] for a, b in itertools.pairwise(codes)) - len(token) * math.log2(len(alphabet))
+
+
+def segmentations(word, pieces):
+    """All ways to cut a word into pieces."""
+    if not word:
+        yield []
+    for n in range(1, len(word) + 1):
+        if word[:n] in pieces:
+            yield from ([word[:n], *rest] for rest in segmentations(word[n:], pieces))

@@ -587,3 +587,101 @@ def test_blocks_follow_such_links_and_columns_may_have_any_name(spark):
     con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
     sql = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({queries._OP1_SQL}) ORDER BY page_id").fetchall()
     assert sql == [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in rows]
+
+
+# --- fitted operators against plain versions, empty tables and ties
+
+
+def test_votes_equal_a_plain_count():
+    """The nearest voters by cosine, ties for the last place included, each with the fourth power of it."""
+    rng = np.random.default_rng(26)
+    voters = quality_classifier._unit(rng.normal(size=(60, 5)).astype(np.float32))
+    voters[40:] = voters[:20]  # ties
+    labels = rng.integers(0, 2, 60).astype(np.float32)
+    model = quality_classifier.Model(np.ones(1), np.ones((1, 1)), voters, labels, 7)
+    vectors = quality_classifier._unit(rng.normal(size=(50, 5)).astype(np.float32))
+    vectors[0] = 0
+    for x, score in zip(vectors, model.scores(vectors), strict=True):
+        cosine = [float(x @ v) for v in voters]
+        last = sorted(cosine)[-7]
+        votes = [(max(c, 1e-3) ** 4, y) for c, y in zip(cosine, labels, strict=True) if c >= last - 1e-6]
+        assert abs(score - sum(w * y for w, y in votes) / sum(w for w, _ in votes)) < 1e-4
+
+
+def test_quality_of_empty_tables_and_ties(spark):
+    documents, labels = docs(spark, ["good words here", "good words here", ""]), "doc_id long, label int"
+    none = quality_classifier.fit(documents, spark.createDataFrame([], labels))
+    assert [r.score for r in quality_classifier.score(documents, none).collect()] == [0.5] * 3
+    assert quality_classifier.score(docs(spark, []), none).count() == 0
+    both = quality_classifier.fit(documents, spark.createDataFrame([(0, 1), (1, 0), (None, 1), (2, None)], labels))
+    assert [round(r.score, 3) for r in quality_classifier.score(documents, both).collect()[:2]] == [0.5, 0.5]
+    assert quality_classifier.fit(docs(spark, []), spark.createDataFrame([(0, 1)], labels)).labels.size == 0
+
+
+def test_languages_of_empty_tables_and_ties(spark):
+    none = language_id.fit(docs(spark, []).select("doc_id", "text", "lang"))
+    assert [(r.lang_pred, r.score) for r in language_id.predict(docs(spark, ["some text", None]), none).collect()] == [("und", 0.0)] * 2
+    same = spark.createDataFrame([(k, "equal words in both", x) for k in range(4) for x in ("bb", "aa")], "doc_id long, text string, lang string")
+    found = language_id.predict(docs(spark, ["equal words"]), language_id.fit(same)).first()
+    assert (found.lang_pred, found.score) == ("aa", 0.5)
+
+
+def test_the_sample_of_a_language_is_bounded(spark, monkeypatch):
+    """A third of the rows are one row, and texts are long: the first by hash, up to a number and a size."""
+    rows = [(0, "copied text " * 50, "en")] * 300 + [(k, f"own text {k} " * 50, "en") for k in range(600)] + [(1, "auch kurz", "de")]
+    seen = []
+    monkeypatch.setattr(language_id, "fit_language", lambda texts, vocabulary: np.full(len(vocabulary), float(len(texts))))
+    monkeypatch.setattr(language_id, "SAMPLE_BYTES", 6000)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    few = language_id.fit(frame, n_labelled=400)
+    assert few.languages == ["de", "en"] and few.chances[0, 0] == 1 and 9 <= few.chances[0, 1] <= 12
+    monkeypatch.setattr(language_id, "SAMPLE_BYTES", 10**9)
+    seen = language_id.fit(frame, n_labelled=20).chances[0]
+    assert seen.tolist() == [1, 20]
+
+
+def test_pieces_are_the_whole_vocabulary():
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(language_id.VOCABULARY))
+    found = set(language_id.pieces())
+    names = [model.id_to_piece(k) for k in range(model.get_piece_size())]
+    assert all(n.replace("▁", " ").lower().encode() in found for n in names if n.removeprefix("▁").isalpha())
+    lookup = language_id.Lookup.of(sorted(found))
+    assert lookup.longest == max(map(len, found)) > 12
+
+
+def test_expectation_equals_all_segmentations():
+    """One round of the fitting against sums over every way to cut each word."""
+    vocabulary = sorted({bytes([b]) for b in range(256)} | {b" a", b"ab", b"abc", b" abc", b"bc", b"c"})
+    import pyarrow as pa
+
+    texts = pa.array(["abc ab", "abc", "cab"])
+    found = language_id.fit_language(texts, vocabulary, rounds=1)
+    expected = {p: 0.01 for p in vocabulary}
+    for word in (b" abc", b" ab", b" abc", b" cab"):
+        ways = list(brute.segmentations(word, set(vocabulary)))
+        weights = [len(vocabulary) ** -len(w) for w in ways]
+        for way, weight in zip(ways, weights, strict=True):
+            for p in way:
+                expected[p] += weight / sum(weights)
+    total = sum(expected.values())
+    assert np.allclose(found, [expected[p] / total for p in vocabulary])
+
+
+def test_many_rows_of_one_id_meet_their_own_class(spark):
+    """Different texts without an id, and under one id: links as between any rows."""
+    rng = random.Random(27)
+    base = sentences(rng, 1, 80)[0]
+    texts = [edited(rng, base, 1) for _ in range(60)] + sentences(rng, 20)
+    ids = [None] * 40 + [7] * 20 + [None, 7] * 10
+    rows = jaccard_join.jaccard_join(docs(spark, texts, ids)).collect()
+    linked = brute.links(texts)
+    assert sorted((r.doc_id is None, r.n_links) for r in rows) == sorted((i is None, len(x)) for i, x in zip(ids, linked, strict=True))
+    assert {r.class_id for r in rows if r.n_links} == {7}
+    plan = jaccard_join._shingles_of(
+        docs(spark, texts, ids).select(F.col("doc_id").alias("id"), "text"),
+        spark.createDataFrame([(b"k", 7, 1)], "class_key binary, first_id long, digest long"),
+    )._jdf.queryExecution().optimizedPlan().toString()
+    assert "digest" in plan.split("Join")[1].splitlines()[0]
