@@ -95,7 +95,8 @@ def _held(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _pair_keys(c: _Chunk, places: np.ndarray) -> np.ndarray:
-    return at.mixed(c.keys[places] * _ODD[0] + c.keys[places + 1] * _ODD[1])
+    """Five bytes of hash, to keep the shuffle short: pairs that share one count as frequent together, which loses nothing."""
+    return at.mixed(c.keys[places] * _ODD[0] + c.keys[places + 1] * _ODD[1]) & np.uint64((1 << 40) - 1)
 
 
 def _grams(c: _Chunk, linked: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,18 +172,23 @@ def build_graph(
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in at.chunks(batches):
             c = _chunk(batch)
-            keys, first, n = np.unique(c.keys, return_index=True, return_counts=True)
-            yield _batch(lang=c.lang_of(first), word=c.text(first).cast(pa.string()), key=pa.array(keys.view(np.int64)), n=pa.array(n))
+            _, first, n = np.unique(c.keys, return_index=True, return_counts=True)
+            yield _batch(lang=c.lang_of(first), word=c.text(first).cast(pa.string()), n=pa.array(n, pa.int64()))
             all_words = np.bincount(c.lang, minlength=len(c.langs))
-            none = len(c.langs)
-            yield _batch(lang=pa.array(c.langs, pa.string()), word=pa.nulls(none, pa.string()),
-                         key=pa.nulls(none, pa.int64()), n=pa.array(all_words, pa.int64()))
+            yield _batch(lang=pa.array(c.langs, pa.string()), word=pa.nulls(len(c.langs), pa.string()),
+                         n=pa.array(all_words, pa.int64()))
 
-    counted = source.mapInArrow(count_words, "lang string, word string, key long, n long")
-    counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.min("key").alias("key"))
+    counted = source.mapInArrow(count_words, "lang string, word string, n long")
+    counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = materialise(counted.where(F.col("word").isNull() | (F.col("n") >= min_count)), "words")
     words = counted.where("word IS NOT NULL")
-    frequent = spark.sparkContext.broadcast(bit_table(spark, words))
+
+    def word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in at.chunks(batches):
+            yield _batch(key=pa.array(_chunk(batch).keys.view(np.int64)))
+
+    keys = words.select(F.col("word").alias("text"), "lang").mapInArrow(word_keys, "key long")
+    frequent = spark.sparkContext.broadcast(bit_table(spark, keys))
 
     def linked_words(c: _Chunk) -> np.ndarray:
         held = _held(frequent.value, c.keys)
