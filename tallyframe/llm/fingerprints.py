@@ -58,11 +58,16 @@ def digests(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def encoded(codes: np.ndarray) -> list[str]:
-    """Digests as lower-case hex: two digits of length, then four buckets in two digits."""
+def packed(codes: np.ndarray) -> list[bytes]:
+    """Digests as bytes: one of length, then four buckets in each."""
     four = codes[:, 1:].reshape(len(codes), -1, 4)
-    packed = (four[:, :, 0] << 6) | (four[:, :, 1] << 4) | (four[:, :, 2] << 2) | four[:, :, 3]
-    return [bytes(x).hex() for x in np.concatenate([codes[:, :1], packed], axis=1)]
+    quads = (four[:, :, 0] << 6) | (four[:, :, 1] << 4) | (four[:, :, 2] << 2) | four[:, :, 3]
+    return [x.tobytes() for x in np.concatenate([codes[:, :1], quads], axis=1)]
+
+
+def encoded(codes: np.ndarray) -> list[str]:
+    """Digests as lower-case hex."""
+    return [x.hex() for x in packed(codes)]
 
 
 def decoded(fingerprint: str) -> np.ndarray:
@@ -106,8 +111,10 @@ def fingerprint(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.mapInArrow(run, schema)
 
 
-_RESULT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Hashes and digests are written as bytes, half as long as in hex.
+_RESULT = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _NAMES = [x.split()[0] for x in _RESULT.split(", ")]
+_KINDS = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
 
 
 def _digests_of(texts: list[str]) -> np.ndarray:
@@ -119,9 +126,9 @@ def _compared(texts: list[str], codes: np.ndarray, following: list[str], next_co
     edited_codes = _digests_of(changed)
     return [
         pa.array([len(x) for x in texts], pa.int64()),
-        pa.array([hashlib.sha256(x.encode()).hexdigest() for x in changed], pa.string()),
-        pa.array(encoded(codes), pa.string()),
-        pa.array(encoded(edited_codes), pa.string()),
+        pa.array([hashlib.sha256(x.encode()).digest() for x in changed], pa.binary()),
+        pa.array(packed(codes), pa.binary()),
+        pa.array(packed(edited_codes), pa.binary()),
         pa.array(likeness(codes, edited_codes), pa.float64()),
         pa.array(likeness(codes, next_codes), pa.float64()),
     ]
@@ -153,7 +160,7 @@ def compare_with_next(documents: DataFrame, text: str = "text", doc_id: str = "d
         part, last = TaskContext.get().partitionId(), None
 
         def edge(name: str, doc: pa.Array, content: str) -> pa.RecordBatch:
-            none = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
+            none = [pa.nulls(1, t) for t in _KINDS]
             arrays = [doc, *none, pa.array([name]), pa.array([part], pa.int32()), pa.array([content], pa.string())]
             return pa.RecordBatch.from_arrays(arrays, ["doc_id", *_NAMES, "edge", "part", "text"])
 
@@ -195,4 +202,6 @@ def compare_with_next(documents: DataFrame, text: str = "text", doc_id: str = "d
         rows.where("edge = 'last'").select("doc_id", "text", "part").join(ring, "part")
         .join(heads.withColumnRenamed("part", "then"), "then").select("doc_id", "text", "following")
     )
-    return rows.where("edge IS NULL").select("doc_id", *_NAMES).unionByName(met.mapInArrow(across, f"doc_id {kind}, {_RESULT}"))
+    out = rows.where("edge IS NULL").select("doc_id", *_NAMES).unionByName(met.mapInArrow(across, f"doc_id {kind}, {_RESULT}"))
+    hexed = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return out.select("doc_id", *[F.lower(F.hex(c)).alias(c) if c in hexed else F.col(c) for c in _NAMES])
