@@ -115,20 +115,22 @@ def pack_items(
     facts: DataFrame,
     key: Sequence[str],
     item: Column,
-    n_parts: int = 1,
+    n_parts: int | None = 1,
     spread: Column | None = None,
     copies: str = "copies",
 ) -> DataFrame:
-    """The distinct items of an entity in ``n_parts`` arrays: rows (key, part, items).
+    """The distinct items of an entity in several arrays: rows (key, part, items).
 
     ``item`` is a struct; it gets a last field ``copies``, the number of its repetitions. Repetitions
     are counted before the shuffle, so they neither travel nor fill an array. An item lies in the
     part that ``spread``, an integer over the columns of ``facts``, names modulo ``n_parts`` (by
-    default the hash of the item). The caller chooses ``n_parts`` by the size of the largest
-    entity; it holds for all entities alike. Parts without items have no row.
+    default the hash of the item). With ``n_parts`` None the part is ``spread`` itself: where it
+    numbers ranges of the items' keys, no array outgrows its range, however large an entity gets.
+    Parts without items have no row.
     """
     key = list(key)
-    place = F.pmod(F.xxhash64(item) if spread is None else spread, F.lit(n_parts)).cast("int")
+    place = F.xxhash64(item) if spread is None else spread
+    place = place.cast("long") if n_parts is None else F.pmod(place, F.lit(n_parts)).cast("long")
     counted = (
         facts.where(has_all(key))
         .select(*key, place.alias("part"), item.alias("__item"))
@@ -140,13 +142,11 @@ def pack_items(
     )
 
 
-def _in_parts(
-    entities: DataFrame, items: DataFrame, key: Sequence[str], n_parts: int
-) -> DataFrame:
-    """Every entity once for each part, with the part's items or none."""
-    every = entities.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
-    joined = every.join(items, [*key, "part"], "left")
+def _with_own_parts(entities: DataFrame, items: DataFrame, key: Sequence[str], n_parts: int | None) -> DataFrame:
+    """(key, part, items): all ``n_parts`` of every entity, or part 0 and those that have items."""
+    parts = F.explode(F.sequence(F.lit(0), F.lit((n_parts or 1) - 1)).cast("array<long>"))
     empty = F.array().cast(items.schema["items"].dataType)
+    joined = entities.select(*key, parts.alias("part")).join(items, [*key, "part"], "full_outer")
     return joined.withColumn("items", F.coalesce(F.col("items"), empty))
 
 
@@ -163,42 +163,44 @@ def cumulate_grouped(
     history: str,
     classify: tuple[str, Callable[[Column], Column]],
     active: str,
-    n_parts: int = 1,
+    n_parts: int | None = 1,
     spread: Column | None = None,
 ) -> DataFrame:
     """One step of a history to which an entity adds *all* its facts of the period.
 
     The class comes from the average of ``metric`` over those facts; attributes keep their first
-    value. The state has ``n_parts`` rows for each entity, see :func:`pack_items`: the history is
-    spread over them, and class, activity and attributes stand on each. ``n_parts`` and
-    ``spread`` must stay the same from step to step.
+    value. The history is spread over parts, see :func:`pack_items`: an entity has ``n_parts`` rows, or,
+    where that is None, one for part 0 and one for each part with items. Class, activity and attributes
+    stand on each. ``n_parts`` and ``spread`` must stay the same from step to step.
     """
     key, attrs = list(key), list(attrs)
     name, rule = classify
-    entities = facts.where(has_all(key)).groupBy(*key).agg(
+    today = facts.where(has_all(key)).groupBy(*key).agg(
         F.avg(F.col(metric).cast("double")).alias("__avg"), *[F.max(a).alias(f"__t_{a}") for a in attrs]
     )
-    items = pack_items(facts, key, item, n_parts, spread)
-    t = (
-        _in_parts(entities, items, key, n_parts)
-        .withColumnRenamed("items", "__items")
-        .withColumn(_PRESENT, F.lit(True))
-    )
-    y = prev.where(has_all(key)).select(*key, "part", *attrs, history, name, period_name)
+    items = _with_own_parts(today, pack_items(facts, key, item, n_parts, spread), key, n_parts)
+    before = prev.where(has_all(key))
     here = F.col(_PRESENT).isNotNull()
+    # what stands on every part comes from part 0, which is always there
+    entities = (
+        before.where("part = 0").select(*key, *attrs, name, period_name)
+        .join(today.withColumn(_PRESENT, F.lit(True)), key, "full_outer")
+        .select(
+            *key,
+            *[F.coalesce(F.col(a), F.col(f"__t_{a}")).alias(a) for a in attrs],
+            F.when(here, rule(F.col("__avg"))).otherwise(F.col(name)).alias(name),
+            here.alias(active),
+            F.when(here, F.lit(period)).otherwise(F.col(period_name) + 1).alias(period_name),
+        )
+    )
     grown = (
-        F.when(~here, F.col(history))
-        .when(F.col(history).isNull(), F.col("__items"))
-        .otherwise(F.concat(F.col(history), F.col("__items")))
+        F.when(F.col("items").isNull(), F.col(history))
+        .when(F.col(history).isNull(), F.col("items"))
+        .otherwise(F.concat(F.col(history), F.col("items")))
     )
-    return y.join(t, [*key, "part"], "full_outer").select(
-        *key,
-        "part",
-        *[F.coalesce(F.col(a), F.col(f"__t_{a}")).alias(a) for a in attrs],
-        grown.alias(history),
-        F.when(here, rule(F.col("__avg"))).otherwise(F.col(name)).alias(name),
-        here.alias(active),
-        F.when(here, F.lit(period)).otherwise(F.col(period_name) + 1).alias(period_name),
+    parts = before.select(*key, "part", history).join(items, [*key, "part"], "full_outer")
+    return parts.select(*key, "part", grown.alias(history)).join(entities, key).select(
+        *key, "part", *attrs, history, name, active, period_name
     )
 
 
@@ -214,7 +216,7 @@ def build_grouped(
     history: str,
     classify: tuple[str, Callable[[Column], Column]],
     active: str,
-    n_parts: int = 1,
+    n_parts: int | None = 1,
     spread: Column | None = None,
 ) -> DataFrame:
     """The state after ``through`` in one pass, equal to :func:`cumulate_grouped` step by step.
@@ -239,7 +241,7 @@ def build_grouped(
             *[F.min_by(a, F.when(F.col(a).isNotNull(), F.col(period))).alias(a) for a in attrs],
         )
     )
-    return _in_parts(entities, items, key, n_parts).select(
+    return _with_own_parts(entities, items, key, n_parts).join(entities, key).select(
         *key,
         "part",
         *attrs,

@@ -172,55 +172,47 @@ def order_class() -> tuple:
     return "order_class", lambda avg: class_by_thresholds(avg, ORDER_STEPS, "bad")
 
 
-N_PARTS = 4
+#: Order keys in one part of a history: an array holds as many orders at most.
+PART_KEYS = 1000
 
 
-def grouped_state(spark: SparkSession, folder: str, n_parts: int = N_PARTS) -> DataFrame:
-    """Order keys run on, so their remainder spreads a large customer's orders evenly."""
-    spread = F.col("o_orderkey")
+def grouped_state(spark: SparkSession, folder: str, part_keys: int = PART_KEYS) -> DataFrame:
+    """A customer's orders lie in parts by ranges of their keys, so no array grows with the table."""
+    spread = F.floor(F.col("o_orderkey") / part_keys)
     first, last = years_of(spark, folder)
     prev = build_grouped(
         orders_of(spark, folder, first, last - 1), KEY, ATTRS, order_item(),
         metric="cents", period="year", through=last - 1, history="orders",
-        classify=order_class(), active="is_active", n_parts=n_parts, spread=spread,
+        classify=order_class(), active="is_active", n_parts=None, spread=spread,
     )
     return cumulate_grouped(
         prev, orders_of(spark, folder, last, last), KEY, ATTRS, order_item(),
         metric="cents", period=last, period_name="year", history="orders",
-        classify=order_class(), active="is_active", n_parts=n_parts, spread=spread,
+        classify=order_class(), active="is_active", n_parts=None, spread=spread,
     )
 
 
 @query(
     "cumulative_grouped",
     """
-WITH RECURSIVE o AS (
-  SELECT o_custkey, o_orderkey, year(o_orderdate) AS y, o_orderpriority AS p,
+WITH o AS (
+  SELECT o_custkey, o_orderkey, o_orderkey // 1000 AS part, year(o_orderdate) AS y, o_orderpriority AS p,
          CAST(round(o_totalprice * 100) AS BIGINT) AS cents
   FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL),
 yearly AS (SELECT o_custkey, y, avg(cents) AS av, max(p) AS p FROM o GROUP BY ALL),
-placed AS (
-  SELECT o_custkey, y, part,
-         coalesce(string_agg(o_orderkey || ':' || cents || ':1', ';' ORDER BY o_orderkey)
-                  FILTER (o_orderkey % 4 = part), '') AS orders
-  FROM o, range(4) AS parts(part) GROUP BY ALL),
-fold AS (
-  SELECT (SELECT min(y) - 1 FROM o) AS y, CAST(NULL AS BIGINT) AS o_custkey, CAST(NULL AS BIGINT) AS part,
-         CAST(NULL AS VARCHAR) AS priority, '' AS orders, CAST(NULL AS DOUBLE) AS av, FALSE AS is_active
-  UNION ALL
-  SELECT g.y, coalesce(f.o_custkey, t.o_custkey), coalesce(f.part, t.part), coalesce(f.priority, t.p),
-         concat_ws(';', nullif(f.orders, ''), nullif(t.orders, '')), coalesce(t.av, f.av), t.o_custkey IS NOT NULL
-  FROM (SELECT DISTINCT y + 1 AS y FROM fold WHERE y < (SELECT max(y) FROM o)) g
-  CROSS JOIN ((SELECT * FROM fold WHERE o_custkey IS NOT NULL) f
-    FULL JOIN (SELECT * FROM placed JOIN yearly USING (o_custkey, y)
-               WHERE y = (SELECT max(y) + 1 FROM fold)) t
-    ON f.o_custkey = t.o_custkey AND f.part = t.part)
-  WHERE coalesce(f.o_custkey, t.o_custkey) IS NOT NULL)
-SELECT o_custkey, part, priority, orders,
+whole AS (
+  SELECT o_custkey, arg_min(p, y) FILTER (p IS NOT NULL) AS priority, arg_max(av, y) AS av,
+         max(y) = (SELECT max(y) FROM o) AS is_active
+  FROM yearly GROUP BY o_custkey),
+parts AS (SELECT o_custkey, part FROM o UNION SELECT o_custkey, 0 FROM o),
+listed AS (
+  SELECT o_custkey, part, string_agg(o_orderkey || ':' || cents || ':1', ';' ORDER BY y, o_orderkey) AS orders
+  FROM o GROUP BY ALL)
+SELECT o_custkey, part, priority, coalesce(orders, '') AS orders,
        CASE WHEN av > 35000000 THEN 'star' WHEN av > 25000000 THEN 'good'
             WHEN av > 15000000 THEN 'average' ELSE 'bad' END AS order_class,
-       is_active, y AS year
-FROM fold WHERE y = (SELECT max(y) FROM o)
+       is_active, (SELECT max(y) FROM o) AS year
+FROM parts JOIN whole USING (o_custkey) LEFT JOIN listed USING (o_custkey, part)
 """,
 )
 def cumulative_grouped(spark: SparkSession, folder: str) -> DataFrame:

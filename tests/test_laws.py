@@ -88,7 +88,7 @@ def test_history_steps_equal_build(spark, seasons):
     assert content(state) == content(whole)
 
 
-@pytest.mark.parametrize("n_parts", [1, 5])
+@pytest.mark.parametrize("n_parts", [1, 5, None])
 def test_grouped_steps_equal_build(spark, seasons, n_parts):
     """All columns, with attributes that change; also with histories spread over parts."""
     films = seasons.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(4)))).withColumn(
@@ -96,19 +96,20 @@ def test_grouped_steps_equal_build(spark, seasons, n_parts):
     )
     rule = ("class", lambda a: class_by_thresholds(a, [(20, "star"), (10, "good")], "bad"))
     item = F.struct("season", "n", "rating")
+    spread = F.floor(F.col("n") / 3) + 7 if n_parts is None else None
     state = empty_state(
-        spark, "name string, part int, college string, class string, active boolean, season int, "
+        spark, "name string, part long, college string, class string, active boolean, season int, "
         "films array<struct<season:int,n:int,rating:double,copies:long>>",
     )
     for year in YEARS:
         state = saved(cumulate_grouped(
             state, films.where(F.col("season") == year), ["name"], ["college"], item,
             metric="rating", period=year, period_name="season", history="films",
-            classify=rule, active="active", n_parts=n_parts,
+            classify=rule, active="active", n_parts=n_parts, spread=spread,
         ))
     whole = build_grouped(
         films, ["name"], ["college"], item, metric="rating", period="season",
-        through=YEARS[-1], history="films", classify=rule, active="active", n_parts=n_parts,
+        through=YEARS[-1], history="films", classify=rule, active="active", n_parts=n_parts, spread=spread,
     )
     columns = sorted(state.columns)
     assert content(state.select(columns)) == content(whole.select(columns))

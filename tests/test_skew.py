@@ -46,6 +46,16 @@ def test_a_hot_entity_is_packed_in_parts_and_keeps_all_items(spark, facts):
     assert packed.select(F.inline("items")).distinct().count() == N
 
 
+def test_arrays_of_a_hot_entity_do_not_grow_with_the_table(spark, facts):
+    """Parts are ranges of the items' keys: a hundred times the rows are a hundred times the parts."""
+    largest = []
+    for n in (N, 100 * N):
+        rows = spark.range(n).select(hot().alias("k"), F.col("id").alias("v"))
+        packed = pack_items(rows, ["k"], F.struct("v"), n_parts=None, spread=F.floor(F.col("v") / 300))
+        largest.append(packed.agg(F.max(F.size("items"))).first()[0])
+    assert largest == [100, 100]
+
+
 def test_copies_of_one_item_are_one_element(spark, facts):
     """A third of all rows are the same item of the same entity."""
     packed = pack_items(facts, ["k"], F.struct("k"), n_parts=20)

@@ -51,17 +51,17 @@ def plan(df):
 @pytest.fixture(scope="module")
 def hits(spark):
     rng = random.Random(2)
-    days = [dt.date(2023, 11, 20) + dt.timedelta(days=n) for n in range(120)]
+    days = [dt.date(2023, 12, 28) + dt.timedelta(days=n) for n in range(50)]
     data = [(rng.choice(["a", "b", "c", None]), rng.choice([*days, None]), rng.randint(1, 3), rng.choice([1, None])) for _ in range(300)]
     return spark.createDataFrame(data, "host string, day date, n int, m int")
 
 
 def test_all_months_equal_daily_steps(spark, hits):
-    through = dt.date(2024, 3, 5)
+    through = dt.date(2024, 2, 5)
     metrics = {"hits": "n", "others": "m"}
     state = empty_state(spark, "host string, month date, hits array<long>, others array<long>")
     daily = hits.groupBy("host", "day").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).where("day IS NOT NULL")
-    day = dt.date(2023, 11, 20)
+    day = dt.date(2023, 12, 28)
     months = []
     while day <= through:
         if day.day == 1:
@@ -74,11 +74,11 @@ def test_all_months_equal_daily_steps(spark, hits):
     expected = {(r.host, r.month): (r.hits, r.others) for r in state.collect()}
     found = {(r.host, r.month): (r.hits, r.others) for r in build_months(hits, ["host"], "day", through, metrics).collect()}
     assert found == expected
-    assert {len(found["a", m][0]) for m in (dt.date(2023, 12, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1))} == {31, 29, 5}
+    assert [len(found["a", dt.date(y, m, 1)][0]) for y, m in ((2023, 12), (2024, 1), (2024, 2))] == [31, 31, 5]
 
 
 def test_months_are_one_grouping_whatever_their_number(spark, hits):
-    months = build_months(hits, ["host"], "day", dt.date(2024, 3, 5), {"hits": "n"})
+    months = build_months(hits, ["host"], "day", dt.date(2024, 2, 5), {"hits": "n"})
     text = plan(months)
     assert text.count("Exchange ") == 1 and "partial_sum" in text.split("Exchange ")[1]
     assert "Union" not in text and "Join" not in text
