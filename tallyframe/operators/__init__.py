@@ -39,7 +39,7 @@ from .layout import (
 from .monthly import array_length_histogram, build_monthly, build_months, reduce_monthly, unpack_monthly
 from .scd import scd2_build, scd2_merge, scd2_step
 from .sessions import session_stats, session_stats_by_host, sessionize
-from .skew import heavy_keys, spread_join
+from .skew import dealt, heavy_keys, sorted_in, spread_join, task_count
 
 __all__ = [
     "ACTIVITY_MASKS",
@@ -66,6 +66,7 @@ __all__ = [
     "datelist_int",
     "datelist_words",
     "days_between",
+    "dealt",
     "dedup",
     "duplicate_keys",
     "edges",
@@ -92,7 +93,9 @@ __all__ = [
     "session_stats",
     "session_stats_by_host",
     "sessionize",
+    "sorted_in",
     "spread_join",
+    "task_count",
     "top_k_per_group",
     "top_n",
     "unnest_history",

@@ -1,4 +1,4 @@
-"""Joins whose heavy keys are found in the data and spread, without adaptive execution."""
+"""Joins whose heavy keys are found in the data and spread, and rows dealt over tasks by their number."""
 
 from __future__ import annotations
 
@@ -10,6 +10,34 @@ from pyspark.sql import functions as F
 #: Share of the rows from which a key counts as heavy, keys that the sketch tracks, and tasks that a
 #: heavy key is spread over for each of these shares.
 HEAVY_SHARE, TRACKED = 0.005, 20_000
+#: Rows that one task sorts or adds up.
+TASK_ROWS = 500_000
+
+
+def task_count(df: DataFrame, n_rows: int) -> int:
+    """Tasks of about ``TASK_ROWS`` rows each; fewer rows than that are one task."""
+    wanted = -(-n_rows // TASK_ROWS)
+    return max(wanted, df.sparkSession.sparkContext.defaultParallelism) if wanted > 1 else 1
+
+
+def dealt(df: DataFrame, n_tasks: int, *keys: Column | str) -> DataFrame:
+    """``df`` dealt by ``keys`` over ``n_tasks`` tasks; for one task Spark's own number is left.
+
+    Adaptive execution joins partitions up to a number of compressed bytes and at first only down to
+    the number of cores, so rows with few bytes meet by the million in one task. A number that is
+    given stays, and with :func:`task_count` the memory of a task does not grow with the table.
+    """
+    return df.repartition(n_tasks, *keys) if n_tasks > 1 else df
+
+
+def sorted_in(df: DataFrame, n_tasks: int, order: Sequence[Column]) -> DataFrame:
+    """``df`` in the given order, cut into ``n_tasks`` ranges; for one task Spark's own number is left.
+
+    The other columns follow where the ranges are cut, so rows that tie need not be one task.
+    """
+    if n_tasks == 1:
+        return df.orderBy(*order)
+    return df.repartitionByRange(n_tasks, *order, *df.columns).sortWithinPartitions(*order)
 
 
 def _hashed(key: Sequence[str]) -> Column:

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
+    dealt,
     grouping_sets_totals,
     growth_states,
     longest_streak,
     rolling_max_count,
+    sorted_in,
     spread_join,
+    task_count,
     top_k_per_group,
     top_n,
     unpivot_sides,
@@ -74,13 +77,14 @@ def order_results(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def line_results(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their season, day, points and win."""
+def line_results(spark: SparkSession, folder: str, n_tasks: int = 1) -> DataFrame:
+    """Order lines with their season, day, points and win; orders are dealt over ``n_tasks`` tasks."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_partkey", "l_linestatus",
         F.coalesce(F.col("l_quantity").cast("long"), F.lit(0)).alias("quantity"),
     )
-    return lines.join(order_results(spark, folder), "l_orderkey").withColumn(
+    orders = dealt(order_results(spark, folder), n_tasks, "l_orderkey")
+    return dealt(lines, n_tasks, "l_orderkey").join(orders, "l_orderkey").withColumn(
         "win", win_flag("l_linestatus", "home_side", "home_wins")
     )
 
@@ -109,16 +113,16 @@ FROM results
 GROUP BY GROUPING SETS ((l_suppkey, l_partkey), (season, l_partkey), (l_suppkey))""",
 )
 def season_dashboard(spark: SparkSession, folder: str) -> DataFrame:
+    n_tasks = task_count(lines := table(spark, folder, "lineitem"), lines.count())
     out = grouping_sets_totals(
-        line_results(spark, folder),
+        line_results(spark, folder, n_tasks),
         ["season", "l_suppkey", "l_partkey"],
         [["l_suppkey", "l_partkey"], ["season", "l_partkey"], ["l_suppkey"]],
         {"points": "quantity"},
         {"win_counts": ("l_orderkey", "win")},
     )
-    return out.withColumn("grp_id", F.col("grp_id").cast("long")).orderBy(
-        "grp_id", F.col("points").desc_nulls_first(), F.col("win_counts").desc_nulls_first()
-    )
+    order = [F.col("grp_id"), F.col("points").desc_nulls_first(), F.col("win_counts").desc_nulls_first()]
+    return sorted_in(out.withColumn("grp_id", F.col("grp_id").cast("long")), n_tasks, order)
 
 
 @query(
