@@ -147,6 +147,7 @@ def player_edges(details: DataFrame, same_team: bool) -> DataFrame:
         ("b", "player"),
         "shares_team" if same_team else "plays_against",
         {"num_games": "n_events", "subject_points": "a_amount", "object_points": "b_amount"},
+        unique=True,  # pairs of one kind
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import has_all, json_object
 from .dedup import dedup
+from .skew import dealt, task_count
 
 
 def vertices(
@@ -28,12 +29,13 @@ def edges(
     obj: tuple[str, str],
     kind: str,
     props: dict[str, Column | str],
+    unique: bool = False,
 ) -> DataFrame:
-    """One edge per (subject, object) pair of ``df``, which may hold duplicates.
+    """One edge per (subject, object) pair of ``df``, which may hold duplicates unless it is ``unique``.
 
     ``subject`` and ``obj`` are pairs of a column and a vertex type.
     """
-    once = dedup(df, [subject[0], obj[0]])
+    once = df if unique else dedup(df, [subject[0], obj[0]])
     return once.select(
         F.col(subject[0]).cast("string").alias("subject_identifier"),
         F.lit(subject[1]).alias("subject_type"),
@@ -87,8 +89,11 @@ def member_pairs(
 
     An event with more than ``block`` members is dealt into blocks, and each pair of blocks is a cell
     of its own: a cell holds some 2 * ``block`` members, and an event with very many is as many tasks
-    as it has cells. Pairs are added up within each task before they are shuffled.
+    as it has cells. The cells are dealt over tasks by the number of facts, which are counted first, so
+    neither the cells nor the pairs of a task grow with the table. Pairs are added up within each task
+    before they are shuffled.
     """
+    n_tasks = task_count(facts, facts.count())
     once = dedup(facts.select(event, member, group, amount).where(has_all([event, member])), [event, member])
     rows = once.select(
         F.col(event).alias("e"), F.col(member).alias("m"), F.col(group).alias("g"), F.col(amount).alias("x")
@@ -96,15 +101,15 @@ def member_pairs(
     # the number of members is combined before the shuffle; only events of several blocks are listed
     large = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
     blocks = F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("int")
-    cells = (
+    placed = (
         rows.join(large, "e", "left")
         .withColumn("blocks", blocks)
         .withColumn("mine", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("e", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"),
                 F.struct("m", "g", "x", "mine").alias("r"))
-        .groupBy("e", "p", "q").agg(F.collect_list("r").alias("rs"))
     )
+    cells = dealt(placed, n_tasks, "e", "p", "q").groupBy("e", "p", "q").agg(F.collect_list("r").alias("rs"))
 
     def pairs(left: Column, right: Column, ordered: bool) -> Column:
         """All (low, high) of the two lists; of a list with itself, each pair once."""

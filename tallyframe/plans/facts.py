@@ -241,6 +241,7 @@ def pair_edges(spark: SparkSession, folder: str, same: bool, name: str) -> DataF
     return edges(
         pairs.where(F.col("same_group") == same), ("a", "part"), ("b", "part"), name,
         {"num_orders": "n_events", "subject_quantity": "a_amount", "object_quantity": "b_amount"},
+        unique=True,  # pairs of one kind
     )
 
 

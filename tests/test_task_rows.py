@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from compare import duckdb_result, spark_result
-from tallyframe.operators import skew, sorted_in, task_count
+from tallyframe.operators import member_pairs, skew, sorted_in, task_count
 
 LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_linestatus string, l_returnflag string"
 
@@ -65,3 +65,21 @@ def test_rows_that_tie_are_sorted_in_many_tasks(spark):
     out = sorted_in(df, 8, [F.col("same").desc()])
     assert out.groupBy(F.spark_partition_id()).count().count() == 8
     assert task_count(df, 10) == 1 and task_count(df, 10**9) == 2000
+
+
+@pytest.mark.parametrize("name", ["graph_plays_against", "graph_shares_team"])
+def test_cells_of_pairs_are_dealt_by_the_number_of_facts(spark, folder, monkeypatch, name):
+    monkeypatch.setattr(skew, "TASK_ROWS", 20, raising=False)
+    out = queries()[name](spark, folder)
+    assert spark_result(out) == oracle(folder, name)
+    text = plan(out)
+    assert re.search(r"hashpartitioning\(e#\d+L?, p#\d+, q#\d+, 21\), REPARTITION_BY_NUM", text)
+    assert "Window" not in text.split("== Physical Plan ==")[1].split("Generate explode")[0]  # pairs of one kind are unique
+
+
+def test_a_hot_event_is_not_one_task(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 10, raising=False)
+    facts = spark.range(300).select(F.floor(F.col("id") / 1000).alias("g"), F.col("id").alias("p"), (F.col("id") % 2).alias("t"), F.lit(1).alias("x"))
+    pairs = member_pairs(facts, "g", "p", "t", "x", 16)
+    assert pairs.count() == 300 * 299 // 2
+    assert re.search(r"hashpartitioning\(e#\d+L, p#\d+, q#\d+, 30\), REPARTITION_BY_NUM", plan(pairs))
