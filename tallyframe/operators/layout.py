@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import data_files, materialise
 from .checks import counted
+from .skew import dealt, task_count
 
 # The spellings of booleans in the text files.
 TRUE_TEXT = ("true", "TRUE", "1")
@@ -100,13 +101,29 @@ def unpaired_weights(
     return salted.join(per_match.select("*", salts), [match, "__salt"]).drop("__salt")
 
 
+#: Rows in a row of a file that are dealt, or looked at, together.
+FILE_BLOCK = 10_000
+
+
+def layout_rows(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written and read back, and the number of tasks that its rows are dealt over.
+
+    A reader packs files up to a number of bytes, and sorted or repeated values have few. The rows are
+    therefore counted, which reads the footers, and dealt in blocks of their files; few are left as they are.
+    """
+    rows = materialise(df, "layout-rows")
+    n_tasks = task_count(rows, rows.count())
+    block = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / FILE_BLOCK))
+    return (dealt(rows.withColumn("__block", block), n_tasks, "__block").drop("__block") if n_tasks > 1 else rows), n_tasks
+
+
 def compare_layouts(df: DataFrame, orders: dict[str, Sequence[str]], path: str) -> DataFrame:
     """Writes ``df`` once per sort order and reports (layout, bytes, files).
 
     Rows stay in their partitions and are sorted there, so the files differ only by row order.
     They are written once unsorted first, so the work behind ``df`` is not done per layout.
     """
-    rows = materialise(df, "layout-rows")
+    rows, _ = layout_rows(df)
     reports = []
     for layout, columns in orders.items():
         target = f"{path}/{layout}"
@@ -126,9 +143,12 @@ def check_layouts(df: DataFrame, orders: dict[str, Sequence[str]], path: str, ke
     """Writes ``df`` once per sort order and reads it back: (layout, n_rows, key_sum, n_unsorted).
 
     ``n_unsorted`` counts the rows that come before their predecessor in the file, in the layout's
-    order. A file is looked at by itself, so the work is split by files.
+    order. A file is looked at by itself, in blocks of ``FILE_BLOCK`` rows: the last row of a block is
+    repeated ahead of the next one, so no window holds a whole file.
     """
-    rows = materialise(df, "layout-rows")
+    rows, n_tasks = layout_rows(df)
+    own = F.floor(F.col("__row") / FILE_BLOCK)
+    window = Window.partitionBy("__file", "__block").orderBy("__row")
     out = None
     for layout, columns in orders.items():
         target = f"{path}/{layout}"
@@ -136,9 +156,12 @@ def check_layouts(df: DataFrame, orders: dict[str, Sequence[str]], path: str, ke
         stored = df.sparkSession.read.parquet(target).select(
             key, F.struct(*columns).alias("__now"), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
         )
-        before = F.lag("__now").over(Window.partitionBy("__file").orderBy("__row"))
+        ends = (F.col("__row") + 1) % FILE_BLOCK == 0
+        blocks = stored.withColumn("__block", F.explode(F.when(ends, F.array(own, own + 1)).otherwise(F.array(own))))
         report = (
-            stored.withColumn("__before", before)
+            dealt(blocks, n_tasks, "__file", "__block")
+            .withColumn("__before", F.lag("__now").over(window))
+            .where(F.col("__block") == own)
             .agg(
                 F.count(F.lit(1)).alias("n_rows"),
                 F.sum(key).alias("key_sum"),

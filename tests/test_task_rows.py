@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from compare import duckdb_result, spark_result
-from tallyframe.operators import member_pairs, skew, sorted_in, task_count
+from tallyframe.operators import check_layouts, compare_layouts, layout, member_pairs, skew, sorted_in, task_count
 
 LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_linestatus string, l_returnflag string"
 
@@ -83,3 +83,31 @@ def test_a_hot_event_is_not_one_task(spark, monkeypatch):
     pairs = member_pairs(facts, "g", "p", "t", "x", 16)
     assert pairs.count() == 300 * 299 // 2
     assert re.search(r"hashpartitioning\(e#\d+L, p#\d+, q#\d+, 30\), REPARTITION_BY_NUM", plan(pairs))
+
+
+def test_no_window_over_a_layout_holds_a_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 100, raising=False)
+    monkeypatch.setattr(layout, "FILE_BLOCK", 7, raising=False)
+    df = spark.range(2000).select("id", (F.col("id") * 7919 % 13).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 3).alias("b")).coalesce(1)
+    orders = {"ab": ["a", "b"], "ba": ["b", "a"]}
+    out = check_layouts(df, orders, str(tmp_path / "checked"), "id")
+    assert sorted(tuple(r) for r in out.collect()) == [(name, 2000, 1999000, 0) for name in ("ab", "ba")]
+    assert "windowspecdefinition(__file#" in plan(out) and ", __block#" in plan(out)
+    files = compare_layouts(df, orders, str(tmp_path / "compared")).collect()
+    assert {r.layout for r in files} == {"ab", "ba"} and all(r.files > 8 for r in files)
+    assert all(spark.read.parquet(f"{tmp_path}/compared/{name}").exceptAll(df).isEmpty() for name in orders)
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 10_000])
+def test_rows_out_of_order_are_counted_across_blocks(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(layout, "FILE_BLOCK", block, raising=False)
+    data = [random.Random(block).randrange(5) for _ in range(50)]
+    monkeypatch.setattr(layout.DataFrame, "sortWithinPartitions", lambda df, *columns: df)
+    df = spark.createDataFrame([(v, n) for n, v in enumerate(data)], "v int, n int").coalesce(1)
+    found = check_layouts(df, {"v": ["v"]}, str(tmp_path / "checked"), "n").first()
+    assert tuple(found) == ("v", 50, 1225, sum(b < a for a, b in zip(data, data[1:])))
+
+
+def test_layouts_of_games(spark, folder, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 20, raising=False)
+    assert spark_result(queries()["layout_compare"](spark, folder)) == oracle(folder, "layout_compare")
