@@ -21,9 +21,9 @@ _U = np.uint64
 
 
 def chunks(
-    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES, rows: int = CHUNK_ROWS
 ) -> Iterator[pa.RecordBatch]:
-    """Cuts batches: at most CHUNK_ROWS rows, and ``limit`` bytes of ``column`` or one row, in each."""
+    """Cuts batches: at most ``rows`` rows, and ``limit`` bytes of ``column`` or one row, in each."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -32,7 +32,7 @@ def chunks(
         while first < batch.num_rows:
             done = ends[first - 1] if first else 0
             last = max(first + 1, int(np.searchsorted(ends, done + limit, side="right")))
-            last = min(last, first + CHUNK_ROWS)
+            last = min(last, first + rows)
             yield batch.slice(first, last - first)
             first = last
 
@@ -105,8 +105,14 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = WORD_BYTES)
     kept = np.flatnonzero(inside)
     first = np.searchsorted(kept, starts)
     lengths = np.diff(first, append=len(kept))
-    place = np.arange(len(kept)) - np.repeat(first, lengths)
-    values = _LETTERS[data[kept]] * (random_words(int(lengths.max()), 2) | _U(1))[place]
+    # arrays of 8 bytes a letter: two beside the values at most
+    place = np.arange(len(kept))
+    place -= np.repeat(first, lengths)
+    letters = data[kept]
+    del kept
+    values = _LETTERS[letters]
+    values *= (random_words(int(lengths.max()), 2) | _U(1))[place]
+    del place
     hashes = mixed(np.add.reduceat(values, first) + lengths.astype(_U))
     return Words(starts, starts + lengths, hashes, np.searchsorted(starts, offsets))
 

@@ -311,11 +311,13 @@ def find_passages(
     kinds = [source.schema["d"].dataType, benchmark.schema[item_id].dataType]
     long = StructType.fromDDL("distance long, first_word long, end_word long")
     schema = StructType([StructField(doc_id, kinds[0]), StructField(item_id, kinds[1]), *long])
-    out = spark.createDataFrame([], schema)
+    out = None
     for ids, texts in _blocks(benchmark, item_id, item_text, block_bytes):
         shared = spark.sparkContext.broadcast(prepare(ids, texts, max_edits, recall))
-        out = out.unionByName(source.mapInArrow(_finder(shared, doc_id, item_id, to_arrow_type(kinds[1])), schema))
-    return out
+        found = source.mapInArrow(_finder(shared, doc_id, item_id, to_arrow_type(kinds[1])), schema)
+        out = found if out is None else out.unionByName(found)
+    # rows from a list are read by Python workers of their own, also if there are none
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def _finder(shared, doc_id: str, item_id: str, kind: pa.DataType):

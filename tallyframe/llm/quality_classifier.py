@@ -32,6 +32,9 @@ N_WORDS = 2048
 N_REPEATS = 16
 N_TERMS = N_SHAPES + N_WORDS + N_REPEATS
 
+#: Of a chunk. A row takes 8 * N_TERMS bytes as counts, about 50 KB, and as much again on the way to a score.
+CHUNK_BYTES, CHUNK_ROWS = 1 << 18, 128
+
 
 def _classes() -> np.ndarray:
     table = np.full(256, 15, np.uint16)
@@ -96,7 +99,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _weighted(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts.astype(np.float32)) * weights
+    x = counts.astype(np.float32)
+    np.log1p(x, out=x)
+    x *= weights
     for part in (slice(0, N_SHAPES), slice(N_SHAPES, N_SHAPES + N_WORDS), slice(N_SHAPES + N_WORDS, None)):
         x[:, part] = _unit(x[:, part])
     return x
@@ -113,7 +118,7 @@ def _svd_axes(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def _sparse_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in at.chunks(batches):
+    for batch in at.chunks(batches, limit=CHUNK_BYTES, rows=CHUNK_ROWS):
         counts = term_counts(batch.column("text"))
         terms = [np.flatnonzero(row) for row in counts]
         yield pa.RecordBatch.from_arrays(
@@ -126,6 +131,12 @@ def _sparse_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
+def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in at.chunks(batches, limit=CHUNK_BYTES, rows=CHUNK_ROWS):
+        result = model.scores(model.vectors(term_counts(batch.column("text"))))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(result, pa.float64())], [*batch.schema.names, "score"])
+
+
 def fit(
     documents: DataFrame,
     labels: DataFrame,
@@ -175,14 +186,8 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
     documents = documents.drop("score")
-    names = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in at.chunks(batches):
-            result = m.scores(m.vectors(term_counts(batch.column("text"))))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(result, pa.float64())], [*names, "score"]
-            )
+        return _scored(batches, shared.value)
 
     return documents.mapInArrow(run, at.schema_with(documents, "score double"))

@@ -4,6 +4,7 @@ import os
 import random
 import sys
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -685,3 +686,63 @@ def test_many_rows_of_one_id_meet_their_own_class(spark):
         spark.createDataFrame([(b"k", 7, 1)], "class_key binary, first_id long, digest long"),
     )._jdf.queryExecution().optimizedPlan().toString()
     assert "digest" in plan.split("Join")[1].splitlines()[0]
+
+
+# --- memory of a worker
+
+
+def _peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def _long_texts(n_rows=1024, n_words=300):
+    rng = np.random.default_rng(35)
+    some = np.array([f"w{k:x}" for k in range(5000)])
+    return [" ".join(row) for row in some[rng.integers(0, len(some), (n_rows, n_words))]]
+
+
+def test_classifier_counts_few_rows_at_once():
+    """A row of dense counts takes 50 KB: a thousand rows at once took 111 MB of a worker."""
+    texts = _long_texts()
+    labelled = pa.record_batch({"label": pa.array([k % 2 for k in range(len(texts))], pa.float64()), "text": texts})
+    assert _peak_mb(lambda: [None for _ in quality_classifier._sparse_counts(iter([labelled]))]) < 40
+    rng = np.random.default_rng(36)
+    n, k = quality_classifier.N_TERMS, quality_classifier.N_DIMENSIONS
+    model = quality_classifier.Model(
+        np.ones(n, np.float32),
+        rng.normal(size=(n, k)).astype(np.float32),
+        quality_classifier._unit(rng.normal(size=(3000, k)).astype(np.float32)),
+        rng.integers(0, 2, 3000).astype(np.float32),
+        25,
+    )
+    found = []
+    assert _peak_mb(lambda: found.extend(quality_classifier._scored(iter([labelled]), model))) < 40
+    whole = model.scores(model.vectors(quality_classifier.term_counts(labelled.column("text"))))
+    parts = np.concatenate([b.column("score").to_numpy() for b in found])
+    assert sum(b.num_rows for b in found) == len(texts) and len(found) >= 8
+    assert np.abs(parts - whole).max() <= 2e-6
+
+
+def test_words_need_few_arrays_beside_their_letters():
+    """Of the text's bytes 27 times as much is held at once; it was 32 times, with four arrays of 8 bytes a letter."""
+    data, offsets = arrow_text.flat(pa.array(_long_texts()))
+    found = arrow_text.words(data, offsets)
+    assert _peak_mb(lambda: arrow_text.words(data, offsets)) < 30e-6 * len(data)
+    assert len(found.hashes) == 1024 * 300 and len(set(found.hashes.tolist())) == 5000
+
+
+def test_passages_start_no_workers_for_an_empty_list(spark):
+    """An empty table made from a list is read by plain Python workers, beside those of the search."""
+    texts = docs(spark, ["one two three four five six seven eight nine ten", None])
+    items = spark.range(1).select(F.col("id").alias("item_id"), F.lit("two three four five six").alias("text"))
+    found = decontaminate.find_passages(texts, items)
+    assert found.columns == ["doc_id", "item_id", "distance", "first_word", "end_word"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ExistingRDD") == texts._jdf.queryExecution().executedPlan().toString().count("ExistingRDD")
+    assert [tuple(r) for r in found.collect()] == [(0, 0, 0, 1, 6)]
+    assert decontaminate.find_passages(texts, items.where("false")).collect() == []
